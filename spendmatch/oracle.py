@@ -150,6 +150,244 @@ cte("agency_cert", ["ah", "vd_tn"], f"""
   WHERE NOT EXISTS (SELECT 1 FROM vd_tn t WHERE t.tax_id = h.tax_norm)""")
 
 
+
+# ---- M1 contract_cert (literal: natural-key anti joins and attach-back, T7)
+cte("cn", ["contracts"], f"""
+  SELECT {nb('b2gnow_id')} AS b2g_id, prime_vendor, contract_holder, business_name,
+         UPPER(TRIM(vendor_type)) AS vendor_type, amount_paid, audit_period,
+         {nb('taxidnumber')} AS taxidnumber, {canon_a('business_name')} AS canon_name
+  FROM contracts""")
+
+_CC_COLS = "c.*, v.certification_type, v.tax_id AS matched_tax_id, v.b2g_id AS matched_b2g_id"
+_K4 = ("{a}.business_name = {b}.business_name AND {a}.contract_holder = {b}.contract_holder "
+       "AND {a}.amount_paid = {b}.amount_paid AND {a}.audit_period = {b}.audit_period")
+
+cte("cc_tax", ["cn", "vd_tbn"], f"""
+  SELECT {_CC_COLS}, 'tax_id' AS match_method_cert FROM cn c JOIN vd_tbn v ON v.tax_id = c.taxidnumber""")
+cte("cc_b2g", ["cn", "vd_tbn", "cc_tax"], f"""
+  SELECT {_CC_COLS}, 'b2g_id' AS match_method_cert FROM cn c JOIN vd_tbn v ON v.b2g_id = c.b2g_id
+  WHERE NOT EXISTS (SELECT 1 FROM cc_tax t WHERE t.b2g_id = c.b2g_id AND {_K4.format(a='t', b='c')})""")
+cte("cc_name", ["cn", "vd_tbn", "cc_tax", "cc_b2g"], f"""
+  SELECT {_CC_COLS}, 'name' AS match_method_cert FROM cn c JOIN vd_tbn v ON v.canon_name = c.canon_name
+  WHERE NOT EXISTS (SELECT 1 FROM cc_tax t WHERE {_K4.format(a='t', b='c')})
+    AND NOT EXISTS (SELECT 1 FROM cc_b2g b WHERE {_K4.format(a='b', b='c')})""")
+cte("contract_cert", ["cn", "cc_tax", "cc_b2g", "cc_name"], f"""
+  SELECT c.b2g_id, c.prime_vendor, c.contract_holder, c.business_name, c.vendor_type,
+         {money('c.amount_paid')} AS amount_paid, c.audit_period, c.taxidnumber,
+         m.certification_type, m.matched_tax_id, m.matched_b2g_id,
+         COALESCE(m.match_method_cert, 'unmatched') AS match_method_cert
+  FROM cn c LEFT JOIN (SELECT * FROM cc_tax UNION ALL SELECT * FROM cc_b2g UNION ALL SELECT * FROM cc_name) m
+    ON {_K4.format(a='m', b='c')}""")
+
+# ---- M1 row-id mode: per-row cascade
+_CC_OUT = ("c.b2g_id, c.prime_vendor, c.contract_holder, c.business_name, c.vendor_type, "
+           f"{money('c.amount_paid')} AS amount_paid, c.audit_period, c.taxidnumber, v.certification_type, "
+           "v.tax_id AS matched_tax_id, v.b2g_id AS matched_b2g_id")
+cte("contract_cert_rowid", ["cn", "vd_tbn"], f"""
+  SELECT {_CC_OUT}, 'tax_id' AS match_method_cert FROM cn c JOIN vd_tbn v ON v.tax_id = c.taxidnumber
+  UNION ALL
+  SELECT {_CC_OUT}, 'b2g_id' FROM cn c JOIN vd_tbn v ON v.b2g_id = c.b2g_id
+  WHERE NOT EXISTS (SELECT 1 FROM vd_tbn t WHERE t.tax_id = c.taxidnumber)
+  UNION ALL
+  SELECT {_CC_OUT}, CASE WHEN v.canon_name IS NULL THEN 'unmatched' ELSE 'name' END
+  FROM cn c LEFT JOIN vd_tbn v ON v.canon_name = c.canon_name
+  WHERE NOT EXISTS (SELECT 1 FROM vd_tbn t WHERE t.tax_id = c.taxidnumber)
+    AND NOT EXISTS (SELECT 1 FROM vd_tbn t WHERE t.b2g_id = c.b2g_id)""")
+
+# ---- M2 / M3 / M4 / M5
+cte("contract_totals1", ["contract_cert"], f"""
+  SELECT contract_holder AS agency_name, UPPER(TRIM(vendor_type)) AS vendor_type, prime_vendor, business_name,
+         {nb('taxidnumber')} AS tax_id, {nb('b2g_id')} AS b2g_id, certification_type,
+         CAST(matched_tax_id AS VARCHAR) AS matched_tax_id, match_method_cert,
+         {money('SUM(COALESCE(amount_paid, 0))')} AS total_amount
+  FROM contract_cert WHERE contract_holder IS NOT NULL AND business_name IS NOT NULL
+  GROUP BY ALL""")
+cte("contract_totals2", ["contract_cert"], f"""
+  SELECT b2g_id, prime_vendor, contract_holder AS agency_name, business_name,
+         UPPER(TRIM(vendor_type)) AS vendor_type, {nb('taxidnumber')} AS tax_id, certification_type,
+         CAST(matched_tax_id AS VARCHAR) AS matched_tax_id, CAST(matched_b2g_id AS VARCHAR) AS matched_b2g_id,
+         match_method_cert, MAX(audit_period) AS audit_period,
+         {money('SUM(COALESCE(amount_paid, 0))')} AS total_amount
+  FROM contract_cert WHERE contract_holder IS NOT NULL AND business_name IS NOT NULL
+  GROUP BY b2g_id, prime_vendor, contract_holder, business_name, UPPER(TRIM(vendor_type)), {nb('taxidnumber')},
+           certification_type, CAST(matched_tax_id AS VARCHAR), CAST(matched_b2g_id AS VARCHAR), match_method_cert""")
+cte("contract_subs_spend", ["contract_totals2"], f"""
+  SELECT *, {money(f"CASE WHEN {qual('certification_type')} THEN total_amount ELSE 0 END")} AS certified_spend
+  FROM contract_totals2 WHERE UPPER(TRIM(vendor_type)) IN ('SUBCONTRACTOR', 'SUB')""")
+cte("contract_prime_summary", ["contract_subs_spend"], f"""
+  SELECT prime_vendor, agency_name, {money('SUM(total_amount)')} AS total_subs_amount,
+         {money('SUM(certified_spend)')} AS certified_subs_spend,
+         {money('SUM(total_amount) - SUM(certified_spend)')} AS uncertified_subs_spend,
+         COUNT(*) AS sub_count
+  FROM contract_subs_spend GROUP BY prime_vendor, agency_name""")
+
+# ---- M8 flags
+cte("cflag_src", ["contracts"], f"""
+  SELECT {canon_a('business_name')} AS cname, {nb('taxidnumber')} AS ctax,
+         UPPER(TRIM(vendor_type)) AS vt, UPPER(TRIM(payment_type)) AS pt
+  FROM contracts WHERE business_name IS NOT NULL""")
+_FP = ("COUNT(*) FILTER (WHERE vt IN ('PRIME', 'PRIME CONTRACTOR', 'PRIME VENDOR', 'CONTRACTOR') "
+       "OR pt = 'PRIME') > 0")
+_FS = "COUNT(*) FILTER (WHERE vt IN ('SUBCONTRACTOR', 'SUB') OR pt IN ('SUBCONTRACTOR', 'SUB')) > 0"
+cte("flag_name", ["cflag_src"], f"SELECT cname, {_FP} AS fp, {_FS} AS fs FROM cflag_src GROUP BY cname")
+cte("flag_tax", ["cflag_src"], f"""
+  SELECT ctax, {_FP} AS fp, {_FS} AS fs FROM cflag_src WHERE ctax IS NOT NULL GROUP BY ctax""")
+cte("agency_cert_flags", ["agency_cert", "flag_name", "flag_tax"], f"""
+  SELECT a.*, TRUE AS in_contracts_business_name, t.fp AS has_vendor_type_prime, t.fs AS has_vendor_type_sub,
+         t.ctax AS matched_taxid_to_contracts, 'tax_id' AS match_method_contract
+  FROM agency_cert a JOIN flag_tax t ON t.ctax = {nb('a.tax_id')}
+  UNION ALL
+  SELECT a.*, n.cname IS NOT NULL, COALESCE(n.fp, FALSE), COALESCE(n.fs, FALSE), NULL,
+         CASE WHEN n.cname IS NULL THEN 'unmatched' ELSE 'name' END
+  FROM agency_cert a LEFT JOIN flag_name n ON n.cname = {canon_a('a.business_name')}
+  WHERE NOT EXISTS (SELECT 1 FROM flag_tax t WHERE t.ctax = {nb('a.tax_id')})""")
+
+# ---- M9 prime totals
+cte("prime_totals", ["agency_cert_flags"], f"""
+  SELECT source, agency_number, agency_name, business_name AS prime_vendor, tax_id,
+         MAX(certification_type) AS prime_certification_type, MAX(matched_tax_id) AS matched_tax_id,
+         MAX(match_method) AS match_method,
+         bool_or(in_contracts_business_name) AS in_contracts_business_name,
+         bool_or(has_vendor_type_prime) AS has_vendor_type_prime,
+         bool_or(has_vendor_type_sub) AS has_vendor_type_sub,
+         NULLIF(MAX(COALESCE(matched_taxid_to_contracts, '')), '') AS matched_taxid_to_contracts,
+         NULLIF(MAX(COALESCE(match_method_contract, '')), '') AS match_method_contract,
+         {money('SUM(COALESCE(total_amount, 0))')} AS prime_total_amount
+  FROM agency_cert_flags GROUP BY source, agency_number, agency_name, business_name, tax_id""")
+
+# ---- M10 certified spend
+cte("subs_by_agency_prime", ["contract_cert"], f"""
+  SELECT {canon_a('contract_holder')} AS ca, {canon_a('prime_vendor')} AS cp,
+         SUM(CASE WHEN vendor_type IN ('SUBCONTRACTOR', 'SUB') AND certification_type IS NOT NULL
+                  THEN amount_paid ELSE 0 END) AS sc,
+         SUM(CASE WHEN vendor_type IN ('SUBCONTRACTOR', 'SUB') AND certification_type IS NULL
+                  THEN amount_paid ELSE 0 END) AS su
+  FROM contract_cert
+  WHERE business_name IS NOT NULL AND prime_vendor IS NOT NULL AND contract_holder IS NOT NULL
+  GROUP BY 1, 2""")
+cte("certified_spend", ["agency_cert_flags", "subs_by_agency_prime"], f"""
+  SELECT f.*, {money('COALESCE(s.sc, 0)')} AS subs_certified_amount,
+         {money('COALESCE(s.su, 0)')} AS subs_uncertified_amount,
+         {money("CASE WHEN f.certification_type IS NOT NULL THEN GREATEST(f.total_amount - COALESCE(s.su, 0), 0) ELSE COALESCE(s.sc, 0) END")} AS certified_spend
+  FROM agency_cert_flags f LEFT JOIN subs_by_agency_prime s
+    ON s.ca = {canon_a('f.agency_name')} AND s.cp = {canon_a('f.business_name')}""")
+
+# ---- M11-M14 prime with subs
+cte("pc", ["prime_totals"], f"""
+  SELECT source, agency_number, agency_name, prime_vendor, tax_id AS prime_tax_id, prime_certification_type,
+         matched_tax_id AS prime_matched_tax_id, match_method AS prime_match_method, prime_total_amount,
+         {canon_b('prime_vendor')} AS cpv, {canon_b('agency_name')} AS can
+  FROM prime_totals""")
+cte("cs", ["contract_totals2"], f"""
+  SELECT tax_id AS s_tax, {canon_b('prime_vendor')} AS s_cpv, {canon_b('agency_name')} AS s_can,
+         b2g_id AS sub_b2g_id, business_name AS sub_business_name, certification_type AS sub_certification_type,
+         matched_tax_id AS sub_matched_tax_id, matched_b2g_id AS sub_matched_b2g_id,
+         match_method_cert AS sub_match_method, audit_period AS sub_audit_period, total_amount AS sub_amount
+  FROM contract_totals2 WHERE UPPER(TRIM(vendor_type)) IN ('SUBCONTRACTOR', 'SUB')""")
+_P4 = "{a}.source = {b}.source AND {a}.agency_number = {b}.agency_number AND {a}.agency_name = {b}.agency_name AND {a}.prime_vendor = {b}.prime_vendor"
+_PRIME_HEAD = ("p.source, p.agency_number, p.agency_name, p.prime_vendor")
+_PRIME_INFO = "p.prime_tax_id, p.prime_certification_type, p.prime_matched_tax_id, p.prime_match_method"
+_NULL_SUBS = ("NULL::VARCHAR AS sub_b2g_id, NULL::VARCHAR AS sub_tax_id, NULL::VARCHAR AS sub_certification_type, "
+              "NULL::VARCHAR AS sub_matched_tax_id, NULL::VARCHAR AS sub_matched_b2g_id, "
+              "NULL::VARCHAR AS sub_match_method, NULL::TIMESTAMP AS sub_audit_period, "
+              "NULL::DECIMAL(38,2) AS sub_amount")
+_SUBS = ("s.sub_b2g_id, s.s_tax AS sub_tax_id, s.sub_certification_type, s.sub_matched_tax_id, "
+         f"s.sub_matched_b2g_id, s.sub_match_method, s.sub_audit_period, {money('s.sub_amount')} AS sub_amount")
+
+
+def prime_with_subs_sql(mode: str) -> str:
+    prime_cols = (f"{_PRIME_HEAD}, p.prime_vendor AS business_name, 'PRIME' AS vendor_type, {_PRIME_INFO}, "
+                  f"{money('p.prime_total_amount')} AS prime_total_amount")
+    sub_head = f"{_PRIME_HEAD}, s.sub_business_name AS business_name, 'SUBCONTRACTOR' AS vendor_type, {_PRIME_INFO}"
+    if mode == "rows":
+        return query(f"""
+SELECT {prime_cols}, {_NULL_SUBS} FROM pc p
+UNION ALL
+SELECT {sub_head}, NULL::DECIMAL(38,2) AS prime_total_amount, {_SUBS}
+FROM pc p JOIN cs s ON p.cpv = s.s_cpv AND p.can = s.s_can""", ["pc", "cs"])
+    if mode in ("any_cert", "qualifying"):
+        if mode == "any_cert":
+            c_cond, u_cond = "s.sub_certification_type IS NOT NULL", "s.sub_certification_type IS NULL"
+            p_cond = "p.prime_certification_type IS NOT NULL"
+        else:
+            c_cond = qual("s.sub_certification_type")
+            u_cond = f"s.sub_certification_type IS NULL OR NOT {qual('s.sub_certification_type')}"
+            p_cond = qual("p.prime_certification_type")
+        return query(f"""
+, st AS (
+  SELECT {_PRIME_HEAD},
+         SUM(CASE WHEN {c_cond} THEN COALESCE(s.sub_amount, 0) ELSE 0 END) AS ct,
+         SUM(CASE WHEN {u_cond} THEN COALESCE(s.sub_amount, 0) ELSE 0 END) AS ut
+  FROM pc p LEFT JOIN cs s ON p.cpv = s.s_cpv AND p.can = s.s_can
+  GROUP BY p.source, p.agency_number, p.agency_name, p.prime_vendor)
+SELECT {prime_cols},
+       {money(f"CASE WHEN {p_cond} THEN CASE WHEN st.ut > 0 THEN p.prime_total_amount - st.ut ELSE p.prime_total_amount END ELSE COALESCE(st.ct, 0) END")} AS certified_spend,
+       {_NULL_SUBS}
+FROM pc p LEFT JOIN st ON {_P4.format(a='st', b='p')}
+UNION ALL
+SELECT {sub_head}, NULL::DECIMAL(38,2), NULL::DECIMAL(38,2), {_SUBS}
+FROM pc p JOIN cs s ON p.cpv = s.s_cpv AND p.can = s.s_can""", ["pc", "cs"]).replace("\n\n, st AS", ",\nst AS").replace(")\n, st AS", "),\nst AS")
+    # tax_then_name
+    return query(f"""
+, mt AS (SELECT p.*, s.*, 'tax_id' AS match_method FROM pc p JOIN cs s
+          ON CAST(p.prime_matched_tax_id AS VARCHAR) = CAST(s.s_tax AS VARCHAR) AND p.can = s.s_can),
+mn AS (SELECT p.*, s.*, 'name' AS match_method FROM pc p JOIN cs s ON p.cpv = s.s_cpv AND p.can = s.s_can
+       WHERE NOT EXISTS (SELECT 1 FROM mt WHERE {_P4.format(a='mt', b='p')})),
+am AS (SELECT * FROM mt UNION ALL SELECT * FROM mn),
+st AS (SELECT source, agency_number, agency_name, prime_vendor,
+         SUM(CASE WHEN {qual('sub_certification_type')} THEN COALESCE(sub_amount, 0) ELSE 0 END) AS ct,
+         SUM(CASE WHEN sub_certification_type IS NULL OR NOT {qual('sub_certification_type')}
+                  THEN COALESCE(sub_amount, 0) ELSE 0 END) AS ut
+       FROM am GROUP BY source, agency_number, agency_name, prime_vendor)
+SELECT {prime_cols},
+       {money(f"CASE WHEN {qual('p.prime_certification_type')} THEN CASE WHEN st.ut > 0 THEN p.prime_total_amount - st.ut ELSE p.prime_total_amount END ELSE COALESCE(st.ct, 0) END")} AS certified_spend,
+       {_NULL_SUBS}, NULL::VARCHAR AS match_method
+FROM pc p LEFT JOIN st ON {_P4.format(a='st', b='p')}
+UNION ALL
+SELECT p.source, p.agency_number, p.agency_name, p.prime_vendor, p.sub_business_name, 'SUBCONTRACTOR',
+       {_PRIME_INFO}, NULL::DECIMAL(38,2), NULL::DECIMAL(38,2),
+       p.sub_b2g_id, p.s_tax, p.sub_certification_type, p.sub_matched_tax_id, p.sub_matched_b2g_id,
+       p.sub_match_method, p.sub_audit_period, {money('p.sub_amount')}, p.match_method
+FROM am p""", ["pc", "cs"])
+
+
+# ---- M15 prime cert summary, M16 unmatched contract primes
+cte("css", ["contract_prime_summary", "contract_totals2"], f"""
+  SELECT c.*, (SELECT MIN(ct.tax_id) FROM contract_totals2 ct
+               WHERE ct.prime_vendor = c.prime_vendor AND ct.agency_name = c.agency_name
+                 AND UPPER(TRIM(ct.vendor_type)) = 'PRIME') AS prime_tax_id,
+         {canon_b('c.prime_vendor')} AS c_cpv, {canon_b('c.agency_name')} AS c_can
+  FROM contract_prime_summary c""")
+_G9 = ("p.source, p.agency_number, p.agency_name, p.prime_vendor, p.prime_tax_id, p.prime_certification_type, "
+       "p.prime_matched_tax_id, p.prime_match_method, p.prime_total_amount")
+_SUMS = ("SUM(c.total_subs_amount) AS tsa, SUM(c.certified_subs_spend) AS csa, "
+         "SUM(c.uncertified_subs_spend) AS usa, SUM(c.sub_count) AS sc")
+cte("ps_tax", ["pc", "css"], f"""
+  SELECT {_G9}, {_SUMS}, 'tax_id' AS mm FROM pc p JOIN css c
+    ON CAST(p.prime_matched_tax_id AS VARCHAR) = CAST(c.prime_tax_id AS VARCHAR) AND p.can = c.c_can
+  GROUP BY {_G9}""")
+cte("ps_name", ["pc", "css", "ps_tax"], f"""
+  SELECT {_G9}, {_SUMS}, 'name' AS mm FROM pc p JOIN css c ON p.cpv = c.c_cpv AND p.can = c.c_can
+  WHERE NOT EXISTS (SELECT 1 FROM ps_tax m WHERE {_P4.format(a='m', b='p')})
+  GROUP BY {_G9}""")
+cte("prime_cert_summary", ["pc", "ps_tax", "ps_name"], f"""
+  SELECT {_G9.replace('p.prime_total_amount', money('p.prime_total_amount') + ' AS prime_total_amount')},
+         {money('COALESCE(m.tsa, 0)')} AS total_subs_amount, {money('COALESCE(m.csa, 0)')} AS certified_subs_spend,
+         {money('COALESCE(m.usa, 0)')} AS uncertified_subs_spend, CAST(COALESCE(m.sc, 0) AS BIGINT) AS sub_count,
+         m.mm AS match_method,
+         {money(f"CASE WHEN {qual('p.prime_certification_type')} THEN CASE WHEN COALESCE(m.usa, 0) > 0 THEN p.prime_total_amount - m.usa ELSE p.prime_total_amount END ELSE COALESCE(m.csa, 0) END")} AS total_certified_spend
+  FROM pc p LEFT JOIN (SELECT * FROM ps_tax UNION ALL SELECT * FROM ps_name) m ON {_P4.format(a='m', b='p')}""")
+cte("unmatched_contract_primes", ["css", "pc"], """
+  SELECT c.prime_vendor, c.agency_name, c.prime_tax_id, c.total_subs_amount, c.certified_subs_spend,
+         c.uncertified_subs_spend, c.sub_count
+  FROM css c
+  WHERE NOT EXISTS (SELECT 1 FROM pc p
+                    WHERE (c.prime_tax_id IS NOT NULL AND p.prime_matched_tax_id IS NOT NULL
+                           AND CAST(c.prime_tax_id AS VARCHAR) = CAST(p.prime_matched_tax_id AS VARCHAR)
+                           AND c.c_can = p.can)
+                       OR (c.c_cpv = p.cpv AND c.c_can = p.can))""")
+
+
 def query(final_sql: str, deps: list[str]) -> str:
     """Assemble ``WITH`` + the needed fragments (dependency order) + final SELECT."""
     order: list[str] = []

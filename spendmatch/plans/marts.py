@@ -111,7 +111,7 @@ def _contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFram
 
 
 def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal",
-                  strip_suffix: bool = True) -> DataFrame:
+                  strip_suffix: bool = True, keep=None) -> DataFrame:
     """M1: every contract row with the certification of its best vendor match.
 
     Priority tax id -> vendor-system id -> canonical name.
@@ -122,9 +122,15 @@ def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal
     4-column natural key, so n identical contract rows yield n^2 rows (T7).
     ``mode="row_id"`` is the fixed form: a per-row cascade, one output row per
     (row, match), nothing duplicated.
+
+    ``keep`` (e.g. a checkpoint) is applied to the normalised contracts and
+    the vendor dimension, which the literal plan reads several times.
     """
-    vd = best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix)
+    keep = keep or (lambda df: df)
+    vd = keep(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
     cn = _contracts_norm(contracts, strip_suffix)
+    if mode == "literal":
+        cn = keep(cn)
     if mode == "row_id":
         vr = vd.withColumnRenamed("tax_id", "matched_tax_id").withColumnRenamed("b2g_id", "matched_b2g_id")
         steps = [Step("tax_id", F.col("taxidnumber"), vr, "matched_tax_id"),
