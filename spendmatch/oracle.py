@@ -60,6 +60,25 @@ def cte(name: str, deps: list[str], sql: str) -> None:
     CTES[name] = (sql, deps)
 
 
+def query(final_sql: str, deps: list[str]) -> str:
+    """Assemble ``WITH`` + the needed fragments (dependency order) + final SELECT."""
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in order:
+            return
+        for d in CTES[n][1]:
+            visit(d)
+        order.append(n)
+
+    for d in deps:
+        visit(d)
+    if not order:
+        return final_sql
+    body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
+    return f"WITH {body}\n{final_sql}"
+
+
 cte("sup", [], """
   SELECT s_suppkey, s_name,
     CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE CAST(s_suppkey + 5000 AS VARCHAR) END AS vnum,
@@ -388,20 +407,140 @@ cte("unmatched_contract_primes", ["css", "pc"], """
                        OR (c.c_cpv = p.cpv AND c.c_can = p.can))""")
 
 
-def query(final_sql: str, deps: list[str]) -> str:
-    """Assemble ``WITH`` + the needed fragments (dependency order) + final SELECT."""
-    order: list[str] = []
 
-    def visit(n: str) -> None:
-        if n in order:
-            return
-        for d in CTES[n][1]:
-            visit(d)
-        order.append(n)
-
-    for d in deps:
-        visit(d)
-    if not order:
-        return final_sql
-    body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
-    return f"WITH {body}\n{final_sql}"
+# ---- sheet sync pair (customer -> incoming snapshot and existing target)
+RUN_TS = "TIMESTAMP '2025-01-02 03:04:05'"
+OLD_TS = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _hash_sql(key: str, name: str, nation: str, bal: str, seg: str) -> str:
+    """md5 of '|'-joined canonical values (strip text, %.10g for doubles, '' for NULL)."""
+    return (f"md5(concat_ws('|', COALESCE(TRIM({key}), ''), COALESCE(TRIM({name}), ''), "
+            f"COALESCE(CAST({nation} AS VARCHAR), ''), COALESCE(printf('%.10g', {bal}), ''), "
+            f"COALESCE(TRIM({seg}), '')))")
+
+
+cte("sync_raw", [], """
+  SELECT CASE WHEN c_custkey % 101 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey,
+         c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer""")
+cte("sync_in", ["sync_raw"], f"""
+  SELECT TRIM(c_custkey) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+         {_hash_sql('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment')} AS row_hash,
+         {RUN_TS} AS updated_at
+  FROM sync_raw WHERE c_custkey IS NOT NULL AND TRIM(c_custkey) <> ''""")
+cte("sync_target", [], f"""
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, {OLD_TS} AS created_at, {OLD_TS} AS updated_at,
+         CASE WHEN frozen THEN NULL
+              ELSE {_hash_sql('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment')} END AS row_hash
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_nationkey,
+               CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+               c_custkey % 53 = 0 AS frozen
+        FROM customer WHERE c_custkey % 7 <> 0
+        UNION ALL
+        SELECT CAST(c_custkey + 1000000 AS VARCHAR), c_name, c_nationkey, c_acctbal, c_mktsegment, FALSE
+        FROM customer WHERE c_custkey % 10 = 3) x""")
+_SYNC_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+
+
+def _sync_sql(created_on_update: str, delete: bool = True, upsert: bool = True) -> str:
+    ins = f"SELECT {_SYNC_COLS}, {RUN_TS} AS created_at, {RUN_TS} AS updated_at, row_hash FROM sync_in i WHERE NOT EXISTS (SELECT 1 FROM sync_target t WHERE t.c_custkey = i.c_custkey)"
+    upd = (f"SELECT i.c_custkey, i.c_name, i.c_nationkey, i.c_acctbal, i.c_mktsegment, {created_on_update}, "
+           f"{RUN_TS}, i.row_hash FROM sync_target t JOIN sync_in i ON t.c_custkey = i.c_custkey "
+           "WHERE t.row_hash <> i.row_hash")
+    same = ("SELECT t.* FROM sync_target t JOIN sync_in i ON t.c_custkey = i.c_custkey "
+            "WHERE t.row_hash IS NULL OR t.row_hash = i.row_hash")
+    gone = ("SELECT t.* FROM sync_target t WHERE NOT EXISTS (SELECT 1 FROM sync_in i WHERE i.c_custkey = t.c_custkey)")
+    if delete:
+        gone += " AND (t.row_hash IS NULL OR EXISTS (SELECT 1 FROM sync_in i WHERE i.row_hash = t.row_hash))"
+    if not upsert:
+        # delete only: every target row whose hash survives
+        return query("SELECT * FROM sync_target t WHERE t.row_hash IS NULL OR EXISTS "
+                     "(SELECT 1 FROM sync_in i WHERE i.row_hash = t.row_hash)", ["sync_target", "sync_in"])
+    return query(f"{ins}\nUNION ALL\n{upd}\nUNION ALL\n{same}\nUNION ALL\n{gone}", ["sync_target", "sync_in"])
+
+
+SYNC_UPSERT_FIRST = _sync_sql("t.created_at")
+SYNC_DELETE_FIRST = _sync_sql(RUN_TS)
+SYNC_UPSERT_ONLY = _sync_sql("t.created_at", delete=False)
+SYNC_DELETE_ONLY = _sync_sql("t.created_at", upsert=False)
+SYNC_STATS = query("""
+, ops AS (
+  SELECT CASE WHEN t.c_custkey IS NULL THEN 'insert'
+              WHEN i.c_custkey IS NOT NULL AND t.row_hash IS NULL THEN 'frozen'
+              WHEN i.c_custkey IS NOT NULL AND t.row_hash = i.row_hash THEN 'unchanged'
+              WHEN i.c_custkey IS NOT NULL THEN 'update'
+              WHEN t.row_hash IS NULL OR EXISTS (SELECT 1 FROM sync_in h WHERE h.row_hash = t.row_hash) THEN 'orphan'
+              ELSE 'delete' END AS op
+  FROM sync_target t FULL OUTER JOIN sync_in i ON t.c_custkey = i.c_custkey)
+SELECT 'dropped' AS stat, (SELECT COUNT(*) FROM sync_raw WHERE c_custkey IS NULL OR TRIM(c_custkey) = '') AS value
+UNION ALL SELECT 'duplicate_hashes', (SELECT COUNT(*) - COUNT(DISTINCT row_hash) FROM sync_in)
+UNION ALL SELECT 'upserted', (SELECT COUNT(*) FROM ops WHERE op IN ('insert', 'update'))
+UNION ALL SELECT 'deleted', (SELECT COUNT(*) FROM ops WHERE op = 'delete')
+UNION ALL SELECT op, COUNT(*) FROM ops GROUP BY op""", ["sync_target", "sync_in", "sync_raw"])
+
+# ---- districts and surrogate keys
+cte("districts", [], """
+  SELECT 'District ' || CAST(c_nationkey AS VARCHAR) AS district, CAST(c_custkey AS VARCHAR) AS zipcode,
+         CASE c_custkey % 3 WHEN 1 THEN 'Split' WHEN 2 THEN 'Whole' END AS split_whole_combined
+  FROM customer""")
+_ZIP5 = "CASE WHEN length(zipcode) < 5 THEN lpad(zipcode, 5, '0') ELSE zipcode END"
+SURROGATE_IDS = query(f"""
+SELECT district, zipcode, split_whole_combined, {_ZIP5} AS zipcode5,
+       district || '-' || lower(substr(replace(to_base64(encode(upper(
+           district || '|' || {_ZIP5} || '|' || COALESCE(split_whole_combined, '')))), '=', ''), 1, 12)) AS unique_id
+FROM districts""", ["districts"])
+
+# ---- fixed-width report lines (built from lineitem x supplier), parsed with RE2
+cte("fw_lines", [], """
+  SELECT 'file_' || CAST(l_orderkey % 4 AS VARCHAR) AS file_stem, l_orderkey, l_linenumber,
+    CASE l_orderkey % 5
+      WHEN 0 THEN '1' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || s_name || ' '
+                  || lpad(CAST(s_suppkey + 100000000 AS VARCHAR), 9, '0') || ' AB '
+                  || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || ' 2513'
+      WHEN 1 THEN '2' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || s_name || ' '
+                  || lpad(CAST(s_suppkey + 100000000 AS VARCHAR), 9, '0') || 'XY'
+                  || lpad(CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS DECIMAL(18,0)) AS VARCHAR), 13, '0')
+                  || '2513'
+      WHEN 2 THEN '1' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || s_name || ' '
+                  || lpad(CAST(s_suppkey + 100000000 AS VARCHAR), 9, '0') || ' 99 '
+                  || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || ' 2513'
+      WHEN 3 THEN '  1' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || s_name || ' '
+                  || lpad(CAST(s_suppkey + 100000000 AS VARCHAR), 9, '0') || ' AB '
+                  || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || ' 2513' || chr(9) || ' '
+      ELSE '' END AS value
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
+cte("fw_a", ["fw_lines"], r"""
+  SELECT file_stem, l_orderkey, l_linenumber, line, substr(line, 6) AS rest,
+         regexp_extract(substr(line, 6), '^(.*?)(\d{9})\s*[A-Z]{2}', 2) AS fed1,
+         regexp_extract(substr(line, 6), '^(.*?)(\d{9})\s*[A-Z]{2}', 1) AS pre1,
+         regexp_extract(substr(line, 6), '^(.*?)(\d{9})', 2) AS fed2,
+         regexp_extract(substr(line, 6), '^(.*?)(\d{9})', 1) AS pre2
+  FROM (SELECT *, regexp_replace(value, '^\s+|\s+$', '', 'g') AS line FROM fw_lines) x""")
+cte("fw_b", ["fw_a"], r"""
+  SELECT *, CASE WHEN fed1 <> '' THEN fed1 WHEN fed2 <> '' THEN fed2 END AS fed_id,
+         CASE WHEN fed1 <> '' THEN pre1 ELSE pre2 END AS prefix
+  FROM fw_a""")
+cte("fw_c", ["fw_b"], r"""
+  SELECT *, regexp_replace(substr(rest, length(prefix) + 10), '^\s+|\s+$', '', 'g') AS after FROM fw_b""")
+cte("fw_parsed", ["fw_c"], r"""
+  SELECT file_stem, l_orderkey, l_linenumber,
+         substr(line, 1, 1) AS report_part,
+         CASE WHEN length(line) > 4 THEN substr(line, 2, 4) ELSE '' END AS college_number,
+         regexp_replace(prefix, '^\s+|\s+$', '', 'g') AS firm_name,
+         fed_id AS firm_fed_id,
+         CASE WHEN regexp_extract(after, '^\s*([A-Z]{2})', 1) <> '' THEN regexp_extract(after, '^\s*([A-Z]{2})', 1)
+              WHEN regexp_extract(after, '([A-Z]{2})', 1) <> '' THEN regexp_extract(after, '([A-Z]{2})', 1) END
+           AS sub_object,
+         CASE WHEN regexp_extract(after, '(\d+\.\d{2})', 1) <> '' THEN regexp_extract(after, '(\d+\.\d{2})', 1)
+              WHEN regexp_extract(after, '(\d{5,})', 1) <> '' THEN
+                left(regexp_extract(after, '(\d{5,})', 1), length(regexp_extract(after, '(\d{5,})', 1)) - 2)
+                || '.' || right(regexp_extract(after, '(\d{5,})', 1), 2) END AS dollar_amount,
+         substr(regexp_extract(line, '(\d{4})$', 1), 1, 2) AS fiscal_year,
+         '13' AS fiscal_month,
+         line = '' AS is_blank
+  FROM fw_c""")
+cte("fw_flagged", ["fw_parsed"], """
+  SELECT *, (NOT is_blank AND firm_fed_id IS NOT NULL AND sub_object IS NOT NULL AND dollar_amount IS NOT NULL)
+              AS is_parsed
+  FROM fw_parsed""")

@@ -129,3 +129,260 @@ _EXCL = ", ".join("'" + n.replace("'", "''") + "'" for n in marts.EXCLUDED_AGENC
           O.query(f"SELECT * FROM prime_cert_summary WHERE agency_name NOT IN ({_EXCL})", ["prime_cert_summary"]))
 def m17_agency_filter(spark, d):
     return _m(spark, d).agency_filter()
+
+
+# ============================================================ data quality
+from spendmatch.operators import quality as Q  # noqa: E402
+from spendmatch.functions import text as TX  # noqa: E402
+
+_AC = "agency_cert"
+_TIE4 = "agency_number ASC NULLS LAST, agency_name ASC NULLS LAST, business_name ASC NULLS LAST, tax_id ASC NULLS LAST"
+_DIFF = (f"match_method IN ('tax_id', 'name') AND {O.nb('tax_id')} IS NOT NULL AND {O.nb('matched_tax_id')} IS NOT NULL "
+         "AND TRIM(CAST(tax_id AS VARCHAR)) <> TRIM(matched_tax_id)")
+
+
+@register("d1_duplicate_business_rows", O.query(
+    "SELECT agency_number, agency_name, business_name, tax_id, COUNT(*) AS dup_count FROM agency_cert "
+    "GROUP BY agency_number, agency_name, business_name, tax_id HAVING COUNT(*) > 1", [_AC]))
+def d1_duplicate_business_rows(spark, d):
+    return Q.duplicate_business_rows(_m(spark, d).agency_cert)
+
+
+@register("d2_rows_by_match_method", O.query(
+    'SELECT match_method, COUNT(*) AS "rows" FROM agency_cert GROUP BY match_method ORDER BY match_method', [_AC]))
+def d2_rows_by_match_method(spark, d):
+    return Q.count_by(_m(spark, d).agency_cert, "match_method")
+
+
+@register("d3_top_unmatched_rows", O.query(
+    "SELECT agency_number, agency_name, business_name, tax_id, total_amount FROM agency_cert "
+    f"WHERE match_method = 'unmatched' ORDER BY total_amount DESC NULLS LAST, {_TIE4} LIMIT 50", [_AC]))
+def d3_top_unmatched_rows(spark, d):
+    return Q.top_unmatched_rows(_m(spark, d).agency_cert)
+
+
+@register("d4_coverage", O.query(
+    "SELECT COUNT(*) AS total_rows, "
+    "CAST(SUM(CASE WHEN match_method <> 'unmatched' THEN 1 ELSE 0 END) AS BIGINT) AS matched_rows, "
+    "CAST(ROUND(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN match_method <> 'unmatched' THEN 1 ELSE 0 END) "
+    "/ NULLIF(COUNT(*), 0), 2) AS DOUBLE) AS matched_pct FROM agency_cert", [_AC]))
+def d4_coverage(spark, d):
+    return Q.coverage(_m(spark, d).agency_cert)
+
+
+@register("d5_tax_id_disagreements", O.query(
+    "SELECT agency_number, agency_name, business_name, tax_id AS he_tax_id, matched_tax_id AS vendor_tax_id, "
+    f"certification_type, match_method, total_amount FROM agency_cert WHERE {_DIFF} "
+    "ORDER BY total_amount DESC NULLS LAST, agency_number ASC NULLS LAST, agency_name ASC NULLS LAST, "
+    "business_name ASC NULLS LAST, he_tax_id ASC NULLS LAST, vendor_tax_id ASC NULLS LAST, "
+    "certification_type ASC NULLS LAST, match_method ASC NULLS LAST LIMIT 200", [_AC]))
+def d5_tax_id_disagreements(spark, d):
+    return Q.tax_id_disagreements(_m(spark, d).agency_cert)
+
+
+@register("d6_tax_match_without_tax_id", O.query(
+    "SELECT COUNT(*) AS tax_match_but_he_tax_missing FROM agency_cert "
+    f"WHERE match_method = 'tax_id' AND {O.nb('tax_id')} IS NULL", [_AC]))
+def d6_tax_match_without_tax_id(spark, d):
+    return Q.tax_match_without_tax_id(_m(spark, d).agency_cert)
+
+
+@register("d7_name_matches_with_tax_id", O.query(
+    "SELECT agency_number, agency_name, business_name, tax_id, matched_tax_id, certification_type, total_amount "
+    f"FROM agency_cert WHERE match_method = 'name' AND {O.nb('tax_id')} IS NOT NULL "
+    f"ORDER BY total_amount DESC NULLS LAST, {_TIE4}, matched_tax_id ASC NULLS LAST, "
+    "certification_type ASC NULLS LAST LIMIT 200", [_AC]))
+def d7_name_matches_with_tax_id(spark, d):
+    return Q.name_matches_with_tax_id(_m(spark, d).agency_cert)
+
+
+@register("d8_certification_distribution", O.query(
+    'SELECT certification_type, COUNT(*) AS "rows" FROM agency_cert GROUP BY certification_type', [_AC]))
+def d8_certification_distribution(spark, d):
+    return Q.count_by(_m(spark, d).agency_cert, "certification_type")
+
+
+@register("d9_name_matches_without_vendor_tax", O.query(
+    "SELECT agency_number, agency_name, business_name, tax_id, matched_tax_id, certification_type "
+    "FROM agency_cert WHERE match_method = 'name' AND matched_tax_id IS NULL "
+    f"ORDER BY {_TIE4}, matched_tax_id ASC NULLS LAST, certification_type ASC NULLS LAST LIMIT 200", [_AC]))
+def d9_name_matches_without_vendor_tax(spark, d):
+    return Q.name_matches_without_vendor_tax(_m(spark, d).agency_cert)
+
+
+@register("d10_top_unmatched_vendors", O.query(
+    "SELECT business_name, tax_id, SUM(total_amount) AS total_unmatched_amount, COUNT(*) AS \"rows\" "
+    "FROM agency_cert WHERE match_method = 'unmatched' GROUP BY business_name, tax_id "
+    "ORDER BY total_unmatched_amount DESC NULLS LAST, business_name ASC NULLS LAST, tax_id ASC NULLS LAST "
+    "LIMIT 50", [_AC]))
+def d10_top_unmatched_vendors(spark, d):
+    return Q.top_unmatched_vendors(_m(spark, d).agency_cert)
+
+
+@register("d11_top_tax_disagreements", O.query(
+    "SELECT business_name, CAST(tax_id AS VARCHAR) AS he_tax_id, matched_tax_id, "
+    "SUM(total_amount) AS amount_at_issue, COUNT(*) AS \"rows\" "
+    f"FROM agency_cert WHERE {_DIFF} GROUP BY business_name, CAST(tax_id AS VARCHAR), matched_tax_id "
+    "ORDER BY amount_at_issue DESC NULLS LAST, business_name ASC NULLS LAST, he_tax_id ASC NULLS LAST, "
+    "matched_tax_id ASC NULLS LAST LIMIT 50", [_AC]))
+def d11_top_tax_disagreements(spark, d):
+    return Q.top_tax_disagreements(_m(spark, d).agency_cert)
+
+
+@register("d12_lookalike_transactions", O.query(
+    f"SELECT * FROM (SELECT a.*, {O.canon_a('a.business_name')} AS canon_name, "
+    f"COUNT(*) OVER (PARTITION BY {O.canon_a('a.business_name')}, a.total_amount) AS dupe_count "
+    "FROM agency_cert a) x WHERE dupe_count > 1", [_AC]))
+def d12_lookalike_transactions(spark, d):
+    return Q.lookalike_transactions(_m(spark, d).agency_cert)
+
+
+@register("d13_summary_sanity", O.query(
+    "SELECT COUNT(*) FILTER (WHERE match_method = 'tax_id') AS matched_by_tax_id, "
+    "COUNT(*) FILTER (WHERE match_method = 'name') AS matched_by_name, "
+    "COUNT(*) FILTER (WHERE match_method IS NULL) AS no_match, COUNT(*) AS total_in_agency_higher_ed, "
+    "(SELECT COUNT(*) FROM contract_prime_summary) AS total_in_contract_summary FROM prime_cert_summary",
+    ["prime_cert_summary", "contract_prime_summary"]))
+def d13_summary_sanity(spark, d):
+    m = _m(spark, d)
+    return Q.summary_sanity(m.prime_cert_summary, m.contract_prime_summary)
+
+
+_AC_COLS = ["source", "agency_number", "agency_name", "business_name", "tax_id", "total_amount",
+            "certification_type", "matched_tax_id", "match_method"]
+
+
+@register("a19_duplicate_combo", O.query(
+    "SELECT a.*, COUNT(*) OVER (PARTITION BY agency_name, business_name) > 1 AS is_duplicate FROM agency_cert a",
+    [_AC]))
+def a19_duplicate_combo(spark, d):
+    return Q.is_duplicate_combo(_m(spark, d).agency_cert, ["agency_name", "business_name"])
+
+
+@register("a20_repeated_values", O.query(
+    "SELECT COUNT(*) AS repeated_values FROM (SELECT UPPER(business_name) AS v FROM contracts "
+    f"WHERE {O.nb('business_name')} IS NOT NULL GROUP BY UPPER(business_name) HAVING COUNT(*) > 1) x",
+    ["contracts"]))
+def a20_repeated_values(spark, d):
+    return Q.count_repeated_values(fx.contracts(spark, d), "business_name")
+
+
+@register("r1_drop_blank_rows", O.query(
+    f"SELECT agency_number, tax_id FROM agency_spend WHERE {O.nb('agency_number')} IS NOT NULL "
+    f"OR {O.nb('tax_id')} IS NOT NULL", ["agency_spend"]))
+def r1_drop_blank_rows(spark, d):
+    return Q.drop_blank_rows(fx.agency_spend(spark, d).select("agency_number", "tax_id"))
+
+
+_R2_ORDER = [c for c in _AC_COLS if c != "agency_name"]
+
+
+@register("r2_paginate", O.query(
+    "SELECT a.*, CAST(CEIL(ROW_NUMBER() OVER (PARTITION BY agency_name ORDER BY "
+    + ", ".join(f"{c} ASC NULLS LAST" for c in _R2_ORDER) + ") / 40.0) AS BIGINT) AS page FROM agency_cert a",
+    [_AC]))
+def r2_paginate(spark, d):
+    return Q.paginate(_m(spark, d).agency_cert, "agency_name", _R2_ORDER, n=40)
+
+
+# ================================================================== sync
+from spendmatch.operators import sync as S  # noqa: E402
+
+_SYNC_KEYS = ["c_custkey"]
+
+
+def _sync_parts(spark, d):
+    prep = S.prepare_incoming(fx.sync_incoming(spark, d), _SYNC_KEYS, fx.SYNC_RUN_TS)
+    return prep, fx.sync_target(spark, d)
+
+
+@register("c5_sync_upsert_first", O.SYNC_UPSERT_FIRST)
+def c5_sync_upsert_first(spark, d):
+    prep, tgt = _sync_parts(spark, d)
+    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS).table
+
+
+@register("c6_sync_delete_first", O.SYNC_DELETE_FIRST)
+def c6_sync_delete_first(spark, d):
+    prep, tgt = _sync_parts(spark, d)
+    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS, order="delete_first").table
+
+
+@register("c3_upsert", O.SYNC_UPSERT_ONLY)
+def c3_upsert(spark, d):
+    prep, tgt = _sync_parts(spark, d)
+    return S.upsert(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS)
+
+
+@register("c4_delete_stale", O.SYNC_DELETE_ONLY)
+def c4_delete_stale(spark, d):
+    prep, tgt = _sync_parts(spark, d)
+    return S.delete_stale(tgt, prep.rows)
+
+
+@register("c11_sync_stats", O.SYNC_STATS)
+def c11_sync_stats(spark, d):
+    prep, tgt = _sync_parts(spark, d)
+    return S.sync_stats(prep, S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS))
+
+
+@register("f17_row_hash", O.query("SELECT * FROM sync_in", ["sync_in"]))
+def f17_row_hash(spark, d):
+    prep, _ = _sync_parts(spark, d)
+    return prep.rows
+
+
+@register("d14_rejected_keys", O.query(
+    "SELECT TRIM(c_custkey) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM sync_raw "
+    "WHERE c_custkey IS NULL OR TRIM(c_custkey) = ''", ["sync_raw"]))
+def d14_rejected_keys(spark, d):
+    prep, _ = _sync_parts(spark, d)
+    return prep.rejected
+
+
+@register("c2_duplicate_keys", O.query(
+    "SELECT uniqueid, b2gnow_vendor_number, COUNT(*) AS key_count FROM vendors "
+    "GROUP BY uniqueid, b2gnow_vendor_number HAVING COUNT(*) > 1", ["vendors"]))
+def c2_duplicate_keys(spark, d):
+    return S.duplicate_keys(fx.vendors(spark, d), ["uniqueid", "b2gnow_vendor_number"])
+
+
+# ============================================================ keys (notes)
+from spendmatch.functions import keys as K  # noqa: E402
+
+
+@register("f20_surrogate_id", O.SURROGATE_IDS)
+def f20_surrogate_id(spark, d):
+    t = fx.districts(spark, d)
+    return t.select("*", K.pad_start("zipcode").alias("zipcode5"),
+                    K.surrogate_id("district", "zipcode", "split_whole_combined").alias("unique_id"))
+
+
+# ========================================================== fixed width
+from spendmatch.sources import fixedwidth as FW  # noqa: E402
+
+
+def _fw_parsed(spark, d):
+    return FW.parse_lines(fx.fixed_width_lines(spark, d))
+
+
+@register("f22_fixed_width_parse", O.query(
+    "SELECT file_stem, l_orderkey, l_linenumber, report_part, college_number, firm_name, firm_fed_id, sub_object, "
+    "dollar_amount, fiscal_year, fiscal_month FROM fw_flagged WHERE is_parsed", ["fw_flagged"]))
+def f22_fixed_width_parse(spark, d):
+    return FW.converted_rows(_fw_parsed(spark, d))
+
+
+@register("p17_fixed_width_rejects", O.query(
+    "SELECT file_stem, l_orderkey, l_linenumber FROM fw_flagged WHERE NOT is_blank AND NOT is_parsed",
+    ["fw_flagged"]))
+def p17_fixed_width_rejects(spark, d):
+    return FW.rejected_lines(_fw_parsed(spark, d)).select("file_stem", "l_orderkey", "l_linenumber")
+
+
+@register("a21_fixed_width_stats", O.query(
+    "SELECT file_stem, COUNT(*) FILTER (WHERE is_parsed) AS processed_lines, COUNT(*) AS total_lines "
+    "FROM fw_flagged GROUP BY file_stem UNION ALL "
+    "SELECT NULL, COUNT(*) FILTER (WHERE is_parsed), COUNT(*) FROM fw_flagged", ["fw_flagged"]))
+def a21_fixed_width_stats(spark, d):
+    return FW.run_statistics(_fw_parsed(spark, d))
