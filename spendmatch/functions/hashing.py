@@ -42,11 +42,11 @@ def float10g(c) -> Column:
     e = F.format_string("%.9e", v)
     mant = F.regexp_extract(e, r"^(-?[0-9.]+)e", 1)
     exp_txt = F.regexp_extract(e, r"e([+-][0-9]+)$", 1)
-    exp = exp_txt.cast("int")
+    exp = exp_txt.try_cast("int")
     fixed = F.regexp_replace(F.regexp_replace(e.try_cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", "")
     sci_mant = F.regexp_replace(F.regexp_replace(mant, r"0+$", ""), r"\.$", "")
     sci = F.concat(sci_mant, F.lit("e"), exp_txt)
-    return (F.when(F.isnan(v), F.lit(None).cast("string"))
+    return (F.when(v.isNull() | F.isnan(v), F.lit(None).cast("string"))
             .when(v == F.lit(float("inf")), F.lit("inf"))
             .when(v == F.lit(float("-inf")), F.lit("-inf"))
             .when(v == 0, F.when(e.startswith("-"), F.lit("-0")).otherwise(F.lit("0")))

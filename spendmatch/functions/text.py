@@ -72,7 +72,9 @@ def canon_name_a(c, strip_suffix: bool = True) -> Column:
     boundary, where the suffix step is a no-op (T1).  No trailing trim (T2).
     """
     x = F.regexp_replace(norm_label(c), CANON_A_KEEP, "")
-    x = F.regexp_replace(x, r"\s+", " ")
+    # only A-Z, 0-9 and spaces are left, so collapsing whitespace runs is
+    # collapsing runs of spaces (cheaper: single spaces are not rewritten)
+    x = F.regexp_replace(x, " {2,}", " ")
     if strip_suffix:
         x = F.regexp_replace(x, CANON_A_SUFFIX, "")
     return x
@@ -82,7 +84,7 @@ def canon_name_b(c) -> Column:
     """F4 canonical name, variant B (prime/sub roll-ups); trims at the end."""
     x = F.regexp_replace(norm_label(c), "(?i)" + CANON_B_SUFFIX, "")
     x = F.regexp_replace(x, CANON_A_KEEP, "")
-    x = F.regexp_replace(x, r"\s+", " ")
+    x = F.regexp_replace(x, " {2,}", " ")
     return F.trim(x)
 
 

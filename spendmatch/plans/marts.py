@@ -100,18 +100,24 @@ SUB_LABEL = "SUBCONTRACTOR"
 CONTRACT_KEY4 = ["business_name", "contract_holder", "amount_paid", "audit_period"]
 
 
-def _contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame:
+def contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame:
+    """Contract rows with normalised ids/labels and the canonical business name.
+
+    Computed once and shared by M1 and M8 (the source recomputes the
+    canonical name in every script, twice in some).
+    """
     return contracts.select(
         blank_to_null("b2gnow_id").alias("b2g_id"),
         "prime_vendor", "contract_holder", "business_name",
         norm_label("vendor_type").alias("vendor_type"),
+        norm_label("payment_type").alias("payment_type"),
         "amount_paid", "audit_period",
         blank_to_null("taxidnumber").alias("taxidnumber"),
         canon_name_a("business_name", strip_suffix).alias("canon_name"))
 
 
 def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal",
-                  strip_suffix: bool = True, keep=None) -> DataFrame:
+                  strip_suffix: bool = True, keep=None, normalized: DataFrame | None = None) -> DataFrame:
     """M1: every contract row with the certification of its best vendor match.
 
     Priority tax id -> vendor-system id -> canonical name.
@@ -124,13 +130,17 @@ def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal
     (row, match), nothing duplicated.
 
     ``keep`` (e.g. a checkpoint) is applied to the normalised contracts and
-    the vendor dimension, which the literal plan reads several times.
+    the vendor dimension, which the literal plan reads several times;
+    ``normalized`` passes an already stored :func:`contracts_norm`.
     """
     keep = keep or (lambda df: df)
     vd = keep(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
-    cn = _contracts_norm(contracts, strip_suffix)
-    if mode == "literal":
-        cn = keep(cn)
+    if normalized is not None:
+        cn = normalized
+    else:
+        cn = contracts_norm(contracts, strip_suffix)
+        if mode == "literal":
+            cn = keep(cn)
     if mode == "row_id":
         vr = vd.withColumnRenamed("tax_id", "matched_tax_id").withColumnRenamed("b2g_id", "matched_b2g_id")
         steps = [Step("tax_id", F.col("taxidnumber"), vr, "matched_tax_id"),
@@ -259,11 +269,10 @@ def agency_cert(vendors: DataFrame, spend: DataFrame, include_source: bool = Tru
 
 
 # ----------------------------------------------------------------------- M8
-def _contract_flags(contracts: DataFrame, key, strip_suffix: bool) -> DataFrame:
-    c = contracts.filter(F.col("business_name").isNotNull()).select(
-        canon_name_a("business_name", strip_suffix).alias("cn_name"),
-        blank_to_null("taxidnumber").alias("cn_tax"),
-        norm_label("vendor_type").alias("vt"), norm_label("payment_type").alias("pt"))
+def _contract_flags(cn: DataFrame, key, strip_suffix: bool) -> DataFrame:
+    c = cn.filter(F.col("business_name").isNotNull()).select(
+        F.col("canon_name").alias("cn_name"), F.col("taxidnumber").alias("cn_tax"),
+        F.col("vendor_type").alias("vt"), F.col("payment_type").alias("pt"))
     if key == "cn_tax":
         c = c.filter(F.col("cn_tax").isNotNull())
     is_prime = F.col("vt").isin(*PRIME_TYPES) | (F.col("pt") == "PRIME")
@@ -272,16 +281,18 @@ def _contract_flags(contracts: DataFrame, key, strip_suffix: bool) -> DataFrame:
                               (F.count_if(is_sub) > 0).alias("has_vendor_type_sub"))
 
 
-def agency_cert_flags(agency: DataFrame, contracts: DataFrame, strip_suffix: bool = True) -> DataFrame:
+def agency_cert_flags(agency: DataFrame, contracts: DataFrame, strip_suffix: bool = True,
+                      normalized: DataFrame | None = None) -> DataFrame:
     """M8: contract presence flags per agency row — tax id first, then name.
 
     Both flag tables have one row per key, so the cascade is two left joins
     and a priority pick: no fan-out, no row id, no union.
     """
-    by_tax = _contract_flags(contracts, "cn_tax", strip_suffix).select(
+    cn = normalized if normalized is not None else contracts_norm(contracts, strip_suffix)
+    by_tax = _contract_flags(cn, "cn_tax", strip_suffix).select(
         F.col("cn_tax").alias("_t_key"), F.col("has_vendor_type_prime").alias("_t_p"),
         F.col("has_vendor_type_sub").alias("_t_s"))
-    by_name = _contract_flags(contracts, "cn_name", strip_suffix).select(
+    by_name = _contract_flags(cn, "cn_name", strip_suffix).select(
         F.col("cn_name").alias("_n_key"), F.col("has_vendor_type_prime").alias("_n_p"),
         F.col("has_vendor_type_sub").alias("_n_s"))
     a = agency.withColumn("_tax", blank_to_null("tax_id")) \

@@ -3,11 +3,19 @@
 Marts form a DAG (M1 feeds M2, M3, M10; M3 feeds M4, M5, M11-M16; M6 feeds
 M8 -> M9 ...).  Written as nested lazy DataFrames, every reuse re-expands the
 whole upstream plan, so analysis, optimisation and execution all repeat.
-:class:`SpendMarts` materialises each reused intermediate once with a
-reliable checkpoint into the shared ``spark.checkpoint.dir`` (lineage is cut,
-and the data survives executor loss), then hands the small plan on.
-
-``refresh(...)`` writes chosen marts as tables (S7, full refresh).
+:class:`SpendMarts` computes each reused intermediate once:
+
+* ``keep="table"`` writes it as Parquet under the shared
+  ``spark.checkpoint.dir`` and reads it back — lineage is cut, the copy
+  survives executor loss, later reads prune columns;
+* ``keep="cache"`` persists it (memory, spilling to disk) for the life of one
+  query — the first consumer fills the cache, a lost block is recomputed from
+  lineage; :meth:`release` drops the caches;
+* ``keep="none"`` leaves every mart lazy.
+
+:meth:`refresh` is the production run (S7): marts are written in dependency
+order and every downstream mart reads the table just written, exactly as the
+source's materialised tables read each other — no extra copies.
 """
 
 from __future__ import annotations
@@ -30,9 +38,28 @@ class SpendMarts:
     (one plan per mart, nothing written).
     """
 
-    def __init__(self, vendors: DataFrame, contracts: DataFrame, spend: DataFrame, checkpoint: bool = True,
-                 contract_mode: str = "literal", strip_suffix: bool = True):
-        self._keep = materialize if checkpoint else (lambda df: df)
+    def __init__(self, vendors: DataFrame, contracts: DataFrame, spend: DataFrame, keep: str = "table",
+                 contract_mode: str = "literal", strip_suffix: bool = True, inputs_stored: bool = False):
+        from pyspark import StorageLevel
+        self._cached: list[DataFrame] = []
+        if keep == "table":
+            self._keep = materialize
+        elif keep == "cache":
+            def _cache(df):
+                # fill the cache before any consumer runs: AQE starts independent
+                # branches concurrently, and every branch that finds the cache
+                # still empty would recompute the whole input
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                df.count()
+                self._cached.append(df)
+                return df
+            self._keep = _cache
+        elif keep == "none":
+            self._keep = lambda df: df
+        else:
+            raise ValueError(f"unknown keep {keep!r}")
+        self._keep_input = (lambda df: df) if inputs_stored else self._keep
+        self._keep_mart = self._keep
         self.vendors_raw = vendors
         self.contracts_raw = contracts
         self.spend_raw = spend
@@ -41,27 +68,43 @@ class SpendMarts:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "SpendMarts":
-        """Inputs derived from the TPC-H-style test tables (FIXTURES recipes)."""
+        """Inputs derived from the TPC-H-style test tables (FIXTURES recipes),
+        stored once per session like the synced source sheets they stand for."""
+        if kw.get("keep", "table") != "none":
+            return cls(fx.stored(spark, sf_dir, "vendors"), fx.stored(spark, sf_dir, "contracts"),
+                       fx.stored(spark, sf_dir, "agency_spend"), inputs_stored=True, **kw)
         return cls(fx.vendors(spark, sf_dir), fx.contracts(spark, sf_dir), fx.agency_spend(spark, sf_dir), **kw)
 
+    def release(self) -> None:
+        """Drop the caches of ``keep="cache"``."""
+        for df in self._cached:
+            df.unpersist()
+        self._cached.clear()
+
     # ---- inputs (each is read several times downstream)
     @cached_property
     def vendors(self) -> DataFrame:
-        return self._keep(self.vendors_raw)
+        return self._keep_input(self.vendors_raw)
 
     @cached_property
     def contracts(self) -> DataFrame:
-        return self._keep(self.contracts_raw)
+        return self._keep_input(self.contracts_raw)
 
     @cached_property
     def spend(self) -> DataFrame:
-        return self._keep(self.spend_raw)
+        return self._keep_input(self.spend_raw)
+
+    @cached_property
+    def contracts_norm(self) -> DataFrame:
+        """Normalised contracts with canonical names, shared by M1 and M8."""
+        return self._keep(marts.contracts_norm(self.contracts, self.strip_suffix))
 
     # ---- contract side
     @cached_property
     def contract_cert(self) -> DataFrame:                      # M1
-        return self._keep(marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
-                                              strip_suffix=self.strip_suffix, keep=self._keep))
+        return self._keep_mart(marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
+                                              strip_suffix=self.strip_suffix, keep=self._keep,
+                                              normalized=self.contracts_norm))
 
     @cached_property
     def contract_totals_v1(self) -> DataFrame:                 # M2
@@ -69,7 +112,7 @@ class SpendMarts:
 
     @cached_property
     def contract_totals(self) -> DataFrame:                    # M3
-        return self._keep(marts.contract_totals(self.contract_cert, version=2))
+        return self._keep_mart(marts.contract_totals(self.contract_cert, version=2))
 
     @cached_property
     def contract_subs(self) -> DataFrame:                      # M4
@@ -77,12 +120,12 @@ class SpendMarts:
 
     @cached_property
     def contract_prime_summary(self) -> DataFrame:             # M5
-        return self._keep(marts.contract_prime_summary(self.contract_subs))
+        return self._keep_mart(marts.contract_prime_summary(self.contract_subs))
 
     # ---- agency side
     @cached_property
     def agency_cert(self) -> DataFrame:                        # M6
-        return self._keep(marts.agency_cert(self.vendors, self.spend, strip_suffix=self.strip_suffix))
+        return self._keep_mart(marts.agency_cert(self.vendors, self.spend, strip_suffix=self.strip_suffix))
 
     @cached_property
     def agency_cert_no_source(self) -> DataFrame:              # M7
@@ -90,11 +133,12 @@ class SpendMarts:
 
     @cached_property
     def flags(self) -> DataFrame:                              # M8
-        return self._keep(marts.agency_cert_flags(self.agency_cert, self.contracts, strip_suffix=self.strip_suffix))
+        return self._keep_mart(marts.agency_cert_flags(self.agency_cert, self.contracts, strip_suffix=self.strip_suffix,
+                                                  normalized=self.contracts_norm))
 
     @cached_property
     def prime_totals(self) -> DataFrame:                       # M9
-        return self._keep(marts.prime_totals(self.flags))
+        return self._keep_mart(marts.prime_totals(self.flags))
 
     @cached_property
     def certified_spend(self) -> DataFrame:                    # M10
@@ -105,7 +149,7 @@ class SpendMarts:
 
     @cached_property
     def prime_cert_summary(self) -> DataFrame:                 # M15
-        return self._keep(marts.prime_cert_summary(self.prime_totals, self.contract_prime_summary,
+        return self._keep_mart(marts.prime_cert_summary(self.prime_totals, self.contract_prime_summary,
                                                    self.contract_totals))
 
     @cached_property
@@ -123,14 +167,27 @@ class SpendMarts:
         "certified_spend": "certified_spend", "prime_cert_summary": "prime_cert_summary",
     }
 
+    # dependency order: every table after the tables it reads
+    REFRESH_ORDER = ["contract_cert", "contract_totals", "contract_subs_with_cert_spend", "contract_prime_summary",
+                     "agency_cert", "agency_cert_flags", "prime_totals", "certified_spend", "prime_cert_summary"]
+
     def refresh(self, out_dir: str, names: list[str] | None = None) -> dict[str, str]:
-        """Full refresh of the chosen marts as Parquet tables under ``out_dir``."""
+        """Full refresh of the marts as Parquet tables under ``out_dir``.
+
+        Each mart is written once; the attribute is then replaced by a scan of
+        the written table, so downstream marts read the table (lineage cut at
+        every mart, as with the source's materialised tables).
+        """
         written = {}
-        for table, attr in self.MART_TABLES.items():
+        spark = self.contracts_raw.sparkSession
+        self._keep_mart = lambda df: df      # the written mart tables are the reuse points
+        for table in self.REFRESH_ORDER:
+            attr = self.MART_TABLES[table]
             if names and table not in names:
                 continue
             path = f"{out_dir.rstrip('/')}/{table}"
             refresh_mart(getattr(self, attr), path)
+            self.__dict__[attr] = spark.read.parquet(path)
             written[table] = path
         for mode in ("rows", "any_cert", "qualifying", "tax_then_name"):
             table = f"prime_with_subs_{mode}"
@@ -139,4 +196,11 @@ class SpendMarts:
             path = f"{out_dir.rstrip('/')}/{table}"
             refresh_mart(self.prime_with_subs(mode), path)
             written[table] = path
+        for table, df in (("unmatched_contract_primes", self.unmatched_contract_primes),
+                          ("agency_filter", self.agency_filter())):
+            if names and table not in names:
+                continue
+            path = f"{out_dir.rstrip('/')}/{table}"
+            refresh_mart(df, path)
+            written[table] = path
         return written

@@ -35,6 +35,24 @@ DISTRICT_PREFIX = "District "
 SPLIT_CYCLE = [None, "Split", "Whole"]
 
 
+_STORED: dict[tuple, DataFrame] = {}
+RECIPES = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A recipe's table written once per session and scale factor, then scanned.
+
+    The derived inputs stand in for stored source tables (the synced sheets),
+    so queries read them as tables instead of re-deriving the recipe joins in
+    every plan.  The copy lives in the shared checkpoint folder.
+    """
+    from spendmatch.session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = materialize(RECIPES[name](spark, sf_dir), name=f"src-{name}")
+    return _STORED[key]
+
+
 def name_form(name: Column, k: Column) -> Column:
     """Business-name variant ``k`` (0..3) of a supplier name."""
     return (F.when(k == 0, F.concat(name, F.lit(", LLC")))
@@ -219,3 +237,8 @@ def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.lit("")))
     return j.select(F.concat(F.lit("file_"), (F.col("l_orderkey") % 4).cast("string")).alias("file_stem"),
                     F.col("l_orderkey"), F.col("l_linenumber"), value.alias("value"))
+
+
+RECIPES.update({"vendors": vendors, "contracts": contracts, "agency_spend": agency_spend,
+                "sync_incoming": sync_incoming, "sync_target": sync_target, "districts": districts,
+                "fixed_width_lines": fixed_width_lines})
