@@ -544,3 +544,34 @@ cte("fw_flagged", ["fw_parsed"], """
   SELECT *, (NOT is_blank AND firm_fed_id IS NOT NULL AND sub_object IS NOT NULL AND dollar_amount IS NOT NULL)
               AS is_parsed
   FROM fw_parsed""")
+
+
+# ---- R4 profile of the raw test tables: (table, ordinal, column, Spark type, rows, NULLs)
+PROFILE_TABLES = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "string")],
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+}
+
+
+def profile_sql(tables: dict[str, list[tuple[str, str]]] = PROFILE_TABLES) -> str:
+    parts = []
+    for t, cols in tables.items():
+        for i, (c, ty) in enumerate(cols, start=1):
+            parts.append(f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS ordinal, '{c}' AS column_name, "
+                         f"'{ty}' AS data_type, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {c} IS NULL) "
+                         f"AS null_count FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+# ---- S2 type inference over the agency spend rendered as text
+INFER_TYPES = query(f"""
+SELECT CAST(row_id AS BIGINT) AS row_id, source,
+       TRY_CAST({nb('agency_number')} AS BIGINT) AS agency_number, agency_name, business_name,
+       TRY_CAST({nb('tax_id')} AS BIGINT) AS tax_id,
+       TRY_CAST({nb('total_amount')} AS DOUBLE) AS total_amount
+FROM agency_spend""", ["agency_spend"])

@@ -390,3 +390,26 @@ def p17_fixed_width_rejects(spark, d):
     "SELECT NULL, COUNT(*) FILTER (WHERE is_parsed), COUNT(*) FROM fw_flagged", ["fw_flagged"]))
 def a21_fixed_width_stats(spark, d):
     return FW.run_statistics(_fw_parsed(spark, d))
+
+
+# ======================================================== profile / preview
+from spendmatch.operators import profile as PR  # noqa: E402
+from spendmatch.sources.tables import infer_types, read_table  # noqa: E402
+
+
+@register("r4_profile_tables", O.profile_sql())
+def r4_profile_tables(spark, d):
+    return PR.profile_tables({t: read_table(spark, d, t) for t in O.PROFILE_TABLES})
+
+
+@register("r3_preview_tables")
+def r3_preview_tables(spark, d):
+    return PR.preview_tables({t: read_table(spark, d, t) for t in ("region", "nation", "supplier", "orders")})
+
+
+@register("s2_infer_types", O.INFER_TYPES)
+def s2_infer_types(spark, d):
+    from pyspark.sql import functions as F
+    spend = fx.stored(spark, d, "agency_spend")
+    as_text = spend.select(*[F.col(c).cast("string").alias(c) for c in spend.columns])
+    return infer_types(as_text)

@@ -49,3 +49,19 @@ def test_folder_conversion(spark, tmpdir_path):
     back = spark.read.option("header", True).csv(os.path.join(out, "file_stem=a_converted"))
     assert back.columns == fw.CSV_HEADERS
     assert back.count() == 2
+
+
+def test_stream_conversion_reads_each_file_once(spark, tmpdir_path):
+    from spendmatch.streaming.folder_stream import start_conversion
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(v for v, _ in GOLDEN) + "\n")
+    out, rej, ck = (os.path.join(tmpdir_path, x) for x in ("out", "rej", "ck"))
+    start_conversion(spark, src, out, rej, ck).awaitTermination(120)
+    assert spark.read.option("header", True).csv(out).count() == 2
+    with open(os.path.join(src, "b.txt"), "w") as f:
+        f.write(GOLDEN[0][0] + "\n")
+    start_conversion(spark, src, out, rej, ck).awaitTermination(120)   # only b.txt is new
+    assert spark.read.option("header", True).csv(out).count() == 3
+    assert spark.read.parquet(rej).count() == 3
