@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from spendmatch.functions.text import (
     PRIME_TYPES, SUB_TYPES, blank_to_null, canon_name_a, canon_name_b, certified_spend_any,
     certified_spend_floor, certified_spend_qualifying, is_qualifying, is_sub_type, money, norm_label)
+from spendmatch.operators.canon import with_canonical
 from spendmatch.operators.matching import Step, UNMATCHED, best_vendor, cascade
 
 # The agencies left out of the published summary (M17), as listed
@@ -106,14 +107,14 @@ def contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame
     Computed once and shared by M1 and M8 (the source recomputes the
     canonical name in every script, twice in some).
     """
-    return contracts.select(
+    c = contracts.select(
         blank_to_null("b2gnow_id").alias("b2g_id"),
         "prime_vendor", "contract_holder", "business_name",
         norm_label("vendor_type").alias("vendor_type"),
         norm_label("payment_type").alias("payment_type"),
         "amount_paid", "audit_period",
-        blank_to_null("taxidnumber").alias("taxidnumber"),
-        canon_name_a("business_name", strip_suffix).alias("canon_name"))
+        blank_to_null("taxidnumber").alias("taxidnumber"))
+    return with_canonical(c, {"canon_name": ("business_name", lambda x: canon_name_a(x, strip_suffix))})
 
 
 def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal",
@@ -341,8 +342,9 @@ def certified_spend(flags: DataFrame, cert: DataFrame, strip_suffix: bool = True
     c = cert.filter(F.col("business_name").isNotNull() & F.col("prime_vendor").isNotNull()
                     & F.col("contract_holder").isNotNull())
     is_sub = F.col("vendor_type").isin(*SUB_TYPES)
-    subs = c.groupBy(canon_name_a("contract_holder", strip_suffix).alias("_s_agency"),
-                     canon_name_a("prime_vendor", strip_suffix).alias("_s_prime")).agg(
+    c = with_canonical(c, {"_s_agency": ("contract_holder", lambda x: canon_name_a(x, strip_suffix)),
+                           "_s_prime": ("prime_vendor", lambda x: canon_name_a(x, strip_suffix))})
+    subs = c.groupBy("_s_agency", "_s_prime").agg(
         F.sum(F.when(is_sub & F.col("certification_type").isNotNull(), F.col("amount_paid"))
               .otherwise(F.lit(0))).alias("_cert"),
         F.sum(F.when(is_sub & F.col("certification_type").isNull(), F.col("amount_paid"))
@@ -370,10 +372,10 @@ def _primes_canon(primes: DataFrame) -> DataFrame:
 
 
 def _contract_subs(totals: DataFrame) -> DataFrame:
-    return totals.filter(is_sub_type("vendor_type")).select(
-        F.col("tax_id").alias("s_tax_id"),
-        canon_name_b("prime_vendor").alias("s_canon_prime"),
-        canon_name_b("agency_name").alias("s_canon_agency"),
+    t = with_canonical(totals.filter(is_sub_type("vendor_type")),
+                       {"s_canon_prime": ("prime_vendor", canon_name_b), "s_canon_agency": ("agency_name", canon_name_b)})
+    return t.select(
+        F.col("tax_id").alias("s_tax_id"), "s_canon_prime", "s_canon_agency",
         F.col("b2g_id").cast("string").alias("sub_b2g_id"),
         F.col("business_name").alias("sub_business_name"),
         F.col("certification_type").alias("sub_certification_type"),

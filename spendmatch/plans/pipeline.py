@@ -49,7 +49,7 @@ class SpendMarts:
                 # fill the cache before any consumer runs: AQE starts independent
                 # branches concurrently, and every branch that finds the cache
                 # still empty would recompute the whole input
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
                 df.count()
                 self._cached.append(df)
                 return df
