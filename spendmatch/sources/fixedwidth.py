@@ -37,15 +37,28 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: list[str] | None =
                         cols["is_blank"].alias("is_blank"), cols["is_parsed"].alias("is_parsed"))
 
 
+def keep_rows(parsed: DataFrame, cond, cols: list[str]) -> DataFrame:
+    """Rows of ``parsed`` where ``cond`` holds, projected to ``cols``.
+
+    A plain ``filter`` on a parsed flag is pushed below the parsing projection
+    and inlines the whole regex tree into the predicate, where no common
+    subexpression elimination happens (measured ~5x slower).  Emitting the row
+    through a generator over the already computed columns keeps each regex
+    evaluated once per line.
+    """
+    packed = F.filter(F.array(F.struct(*cols, cond.alias("_keep"))), lambda r: r["_keep"])
+    return parsed.select(F.inline(packed)).drop("_keep")
+
+
 def converted_rows(parsed: DataFrame) -> DataFrame:
     """The rows that go to the CSV (parsed lines only; blanks and rejects dropped)."""
     keep = [c for c in parsed.columns if c not in FIELD_ORDER and c not in ("is_blank", "is_parsed")]
-    return parsed.filter("is_parsed").select(*keep, *FIELD_ORDER)
+    return keep_rows(parsed, F.col("is_parsed"), keep + FIELD_ORDER)
 
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:
     """Non-blank lines that could not be parsed (the source only warns)."""
-    return parsed.filter(~F.col("is_blank") & ~F.col("is_parsed"))
+    return keep_rows(parsed, ~F.col("is_blank") & ~F.col("is_parsed"), parsed.columns)
 
 
 def run_statistics(parsed: DataFrame, by: str = "file_stem") -> DataFrame:

@@ -41,11 +41,12 @@ def start_conversion(spark: SparkSession, in_dir: str, out_dir: str, rejects_dir
     parsed = read_report_stream(spark, in_dir, pattern)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ok = batch.filter("is_parsed").select(
+        from spendmatch.sources.fixedwidth import keep_rows
+        ok = keep_rows(batch, F.col("is_parsed"), ["file_stem"] + FIELD_ORDER).select(
             F.concat(F.col("file_stem"), F.lit(CONVERTED_SUFFIX)).alias("file_stem"),
             *[F.col(c).alias(h) for c, h in zip(FIELD_ORDER, CSV_HEADERS)])
         ok.write.mode("append").partitionBy("file_stem").option("header", True).csv(out_dir)
-        (batch.filter(~F.col("is_blank") & ~F.col("is_parsed"))
+        (keep_rows(batch, ~F.col("is_blank") & ~F.col("is_parsed"), ["file_stem", "value"])
               .select("file_stem", "value", F.lit(batch_id).alias("batch_id"))
               .write.mode("append").parquet(rejects_dir))
 
