@@ -102,9 +102,11 @@ class SpendMarts:
     # ---- contract side
     @cached_property
     def contract_cert(self) -> DataFrame:                      # M1
-        return self._keep_mart(marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
-                                              strip_suffix=self.strip_suffix, keep=self._keep,
-                                              normalized=self.contracts_norm))
+        # not copied: inside one query only M3 (or M10) reads it, and refresh()
+        # writes it as its own table before M2/M3/M10 read it there
+        return marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
+                                   strip_suffix=self.strip_suffix, keep=self._keep,
+                                   normalized=self.contracts_norm)
 
     @cached_property
     def contract_totals_v1(self) -> DataFrame:                 # M2
