@@ -449,15 +449,25 @@ def prime_with_subs(primes: DataFrame, totals: DataFrame, mode: str = "tax_then_
         tax_eq = ((F.col("prime_matched_tax_id").cast("string") == F.col("s_tax_id").cast("string"))
                   & (F.col("canon_agency_name") == F.col("s_canon_agency")))
         by_tax = p.join(s, tax_eq).withColumn("match_method", F.lit("tax_id"))
-        tax_keys = p.join(s, tax_eq, "left_semi").select(*PRIME_OUT)
-        p_left = _anti_key4(p, tax_keys)
+        by_name_keys = ((F.col("canon_prime_vendor") == F.col("s_canon_prime"))
+                        & (F.col("canon_agency_name") == F.col("s_canon_agency")))
+        # subcontract sums per match key, aggregated before meeting the primes:
+        # the per-prime totals never re-run the prime x subcontract fan-out
+        cert = is_qualifying("sub_certification_type")
+        c_amt = F.sum(F.when(cert, F.coalesce("sub_amount", F.lit(0))).otherwise(F.lit(0))).alias("_c")
+        u_amt = F.sum(F.when(F.col("sub_certification_type").isNull() | ~cert, F.coalesce("sub_amount", F.lit(0)))
+                      .otherwise(F.lit(0))).alias("_u")
+        s_tax = (s.filter(F.col("s_tax_id").isNotNull())
+                  .groupBy(F.col("s_tax_id").cast("string").alias("s_tax_id"), "s_canon_agency").agg(c_amt, u_amt))
+        s_name = s.groupBy("s_canon_prime", "s_canon_agency").agg(c_amt, u_amt)
+        p_tax = p.join(s_tax, tax_eq)                   # primes with at least one tax match
+        p_left = _anti_key4(p, p_tax.select(*PRIME_OUT))
         by_name = p_left.join(s, canon_eq).withColumn("match_method", F.lit("name"))
         matched = by_tax.unionByName(by_name)
-        cert = is_qualifying("sub_certification_type")
-        st = matched.groupBy(*PRIME_OUT).agg(
-            F.sum(F.when(cert, F.coalesce("sub_amount", F.lit(0))).otherwise(F.lit(0))).alias("certified_subs_total"),
-            F.sum(F.when(F.col("sub_certification_type").isNull() | ~cert, F.coalesce("sub_amount", F.lit(0)))
-                  .otherwise(F.lit(0))).alias("uncertified_subs_total"))
+        per_prime = (p_tax.select(*PRIME_OUT, "_c", "_u")
+                     .unionByName(p_left.join(s_name, by_name_keys).select(*PRIME_OUT, "_c", "_u")))
+        st = per_prime.groupBy(*PRIME_OUT).agg(F.sum("_c").alias("certified_subs_total"),
+                                               F.sum("_u").alias("uncertified_subs_total"))
         sub_rows = matched.select(*sub_select, F.lit(None).cast("decimal(38,2)").alias("prime_total_amount"),
                                   F.lit(None).cast("decimal(38,2)").alias("certified_spend"),
                                   *SUB_COLS[:-1], money("sub_amount").alias("sub_amount"), "match_method")
