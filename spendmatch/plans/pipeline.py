@@ -163,46 +163,60 @@ class SpendMarts:
 
     # ---- sink
     MART_TABLES = {
-        "contract_cert": "contract_cert", "contract_totals": "contract_totals",
+        "contract_cert": "contract_cert", "contract_totals_v1": "contract_totals_v1",
+        "contract_totals": "contract_totals", "unmatched_contract_primes": "unmatched_contract_primes",
         "contract_subs_with_cert_spend": "contract_subs", "contract_prime_summary": "contract_prime_summary",
         "agency_cert": "agency_cert", "agency_cert_flags": "flags", "prime_totals": "prime_totals",
         "certified_spend": "certified_spend", "prime_cert_summary": "prime_cert_summary",
     }
 
-    # dependency order: every table after the tables it reads
-    REFRESH_ORDER = ["contract_cert", "contract_totals", "contract_subs_with_cert_spend", "contract_prime_summary",
-                     "agency_cert", "agency_cert_flags", "prime_totals", "certified_spend", "prime_cert_summary"]
-
-    def refresh(self, out_dir: str, names: list[str] | None = None) -> dict[str, str]:
+    # dependency levels: a table only reads tables of earlier levels, so the
+    # marts of one level are independent Spark jobs
+    REFRESH_LEVELS = [
+        ["contract_cert", "agency_cert"],
+        ["contract_totals_v1", "contract_totals", "agency_cert_flags"],
+        ["contract_subs_with_cert_spend", "contract_prime_summary", "prime_totals", "certified_spend"],
+        ["prime_cert_summary", "prime_with_subs_rows", "prime_with_subs_any_cert", "prime_with_subs_qualifying",
+         "prime_with_subs_tax_then_name", "unmatched_contract_primes"],
+        ["agency_filter"],
+    ]
+
+    def _builder(self, table: str):
+        if table.startswith("prime_with_subs_"):
+            return lambda: self.prime_with_subs(table[len("prime_with_subs_"):])
+        if table == "agency_filter":
+            return self.agency_filter
+        attr = self.MART_TABLES.get(table, table)
+        return lambda: getattr(self, attr)
+
+    def refresh(self, out_dir: str, names: list[str] | None = None, parallel: int = 4) -> dict[str, str]:
         """Full refresh of the marts as Parquet tables under ``out_dir``.
 
         Each mart is written once; the attribute is then replaced by a scan of
         the written table, so downstream marts read the table (lineage cut at
-        every mart, as with the source's materialised tables).
+        every mart, as with the source's materialised tables).  The marts of
+        one dependency level are written as concurrent Spark jobs (up to
+        ``parallel``), so small stages of one mart do not leave cores idle.
         """
-        written = {}
+        from concurrent.futures import ThreadPoolExecutor
+
+        written: dict[str, str] = {}
         spark = self.contracts_raw.sparkSession
         self._keep_mart = lambda df: df      # the written mart tables are the reuse points
-        for table in self.REFRESH_ORDER:
-            attr = self.MART_TABLES[table]
-            if names and table not in names:
-                continue
-            path = f"{out_dir.rstrip('/')}/{table}"
-            refresh_mart(getattr(self, attr), path)
-            self.__dict__[attr] = spark.read.parquet(path)
-            written[table] = path
-        for mode in ("rows", "any_cert", "qualifying", "tax_then_name"):
-            table = f"prime_with_subs_{mode}"
-            if names and table not in names:
-                continue
-            path = f"{out_dir.rstrip('/')}/{table}"
-            refresh_mart(self.prime_with_subs(mode), path)
-            written[table] = path
-        for table, df in (("unmatched_contract_primes", self.unmatched_contract_primes),
-                          ("agency_filter", self.agency_filter())):
-            if names and table not in names:
-                continue
+        # shared inputs first, on this thread (cached properties are not locked)
+        _ = (self.vendors, self.contracts, self.spend, self.contracts_norm)
+
+        def run(table: str) -> tuple[str, str]:
             path = f"{out_dir.rstrip('/')}/{table}"
-            refresh_mart(df, path)
-            written[table] = path
+            refresh_mart(self._builder(table)(), path)
+            attr = self.MART_TABLES.get(table)
+            if attr is not None:
+                self.__dict__[attr] = spark.read.parquet(path)
+            return table, path
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for level in self.REFRESH_LEVELS:
+                todo = [t for t in level if not names or t in names]
+                for table, path in pool.map(run, todo):
+                    written[table] = path
         return written
