@@ -71,14 +71,17 @@ def with_row_id(df: DataFrame, name: str = "row_id", order_by: list | None = Non
 
     With ``order_by`` the id is the dense 1-based position in that total order
     (a global sort, range-partitioned — no single-partition window).  Without
-    it the id is ``monotonically_increasing_id`` made stable by a reliable
-    checkpoint, since recomputation could otherwise renumber rows.
+    it the id is ``monotonically_increasing_id`` made stable by writing the
+    frame as a table in the shared checkpoint folder, since recomputation
+    could otherwise renumber rows.
     """
     from spendmatch.session import materialize
     if order_by:
-        ranked = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-        ranked = ranked.withColumn("_pid", F.spark_partition_id()) \
-                       .withColumn("_local", F.monotonically_increasing_id())
+        # read twice (counts and rows): a written copy pins the sampled range
+        # boundaries and ids so both reads agree even if a stage is recomputed
+        ranked = materialize(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+                               .withColumn("_pid", F.spark_partition_id())
+                               .withColumn("_local", F.monotonically_increasing_id()))
         # offsets per partition from a tiny per-partition count table
         counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
         from pyspark.sql import Window as W
