@@ -182,7 +182,7 @@ def paginate(df: DataFrame, group: str, order: list[str], n: int = 40, name: str
 
     from spendmatch.session import materialize
     keys = [group] + list(order)
-    # the numbered frame is read twice (counts and rows); a reliable checkpoint
+    # the numbered frame is read twice (counts and rows); a written table
     # pins the range boundaries and ids so both reads agree
     r = materialize(
         df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys])
