@@ -7,6 +7,7 @@ scale factor.  Names carry the SURVEY id as a prefix.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,8 @@ def _m(spark: SparkSession, d: str, **kw) -> SpendMarts:
     Intermediates a query reads more than once are written once as tables in
     the shared checkpoint folder (measured faster than filling a cache here).
     """
-    kw.setdefault("keep", "table")
+    # SPENDMATCH_KEEP=none keeps every mart lazy (e.g. to explain whole plans)
+    kw.setdefault("keep", os.environ.get("SPENDMATCH_KEEP", "table"))
     return SpendMarts.from_tables(spark, d, **kw)
 
 
