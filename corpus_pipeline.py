@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendmatch.llm import decontam, simhash, toxicity
+from spendmatch.llm import decontam, packing, secrets, simhash, toxicity
 from spendmatch.llm._work import Work, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,10 +40,22 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _sized(found.where((F.size("hit_words") == 0) | (F.size("hit_words") < F.col("n_words")))).select(*docs.columns)
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return _sized(secrets.redact(docs)).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left becomes training sequences, one row per piece."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxicity_stage),
     ("simhash_near_dedup", simhash_stage),
     ("benchmark_decontamination", decontamination_stage),
+    ("secret_scans", secrets_stage),
+    ("best_fit_packing", packing_stage),
 ]
 ORACLE_SQL = None  # learned scores and tokenizer ids have no SQL form; tests/llm compares with brute force
 
