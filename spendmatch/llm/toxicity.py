@@ -31,6 +31,7 @@ STEMS = range(3, 8)  # lengths of the stems learned beside whole words
 OTHER, INSULT, THREAT, TARGET, NEG, REPORT, DENIED, QUOTED = range(8)
 # what a clause can match; the order is that of the fitted weights
 PATTERNS = ("insult", "insult_at_target", "threat", "threat_at_target", "denied", "quoted")
+FEATURES = (*PATTERNS, "density")  # and the summed weight of all matches per hundred words
 
 Machine = dict[tuple[int, int], tuple[int, int]]  # (state, symbol) -> (next state, symbol put out)
 
@@ -109,8 +110,8 @@ class Grammar:
         return max([self.whole.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in self.lengths if len(word) >= n)])
 
     def features(self, text: str | None) -> list[float]:
-        """Per pattern, the summed weight of the clauses that match it (log scale); all zero if none does."""
-        out = [0.0] * len(PATTERNS)
+        """Per pattern, the summed weight of the clauses that match it, and the density (log scale); all zero if none does."""
+        out = [0.0] * len(FEATURES)
         if not text:
             return out
         low = text.lower()
@@ -124,19 +125,15 @@ class Grammar:
                 x = self.weight(w)
                 state = NEXT[state][INSULT if x else _FIXED.get(w, OTHER)]
                 worth += x or float(w in THREATS)
+            out[-1] += worth
             for k in FINAL[state]:
                 out[k] += worth
+        out[-1] *= 100 / max(1, len(WORD.findall(low)))
         return [math.log1p(x) for x in out]
 
 
-def _terms(text: str) -> set[str]:
-    """Whole words (marked by $) and word stems."""
-    out = set()
-    for w in set(WORD.findall(text.lower())):
-        if len(w) > 2 and not w[0].isdigit():
-            out.add(w + "$")
-            out.update(w[:n] for n in STEMS if n < len(w))
-    return out
+def _words(text: str) -> set[str]:
+    return {w for w in WORD.findall(text.lower()) if len(w) > 2 and not w[0].isdigit()}
 
 
 def _signature(text: str) -> int:
@@ -150,37 +147,49 @@ def learn_lexicon(sample: DataFrame, work: Work, min_g2: float = 24.0, min_lift:
 
     Documents are counted once per MinHash value, so a group of copies has one
     vote.  A term is taken when its likelihood-ratio statistic and its lift
-    over the base rate pass the two bounds.
+    over the base rate pass the two bounds.  Whole words come first; stems are
+    counted over the other words, so that no stem lives off one word.  Whole
+    words are marked by a closing $.
     """
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_signature(t) for t in b.column(0).to_pylist()], pa.int64())],
                                              names=["text", "toxic", "sig"])
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            by = (Counter(), Counter())
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by[y].update(_terms(t))
-                by[y][""] += 1
-            terms = list(by[0].keys() | by[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([by[1][t] for t in terms], pa.int64()),
-                                              pa.array([by[0][t] for t in terms], pa.int64())], names=["term", "pos", "neg"])
+    def terms_of(texts: DataFrame, terms) -> DataFrame:
+        """Document counts by term and label; the term '' counts the documents."""
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                by = (Counter(), Counter())
+                for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    by[y].update(terms(_words(t)))
+                    by[y][""] += 1
+                seen = list(by[0].keys() | by[1].keys())
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([by[1][t] for t in seen], pa.int64()),
+                                                  pa.array([by[0][t] for t in seen], pa.int64())], names=["term", "pos", "neg"])
+        return texts.mapInArrow(counted, "term string, pos long, neg long").groupBy("term").agg(
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+    def taken(counts: DataFrame, total, least: float) -> dict[str, float]:
+        base = total.pos / (total.pos + total.neg)
+        p = F.col("pos") / (F.col("pos") + F.col("neg"))
+        g2 = 2 * (F.col("pos") * F.log(p / base) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - p) / (1 - base))).otherwise(0.0))
+        odds = F.log(((F.col("pos") + 0.5) / (total.pos + 1)) / ((F.col("neg") + 0.5) / (total.neg + 1)))
+        rows = counts.where((F.col("term") != "") & (F.col("pos") > 0) & (p >= min(least, min_lift * base)) & (g2 >= min_g2)).select(
+            "term", odds.alias("w")).where("w > 0").collect()  # each has min_g2 of evidence in a bounded sample, so few
+        return {r.term: r.w for r in rows}
 
     rows = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(signed, "text string, toxic int, sig long")
-    one = rows.groupBy("sig", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
-    terms = work.table(one.mapInArrow(counted, "term string, pos long, neg long").groupBy("term").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "terms")
-    total = terms.where("term = ''").first()
+    one = work.table(rows.groupBy("sig", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"), "one")
+    counts = work.table(terms_of(one, lambda ws: ws), "words")
+    total = counts.where("term = ''").first()
     if total is None or not total.pos or not total.neg:
         return {}
-    base = total.pos / (total.pos + total.neg)
-    n, p = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
-    g2 = 2 * (F.col("pos") * F.log(p / base) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - p) / (1 - base))).otherwise(0.0))
-    odds = F.log(((F.col("pos") + 0.5) / (total.pos + 1)) / ((F.col("neg") + 0.5) / (total.neg + 1)))
-    rows = terms.where((F.col("term") != "") & (F.col("pos") > 0) & (p >= min(0.5, min_lift * base)) & (g2 >= min_g2)).select(
-        "term", odds.alias("w")).where("w > 0").collect()  # each term has min_g2 of evidence in a bounded sample, so few
-    return {r.term: r.w for r in rows}
+    whole = taken(counts, total, 0.9)
+
+    def stems(ws: set[str]) -> set[str]:
+        return {w[:n] for w in ws if w not in whole for n in STEMS if n < len(w)}
+    return {f"{w}$": x for w, x in whole.items()} | taken(terms_of(one, stems), total, 0.5)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -221,7 +230,7 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, cutoff: fl
         F.broadcast(ids), "__id").select("text", "toxic"), "sample")
     lexicon = learn_lexicon(sample, work)
     grammar = spark.sparkContext.broadcast(Grammar(lexicon))
-    names = [f"f{k}" for k in range(len(PATTERNS))]
+    names = [f"f{k}" for k in range(len(FEATURES))]
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +244,7 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, cutoff: fl
         weights = fit(np.repeat(data[:, :-2], n, axis=0), np.repeat(y, n))
     else:
         weights = np.array([0.0] * len(names) + [30.0 if len(y) and y[0] else -30.0])
-    work.drop("sample", "terms")
+    work.drop("sample", "one", "words")
     at, out_names = docs.columns.index(text_col), [*docs.columns, "score"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
