@@ -19,6 +19,8 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"  # a whole run, so the same matches as [0-9a
 KINDS = ("assign", "access", "hex", "markov")
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 ALPHABET = 66  # characters of a run
+PRIOR = 5  # pairs' worth of smoothing
+DISTINCT = 8  # a random string has that many different characters; a ruled line does not
 
 
 def _base(text: Column) -> dict[str, Column]:
@@ -48,6 +50,7 @@ def samples(docs: DataFrame, rows: int = 4000, min_length: int = 20, text_col: s
 def train(labelled: DataFrame) -> list[float]:
     """Log-likelihood ratio of every ASCII character pair (index 128 a + b), random over ordinary.
 
+    Pair frequencies are smoothed towards each model's character frequencies.
     The random model is mixed half and half with uniform characters, so it
     covers alphabets that the samples lack; without samples it is uniform.
     """
@@ -55,13 +58,16 @@ def train(labelled: DataFrame) -> list[float]:
         F.ascii(F.substring(F.col("value"), i, F.lit(1))).alias("a"), F.ascii(F.substring(F.col("value"), i + 1, F.lit(1))).alias("b"))))
     rows = labelled.where(F.length("value") > 1).select("secret", pair.alias("p")).groupBy(
         "secret", "p.a", "p.b").count().collect()  # at most one row per label and character pair
-    count, total = {}, {}
+    pairs, after, single, size = {}, {}, {}, {True: 0, False: 0}
     for r in rows:
-        count[r.secret, r.a, r.b] = r["count"]
-        total[r.secret, r.a] = total.get((r.secret, r.a), 0) + r["count"]
+        pairs[r.secret, r.a, r.b] = r["count"]
+        after[r.secret, r.a] = after.get((r.secret, r.a), 0) + r["count"]
+        single[r.secret, r.b] = single.get((r.secret, r.b), 0) + r["count"]
+        size[r.secret] += r["count"]
 
     def p(label: bool, a: int, b: int) -> float:
-        return (count.get((label, a, b), 0) + 0.5) / (total.get((label, a), 0) + 0.5 * ALPHABET)
+        one = (single.get((label, b), 0) + 0.5) / (size[label] + 0.5 * ALPHABET)
+        return (pairs.get((label, a, b), 0) + PRIOR * one) / (after.get((label, a), 0) + PRIOR)
     return [math.log((0.5 * p(True, a, b) + 0.5 / ALPHABET) / p(False, a, b)) for a in range(128) for b in range(128)]
 
 
@@ -76,8 +82,8 @@ def scan(docs: DataFrame, model: list[float] | None = None, min_length: int = 20
          min_mean: float = 0.6, train_rows: int = 4000, text_col: str = "text") -> DataFrame:
     """``docs`` with secret_spans: structs (start, rank, end, kind, value) by start, then kind as listed.
 
-    ``markov`` spans are runs of ``min_length`` identifier characters whose
-    log-likelihood ratio reaches ``min_total``, and ``min_mean`` a character,
+    ``markov`` spans are runs of ``min_length`` identifier characters, eight
+    different ones among them, whose log-likelihood ratio reaches ``min_total``, and ``min_mean`` a character,
     and that no fixed pattern's span touches.  Without a ``model`` one is
     trained on :func:`samples` of the documents (``train_rows`` bounds them).
     NULL and empty texts have no spans; repeated rows are scanned row by row;
@@ -90,7 +96,7 @@ def scan(docs: DataFrame, model: list[float] | None = None, min_length: int = 20
     columns = _base(text) | {"markov": _spans.matches(text, RUN % min_length)}
     out = docs.drop("secret_spans").select("*", *[c.alias(f"__{k}") for k, c in columns.items()])
     fixed = F.concat(*[_spans.tagged(found[k], i, k) for i, k in enumerate(KINDS[:3])])
-    clear = F.filter(found["markov"], lambda c: ~F.exists(fixed, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    clear = F.filter(found["markov"], lambda c: (F.size(F.array_distinct(F.split(c["value"], ""))) >= DISTINCT) & ~F.exists(fixed, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
     def taken(c: Column) -> Column:
         ratio = llr(c["value"], model)
