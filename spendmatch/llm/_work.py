@@ -56,7 +56,7 @@ class Work:
         path = f"{self.base}/{name}"
         with session_conf(self.spark, **{SHUFFLE_CLEANUP: "true"}):
             df.write.mode("errorifexists").option("compression", "zstd").partitionBy(*(partition_by or [])).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path) if not partition_by else self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm

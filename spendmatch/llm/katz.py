@@ -22,7 +22,7 @@ from ._work import Work
 
 K = 5  # counts up to K are discounted
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-BLOCK_TOKENS, BUCKET_KEYS = 1 << 20, 1 << 20
+BLOCK_TOKENS, BUCKET_KEYS = 1 << 21, 1 << 22
 BLOCK = "doc_ids array<long>, held array<boolean>, lengths array<long>, vocabulary binary, tokens binary"
 REQUEST = "step int, bucket long, block long, keys binary, amounts binary"
 ANSWER = "kind string, step int, bucket long, block long, keys binary, amounts binary, seen array<long>"
@@ -108,6 +108,11 @@ class Grams:
             self.index.append(full)
             self.valid.append(valid)
 
+    def asked(self, k: int) -> np.ndarray:
+        """How often each distinct n-gram of order k occurs in the block's training documents."""
+        on = self.train & self.valid[k - 1]
+        return np.bincount(self.index[k - 1][on], minlength=len(self.keys[k - 1])).astype(np.int64)
+
     def histories(self, k: int) -> np.ndarray:
         """Per token its history's index among the order k-1 n-grams; START is -1."""
         ctx = np.full(self.n, -1)
@@ -117,12 +122,43 @@ class Grams:
         return ctx
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Non-negative whole numbers as byte planes, as many as the largest needs."""
+    x = x.astype("<u8")
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + len(x).to_bytes(4, "little") + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    width, n = b[0], int.from_bytes(b[1:5], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(b, np.uint8, width * n, 5).reshape(width, n).T
+    return out.view("<u8")[:, 0]
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their first and the differences."""
+    return keys[:1].tobytes() + _pack(np.diff(keys))
+
+
+def _unpack_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate((np.frombuffer(b, "<u8", 1), _unpack(b[8:]))), dtype=np.uint64)
+
+
+def _pack_amounts(x: np.ndarray) -> bytes:
+    return _pack(x) if x.dtype.kind == "i" else np.ascontiguousarray(x.T).tobytes()
+
+
+def _unpack_amounts(b: bytes, counts: bool) -> np.ndarray:
+    return _unpack(b).astype(np.int64) if counts else np.frombuffer(b, "<f8").reshape(2, -1).T
+
+
 def _requests(step: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Sorted keys and their amounts (one row of numbers per key), cut by the keys' leading bits."""
+    """Sorted keys and their amounts (a count, or two sums, per key), cut by the keys' leading bits."""
     edges = np.searchsorted(keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64), np.arange((1 << bits) + 1))
     for b in np.flatnonzero(np.diff(edges)).tolist():
         a, e = edges[b], edges[b + 1]
-        yield step, b, block, keys[a:e].tobytes(), np.ascontiguousarray(amounts[a:e]).tobytes()
+        yield step, b, block, _pack_keys(keys[a:e]), _pack_amounts(amounts[a:e])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -132,36 +168,40 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["step", "bucket", "block", "keys", "amounts"])
 
 
-def _add_up(requests: DataFrame, dtype: str, width: int, first: bool) -> DataFrame:
+def _add_up(requests: DataFrame, counts: bool) -> DataFrame:
     """Sum the amounts of equal keys in each bucket: a model row with all keys, and an answer per request.
 
-    With ``first`` the amounts are counts, and an answer is 2 * count, plus 1 for
-    the one request that stands for the key in later sums.
+    An answer holds only the keys that other blocks asked for too; a block knows
+    the rest itself.  A count's answer is 2 * count, plus 1 for the one request
+    that stands for the key in later sums.
     """
     def run(t: pa.Table) -> pa.Table:
         step, bucket = t["step"][0].as_py(), t["bucket"][0].as_py()
         block = t["block"].to_pylist()
-        keys = [np.frombuffer(k, np.uint64) for k in t["keys"].to_pylist()]
-        amounts = np.concatenate([np.frombuffer(a, dtype) for a in t["amounts"].to_pylist()]).reshape(-1, width)
+        keys = [_unpack_keys(k) for k in t["keys"].to_pylist()]
+        amounts = np.concatenate([_unpack_amounts(a, counts) for a in t["amounts"].to_pylist()])
         ends = np.cumsum([len(k) for k in keys])
         every = np.concatenate(keys)
-        uniq, at, inverse = np.unique(every, return_index=True, return_inverse=True)
-        sums = np.stack([np.bincount(inverse, amounts[:, c], len(uniq)) for c in range(width)], axis=1)
-        answer, seen, model = sums[inverse], [], sums
-        if first:
-            counts = sums[:, 0].astype(np.int64)
+        uniq, at, inverse, times = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+        seen = []
+        if counts:
+            sums = np.bincount(inverse, amounts, len(uniq)).astype(np.int64)
             one = np.zeros(len(every), np.int64)
             one[at] = 1
-            answer, model = 2 * counts[inverse] + one, counts
-            seen = [int((counts > 0).sum()), *(int((counts == r).sum()) for r in range(1, K + 2))]
-        parts = np.split(answer, ends[:-1])
-        kept = model.reshape(len(uniq), -1)[:, 0] > 0
+            answer, kept = 2 * sums[inverse] + one, sums > 0
+            seen = [int(kept.sum()), *(int((sums == r).sum()) for r in range(1, K + 2))]
+        else:
+            sums = np.stack([np.bincount(inverse, amounts[:, c], len(uniq)) for c in (0, 1)], axis=1)
+            answer, kept = sums[inverse], sums[:, 0] > 0
+        shared = times[inverse] > 1
+        replies = [len(m).to_bytes(4, "little") + np.packbits(m).tobytes() + _pack_amounts(a[m])
+                   for a, m in zip(np.split(answer, ends[:-1]), np.split(shared, ends[:-1]))]
         n = len(block)
         return pa.table({
             "kind": pa.array(["answer"] * n + ["model"], pa.string()), "step": pa.array([step] * (n + 1), pa.int32()),
             "bucket": pa.array([bucket] * (n + 1), pa.int64()), "block": pa.array([*block, None], pa.int64()),
-            "keys": pa.array([None] * n + [uniq[kept].tobytes()], pa.binary()),
-            "amounts": pa.array([*(np.ascontiguousarray(p).tobytes() for p in parts), np.ascontiguousarray(model[kept]).tobytes()], pa.binary()),
+            "keys": pa.array([None] * n + [_pack_keys(uniq[kept]) if kept.any() else None], pa.binary()),
+            "amounts": pa.array([*replies, _pack_amounts(sums[kept])], pa.binary()),
             "seen": pa.array([None] * n + [seen], pa.list_(pa.int64()))})
     return requests.groupBy("step", "bucket").applyInArrow(run, ANSWER)
 
@@ -204,11 +244,17 @@ class Model:
         return np.where(counts > 0, worth / max(self.total, 1), self.unknown)
 
 
-def _answers(rows: list[dict], step: int, dtype: str, width: int) -> np.ndarray:
-    """A block's answers of one step; buckets follow the order of the sorted keys."""
-    mine = sorted((r for r in rows if r["step"] == step), key=lambda r: r["bucket"])
-    data = b"".join(r["amounts"] for r in mine)
-    return np.frombuffer(data, dtype).reshape(-1, width) if width > 1 else np.frombuffer(data, dtype)
+def _answers(rows: list[dict], step: int, own: np.ndarray) -> np.ndarray:
+    """A block's answers of one step over what it asked with; buckets follow the order of the sorted keys."""
+    out, at = own.copy(), 0
+    for r in sorted((r for r in rows if r["step"] == step), key=lambda r: r["bucket"]):
+        b = r["amounts"]
+        n = int.from_bytes(b[:4], "little")
+        size = 4 + (n + 7) // 8
+        shared = np.unpackbits(np.frombuffer(b, np.uint8, size - 4, 4), count=n).astype(bool)
+        out[at:at + n][shared] = _unpack_amounts(b[size:], own.dtype.kind == "i")
+        at += n
+    return out
 
 
 class _Evaluation:
@@ -216,7 +262,7 @@ class _Evaluation:
 
     def __init__(self, grams: Grams, model: Model, answers: list[dict]):
         self.g, self.m, self.rows = grams, model, answers
-        raw = [_answers(answers, k, "<i8", 1) for k in range(1, model.order + 1)]
+        raw = [_answers(answers, k, 2 * grams.asked(k) + 1) for k in range(1, model.order + 1)]
         self.count, self.stands = [r >> 1 for r in raw], [(r & 1).astype(bool) for r in raw]
         self.p = model.unigram(self.count[0])[grams.index[0]]
         self.c1 = self.count[0][grams.index[0]]
@@ -240,13 +286,14 @@ class _Evaluation:
         used = np.zeros(size, bool)
         used[ctx[g.valid[k - 1]] % size] = True
         return used, np.stack([np.bincount(where, self.m.kept(k, self.count[k - 1][add]), size),
-                               np.bincount(where, self.p[tok[add]], size)], axis=1)
+                               np.bincount(where, self.p[tok[add]], size)], axis=1).astype(float)
 
-    def step(self, k: int, used: np.ndarray) -> None:
+    def step(self, k: int) -> None:
         """Raise ``p`` from order k-1 to order k."""
         g = self.g
-        back = np.zeros((len(used), 2))
-        back[used] = self._ordered(k, used)
+        places, _, sums = self.history_request(k)
+        back = np.zeros((len(g.keys[k - 2]) + 1, 2))
+        back[places] = _answers(self.rows, 100 + k, sums)
         ctx, total = self.history_counts(k)
         kept, lower = back[ctx, 0], back[ctx, 1]
         left = total - kept
@@ -259,23 +306,13 @@ class _Evaluation:
         backed = np.where(total > 0, left / norm / np.maximum(1 - lower, 1e-300), 1.0) * self.p
         self.p = np.where(g.valid[k - 1], np.where(c > 0, seen, backed), self.p)
 
-    def _ordered(self, k: int, used: np.ndarray) -> np.ndarray:
-        keys = np.append(self.g.keys[k - 2], START)[used]
-        got = np.empty((len(keys), 2))
-        got[np.argsort(keys, kind="stable")] = _answers(self.rows, 100 + k, "<f8", 2)
-        return got
-
-    def history_request(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def history_request(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct histories in the order of their keys: places, keys and what the block adds to each."""
         used, sums = self.sums(k)
-        keys = np.append(self.g.keys[k - 2], START)[used]
+        places = np.flatnonzero(used)
+        keys = np.append(self.g.keys[k - 2], START)[places]
         order = np.argsort(keys, kind="stable")
-        return keys[order], sums[used][order]
-
-    def used(self, k: int) -> np.ndarray:
-        size = len(self.g.keys[k - 2]) + 1
-        used = np.zeros(size, bool)
-        used[self.g.histories(k)[self.g.valid[k - 1]] % size] = True
-        return used
+        return places[order], keys[order], sums[places][order]
 
 
 def score(docs: DataFrame, held=None, order: int = 2, block_tokens: int = BLOCK_TOKENS, bucket_keys: int = BUCKET_KEYS,
@@ -308,11 +345,9 @@ def score(docs: DataFrame, held=None, order: int = 2, block_tokens: int = BLOCK_
             for row in b.to_pylist():
                 g = Grams(row, order)
                 for k in range(1, order + 1):
-                    on = g.train & g.valid[k - 1]
-                    c = np.bincount(g.index[k - 1][on], minlength=len(g.keys[k - 1])).astype("<i4")
-                    yield _batch(list(_requests(k, row["block"], g.keys[k - 1], c, bits)))
+                    yield _batch(list(_requests(k, row["block"], g.keys[k - 1], g.asked(k), bits)))
 
-    answers = work.table(_add_up(held_blocks.mapInArrow(count_requests, REQUEST), "<i4", 1, True), "counts", ["kind"])
+    answers = work.table(_add_up(held_blocks.mapInArrow(count_requests, REQUEST), True), "counts", ["kind"])
     stats = answers.where("kind = 'model'").select("step", F.posexplode("seen").alias("r", "n")).groupBy("step", "r").agg(
         F.sum("n").alias("n")).collect()  # K + 2 rows an order
     seen: dict[int, list[int]] = {k: [0] * (K + 2) for k in range(1, order + 1)}
@@ -330,20 +365,20 @@ def score(docs: DataFrame, held=None, order: int = 2, block_tokens: int = BLOCK_
         row = left.to_pylist()[0]
         e = _Evaluation(Grams(row, order), model, right.to_pylist())
         for k in range(2, upto + 1):
-            e.step(k, e.used(k))
+            e.step(k)
         return row["block"], e
 
     def history_requests(k: int):
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             block, e = raised(left, right, k - 1)
-            keys, sums = e.history_request(k)
+            _, keys, sums = e.history_request(k)
             return pa.Table.from_batches([_batch(list(_requests(100 + k, block, keys, sums, bits)))])
         return run
 
     histories: list[DataFrame] = []
     for k in range(2, order + 1):
         asked = of_block(histories).applyInArrow(history_requests(k), REQUEST)
-        histories.append(work.table(_add_up(asked, "<f8", 2, False), f"histories{k}", ["kind"]))
+        histories.append(work.table(_add_up(asked, False), f"histories{k}", ["kind"]))
 
     n_train, vocabulary = model.n_tokens, model.vocabulary
 

@@ -33,7 +33,8 @@ def samples(docs: DataFrame, rows: int = 4000, min_length: int = 20, text_col: s
     """Labelled strings (value, secret) from at most ``rows`` documents, the first by a hash of the text.
 
     Secret: the values that the fixed patterns find.  Ordinary: the other words
-    of identifier characters, six or more long.
+    of identifier characters, six or more long but too short for a candidate,
+    so that no candidate teaches the ordinary model its own pairs.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     first = docs.select(F.xxhash64(text).alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
@@ -42,7 +43,8 @@ def samples(docs: DataFrame, rows: int = 4000, min_length: int = 20, text_col: s
         F.transform(_base(F.col("text"))["assign"], lambda s: F.regexp_extract(s["value"], ASSIGN, 2)),
         F.transform(_base(F.col("text"))["access"], lambda s: s["value"]),
         F.transform(_base(F.col("text"))["hex"], lambda s: s["value"])).alias("found"))
-    words = F.array_except(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0)), F.col("found"))
+    words = F.filter(F.array_except(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0)), F.col("found")),
+                     lambda w: F.length(w) < min_length)
     return base.select(F.explode(F.array_distinct("found")).alias("value"), F.lit(True).alias("secret")).unionAll(
         base.select(F.explode(words).alias("value"), F.lit(False).alias("secret")))
 

@@ -195,7 +195,7 @@ def test_packing(spark, docs, corpus, empty):
             assert offset == at
             at += n
         assert at <= 256
-    assert len(by) <= math.ceil(sum(len(p[1]) for p in pieces.values()) / 256) + 2
+    assert len(by) <= 1.01 * sum(len(p[1]) for p in pieces.values()) / 256 + 2
     assert packing.pack(empty, WORD).count() == 0
     seqs = packing.sequences(packing.pack(docs, WORD, capacity=256, keep_ids=True))
     assert sum(len(r.ids) for r in seqs.collect()) == sum(len(p[1]) for p in pieces.values())
