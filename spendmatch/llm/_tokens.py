@@ -7,15 +7,16 @@ change (runs of white space, special-token strings) goes to the tokenizer whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 400_000  # per generation; two generations are held
+CACHE_WORDS = 700_000  # words, and as many pieces of words
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?:;#$%&*|()]*)")
-RAGGED = re.compile(r"[^\S \n]|\s\s|\s\Z|\A\s")
 ID = np.dtype("<u4")
 
 
@@ -27,18 +28,15 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Cache(dict):
-    """word -> its ids as bytes; the older half goes when it is full."""
+    """word -> its ids as bytes; starts afresh when it is full."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word)
+        ids = self.encode(word)
         if len(self) >= CACHE_WORDS:
-            self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
@@ -51,7 +49,6 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        import json
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -63,18 +60,25 @@ class WordTokenizer:
         self.cache = _Cache(self._spaced_word if self.spaced else self._dropped_word)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, ID).tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """One pre-token straight through the BPE model."""
-        return np.array([t.id for t in self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))], ID).tobytes()
+        if piece.isascii():  # printable ASCII stands for itself
+            piece = piece.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+        else:
+            piece = "".join([self.letters[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _spaced_word(self, word: str) -> bytes:
-        lead = "" if word[:1] == "\n" else " "
-        m = PLAIN.fullmatch(word)
+        if word.isascii() and word.isalpha():
+            return self.pieces[" " + word]
+        line = word[:1] == "\n"  # a line end is a piece of its own, a space belongs to the word after it
+        m = PLAIN.fullmatch(word, 1 if line else 0)
         if not m:
-            return self._whole(lead + word)
-        return self.pieces[" " + m[1]] + (self.pieces[m[2]] if m[2] else b"")
+            return self._whole(word if line else " " + word)
+        head = self.pieces["\n"] + self.pieces[m[1]] if line else self.pieces[" " + m[1]]
+        return head + self.pieces[m[2]] if m[2] else head
 
     def _dropped_word(self, word: str) -> bytes:
         m = PLAIN.fullmatch(word)
@@ -86,7 +90,8 @@ class WordTokenizer:
         if not text:
             return np.empty(0, ID)
         if self.spaced:
-            if RAGGED.search(text) or any(s in text for s in self.special):
+            # anything but single spaces and line ends between words goes whole
+            if " ".join(text.split()) != text.replace("\n", " ") or any(s in text for s in self.special):
                 return np.frombuffer(self._whole(text), ID)
             first, *rest = text.replace("\n", " \n").split(" ")
             return np.frombuffer(b"".join([self._whole(first), *map(self.cache.__getitem__, rest)]), ID)
