@@ -7,8 +7,8 @@ Scale notes
   partial (map-side) + final, so a key holding a third of the directory never
   lands whole in one task.
 * ``cascade`` needs no row ids: a row's fate at each step depends only on its
-  own key values, so "rows the previous steps left over" are exactly the rows
-  whose left join found nothing.  Each step is one equi-join; AQE turns it into
+  own key values, so the steps are one chain of left joins over one scan, each
+  keyed only for the rows no earlier step matched.  AQE turns a step into
   a broadcast join when the *measured* dimension size is below the adaptive
   threshold and splits skewed partitions otherwise.
 """
@@ -93,6 +93,16 @@ def with_row_id(df: DataFrame, name: str = "row_id", order_by: list | None = Non
     return materialize(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+def spread(key: Column | str, row: list[str]) -> Column:
+    """The join key of a row; without one, a value that no dimension holds, dealt by the row's content.
+
+    Rows with a NULL key match nothing, but an outer join would send them all
+    to one task.  ``key`` must be a string.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*row), F.lit(4096)).cast("string")))
+
+
 @dataclass
 class Step:
     """One cascade step: rows whose ``row_key`` equals the dimension's ``dim_key``."""
@@ -112,21 +122,20 @@ def cascade(rows: DataFrame, steps: list[Step], carry: list[str], method_col: st
     dimensions of a cascade must expose them).  The dimension key must be
     non-NULL to match; NULL row keys never match (SQL ``=``).
     """
-    out: list[DataFrame] = []
-    remaining = rows
     row_cols = rows.columns
-    for st in steps:
+    j, missed = rows, F.lit(True)
+    carried: dict[str, list[Column]] = {c: [] for c in carry}
+    methods: list[Column] = []
+    for k, st in enumerate(steps):
         d = st.dim.filter(F.col(st.dim_key).isNotNull()).select(
-            F.col(st.dim_key).alias("_dk"), *[F.col(c).alias(f"_d_{c}") for c in carry],
-            F.lit(True).alias("_hit"))
-        j = remaining.withColumn("_rk", st.row_key).join(d, F.col("_rk") == F.col("_dk"), "left")
-        hit = j.filter(F.col("_hit").isNotNull())
-        out.append(hit.select(*row_cols, *[F.col(f"_d_{c}").alias(c) for c in carry],
-                              F.lit(st.method).alias(method_col)))
-        remaining = j.filter(F.col("_hit").isNull()).select(*row_cols)
-    miss = remaining.select(*row_cols, *[F.lit(None).cast(steps[0].dim.schema[c].dataType).alias(c) for c in carry],
-                            F.lit(unmatched).alias(method_col))
-    result = out[0]
-    for o in out[1:] + [miss]:
-        result = result.unionByName(o)
-    return result
+            F.col(st.dim_key).alias(f"_dk{k}"), *[F.col(c).alias(f"_d{k}_{c}") for c in carry])
+        # a row that an earlier step matched has no key here, so it passes through once
+        j = j.join(d, spread(F.when(missed, st.row_key), row_cols) == F.col(f"_dk{k}"), "left")
+        hit = F.col(f"_dk{k}").isNotNull()
+        for c in carry:
+            carried[c].append(F.when(hit, F.col(f"_d{k}_{c}")))
+        methods.append(F.when(hit, F.lit(st.method)))
+        missed = missed & ~hit
+    # at most one step has matched a row
+    return j.select(*row_cols, *[F.coalesce(*carried[c]).alias(c) for c in carry],
+                    F.coalesce(*methods, F.lit(unmatched)).alias(method_col))

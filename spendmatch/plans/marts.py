@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from spendmatch.functions.text import (
     PRIME_TYPES, SUB_TYPES, blank_to_null, canon_name_a, canon_name_b, certified_spend_any,
     certified_spend_floor, certified_spend_qualifying, is_qualifying, is_sub_type, money, norm_label)
-from spendmatch.operators.canon import with_canonical
-from spendmatch.operators.matching import Step, UNMATCHED, best_vendor, cascade
+from spendmatch.operators.matching import Step, UNMATCHED, best_vendor, cascade, spread
 
 # The agencies left out of the published summary (M17), as listed
 # by the source system, in its order.
@@ -114,7 +113,11 @@ def contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame
         norm_label("payment_type").alias("payment_type"),
         "amount_paid", "audit_period",
         blank_to_null("taxidnumber").alias("taxidnumber"))
-    return with_canonical(c, {"canon_name": ("business_name", lambda x: canon_name_a(x, strip_suffix))})
+    return c.withColumn("canon_name", canon_name_a("business_name", strip_suffix))
+
+
+CONTRACT_ROW = ["b2g_id", "prime_vendor", *CONTRACT_KEY4[:2], "vendor_type", *CONTRACT_KEY4[2:], "taxidnumber", "canon_name"]
+MATCH = ["certification_type", "matched_tax_id", "matched_b2g_id", "match_method_cert"]
 
 
 def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal",
@@ -126,84 +129,109 @@ def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal
     ``mode="literal"`` reproduces the source exactly: "already matched" is
     decided on the natural key (vendor id, agency, business, amount, period,
     SQL ``=`` so NULLs never match) and matches are attached back on the
-    4-column natural key, so n identical contract rows yield n^2 rows (T7).
-    ``mode="row_id"`` is the fixed form: a per-row cascade, one output row per
-    (row, match), nothing duplicated.
+    4-column natural key, so n identical contract rows yield n^2 rows (T7):
+    :func:`contract_cert_weighted`, expanded.  ``mode="row_id"`` is the fixed
+    form: a per-row cascade, one output row per (row, match).
 
-    ``keep`` (e.g. a checkpoint) is applied to the normalised contracts and
+    ``keep`` (e.g. a written table) is applied to the distinct contracts and
     the vendor dimension, which the literal plan reads several times;
     ``normalized`` passes an already stored :func:`contracts_norm`.
     """
-    keep = keep or (lambda df: df)
-    vd = keep(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
-    if normalized is not None:
-        cn = normalized
-    else:
-        cn = contracts_norm(contracts, strip_suffix)
-        if mode == "literal":
-            cn = keep(cn)
-    if mode == "row_id":
-        vr = vd.withColumnRenamed("tax_id", "matched_tax_id").withColumnRenamed("b2g_id", "matched_b2g_id")
-        steps = [Step("tax_id", F.col("taxidnumber"), vr, "matched_tax_id"),
-                 Step("b2g_id", F.col("b2g_id"), vr, "matched_b2g_id"),
-                 Step("name", F.col("canon_name"), vr, "canon_name")]
-        m = cascade(cn, steps, ["certification_type", "matched_tax_id", "matched_b2g_id"],
-                    method_col="match_method_cert")
-        return _contract_cert_out(m)
-    if mode != "literal":
+    if mode == "literal":
+        return expand_copies(contract_cert_weighted(vendors, contracts, strip_suffix, keep, normalized))
+    if mode != "row_id":
         raise ValueError(f"unknown mode {mode!r}")
+    vd = (keep or (lambda df: df))(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
+    cn = normalized if normalized is not None else contracts_norm(contracts, strip_suffix)
+    vr = vd.withColumnRenamed("tax_id", "matched_tax_id").withColumnRenamed("b2g_id", "matched_b2g_id")
+    steps = [Step("tax_id", F.col("taxidnumber"), vr, "matched_tax_id"),
+             Step("b2g_id", F.col("b2g_id"), vr, "matched_b2g_id"),
+             Step("name", F.col("canon_name"), vr, "canon_name")]
+    return _contract_cert_out(cascade(cn, steps, MATCH[:3], method_col=MATCH[3]))
+
 
-    def attach(rows: DataFrame, key: str, dkey: str, method: str) -> DataFrame:
+def contract_cert_weighted(vendors: DataFrame, contracts: DataFrame, strip_suffix: bool = True, keep=None,
+                           normalized: DataFrame | None = None) -> DataFrame:
+    """M1 (literal) without its copies: distinct contract rows and distinct matches, each with a count.
+
+    ``_n`` is how often the contract row occurs and ``_m`` how often the match
+    is attached to each of those (NULL: unmatched, once); M1 has ``_n * _m``
+    such rows.  Identical rows share every key, so the cascade runs on distinct
+    rows, and no join meets the copies of a natural key with each other.
+    """
+    keep = keep or (lambda df: df)
+    vd = keep(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
+    cn = normalized if normalized is not None else contracts_norm(contracts, strip_suffix)
+    rows = cn.groupBy(*CONTRACT_ROW).agg(F.count(F.lit(1)).alias("_n"))
+
+    def known(key: str, name: str) -> DataFrame:
+        return vd.filter(F.col(key).isNotNull()).select(F.col(key).alias(f"_{name}")).distinct()
+
+    rows = rows.join(known("tax_id", "t"), spread("taxidnumber", CONTRACT_ROW) == F.col("_t"), "left").join(
+        known("b2g_id", "b"), spread("b2g_id", CONTRACT_ROW) == F.col("_b"), "left")
+    rows = keep(rows.withColumn("_t", F.col("_t").isNotNull()).withColumn("_b", F.col("_b").isNotNull()))
+    # a row is past the tax step if no row of its 5-column key matched by tax, and left for the name step if no row
+    # of its 4-column key matched by tax or, past that, by vendor-system id
+    whole = rows.dropna(subset=CONTRACT_KEY4)
+    by_b2g = whole.filter("_b").join(
+        _renamed(whole.filter("_t").dropna(subset=["b2g_id"]).select("b2g_id", *CONTRACT_KEY4).distinct()),
+        _same(["b2g_id", *CONTRACT_KEY4]), "left_anti")
+    taken = _renamed(whole.filter("_t").select(*CONTRACT_KEY4).union(by_b2g.select(*CONTRACT_KEY4)).distinct())
+    rest = whole.join(taken, _same(CONTRACT_KEY4), "left_anti")
+
+    def attach(part: DataFrame, key: str, dkey: str, method: str) -> DataFrame:
         d = vd.filter(F.col(dkey).isNotNull()).select(
-            F.col(dkey).alias("_dk"), F.col("certification_type"),
+            F.col(dkey).alias("_dk"), "certification_type",
             F.col("tax_id").alias("matched_tax_id"), F.col("b2g_id").alias("matched_b2g_id"))
-        return (rows.join(d, rows[key] == d["_dk"]).drop("_dk")
-                    .withColumn("match_method_cert", F.lit(method)))
-
-    t_rows = attach(cn, "taxidnumber", "tax_id", "tax_id")
-    # natural keys of rows that matched by tax (vendor fan-out removed first)
-    tax_hit = cn.join(vd.select(F.col("tax_id").alias("_dk")).filter("_dk is not null").distinct(),
-                      F.col("taxidnumber") == F.col("_dk"), "left_semi")
-    k5 = ["b2g_id"] + CONTRACT_KEY4
-    after_tax5 = _anti(cn, tax_hit, k5)
-    b_rows = attach(after_tax5.filter(F.col("b2g_id").isNotNull()), "b2g_id", "b2g_id", "b2g_id")
-    b2g_hit = after_tax5.filter(F.col("b2g_id").isNotNull()).join(
-        vd.select(F.col("b2g_id").alias("_dk")).filter("_dk is not null").distinct(),
-        F.col("b2g_id") == F.col("_dk"), "left_semi")
-    rest = _anti(_anti(cn, tax_hit, CONTRACT_KEY4), b2g_hit, CONTRACT_KEY4)
-    n_rows = attach(rest, "canon_name", "canon_name", "name")
-    matched = t_rows.unionByName(b_rows).unionByName(n_rows)
-    m = matched.select(*[F.col(c).alias(f"_m_{c}") for c in CONTRACT_KEY4],
-                       "certification_type", "matched_tax_id", "matched_b2g_id", "match_method_cert")
-    cond = None
-    for c in CONTRACT_KEY4:
-        e = F.col(c) == F.col(f"_m_{c}")
-        cond = e if cond is None else cond & e
-    j = cn.join(m, cond, "left")
-    return _contract_cert_out(j.withColumn("match_method_cert", F.coalesce("match_method_cert", F.lit(UNMATCHED))))
+        return part.join(d, part[key] == d["_dk"]).withColumn(MATCH[3], F.lit(method)).select(*CONTRACT_KEY4, *MATCH, "_n")
 
+    matched = attach(whole.filter("_t"), "taxidnumber", "tax_id", "tax_id").unionByName(
+        attach(by_b2g, "b2g_id", "b2g_id", "b2g_id")).unionByName(attach(rest, "canon_name", "canon_name", "name"))
+    matched = matched.groupBy(*CONTRACT_KEY4, *MATCH).agg(F.sum("_n").alias("_m"))
+    j = rows.join(_renamed(matched, CONTRACT_KEY4), _same(CONTRACT_KEY4), "left").withColumn(
+        MATCH[3], F.coalesce(MATCH[3], F.lit(UNMATCHED)))
+    return _contract_cert_out(j, "_n", "_m")
 
-def _anti(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of ``left`` with no row of ``right`` equal on ``cols`` (SQL ``=``)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols]).distinct()
-    cond = None
+
+def expand_copies(weighted: DataFrame) -> DataFrame:
+    """The rows that ``_n`` and ``_m`` stand for (a frame without them is returned as it is)."""
+    if "_n" not in weighted.columns:
+        return weighted
+    one = weighted.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i", "_n")
+    return one.select("*", F.explode(F.sequence(F.lit(1), F.coalesce("_m", F.lit(1)))).alias("_i")).drop("_i", "_m")
+
+
+def _weight(cert: DataFrame):
+    """How many rows of M1 a row stands for."""
+    return F.col("_n") * F.coalesce("_m", F.lit(1)) if "_n" in cert.columns else F.lit(1)
+
+
+def _renamed(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_r_{c}" for c in cols or df.columns})
+
+
+def _same(cols: list[str]):
+    """SQL ``=`` on every column against its renamed twin."""
+    cond = F.lit(True)
     for c in cols:
-        e = F.col(c) == F.col(f"_r_{c}")
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "left_anti")
+        cond = cond & (F.col(c) == F.col(f"_r_{c}"))
+    return cond
 
 
-def _contract_cert_out(df: DataFrame) -> DataFrame:
+def _contract_cert_out(df: DataFrame, *more: str) -> DataFrame:
     return df.select("b2g_id", "prime_vendor", "contract_holder", "business_name", "vendor_type",
                      money("amount_paid").alias("amount_paid"), "audit_period", "taxidnumber",
-                     "certification_type", "matched_tax_id", "matched_b2g_id", "match_method_cert")
+                     *MATCH, *more)
 
 
 # -------------------------------------------------------------------- M2-M5
 def contract_totals(cert: DataFrame, version: int = 2) -> DataFrame:
-    """M2 (v1) / M3 (v2): contract totals by the normalised row identity."""
+    """M2 (v1) / M3 (v2): contract totals by the normalised row identity.
+
+    ``cert`` is M1 or :func:`contract_cert_weighted`, whose counts multiply the amounts.
+    """
     c = cert.filter(F.col("contract_holder").isNotNull() & F.col("business_name").isNotNull())
-    total = money(F.sum(F.coalesce("amount_paid", F.lit(0)))).alias("total_amount")
+    total = money(F.sum(F.coalesce("amount_paid", F.lit(0)) * _weight(cert))).alias("total_amount")
     if version == 1:
         return c.groupBy(
             F.col("contract_holder").alias("agency_name"),
@@ -271,10 +299,8 @@ def agency_cert(vendors: DataFrame, spend: DataFrame, include_source: bool = Tru
 
 # ----------------------------------------------------------------------- M8
 def _contract_flag_tables(cn: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A4/A5: prime/sub presence flags per contract tax id and per canonical name.
+    """A4/A5: prime/sub presence flags per contract tax id and per canonical name, one grouped count each.
 
-    Both tables come from one ``GROUPING SETS ((tax), (name))`` aggregation:
-    one scan and one (partial + final) shuffle instead of two.
     ``COUNT(*) FILTER (WHERE p) > 0`` is ``count_if(p) > 0`` (NULL-safe).
     """
     c = cn.filter(F.col("business_name").isNotNull()).select(
@@ -282,14 +308,9 @@ def _contract_flag_tables(cn: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("vendor_type").alias("vt"), F.col("payment_type").alias("pt"))
     is_prime = F.col("vt").isin(*PRIME_TYPES) | (F.col("pt") == "PRIME")
     is_sub = F.col("vt").isin(*SUB_TYPES) | F.col("pt").isin(*SUB_TYPES)
-    g = c.groupingSets([["cn_tax"], ["cn_name"]], "cn_tax", "cn_name").agg(
-        (F.count_if(is_prime) > 0).alias("has_vendor_type_prime"),
-        (F.count_if(is_sub) > 0).alias("has_vendor_type_sub"),
-        F.grouping_id().alias("_gid"))
-    # grouping_id bits follow (cn_tax, cn_name): 1 = grouped by tax, 2 = grouped by name
-    by_tax = g.filter((F.col("_gid") == 1) & F.col("cn_tax").isNotNull()).drop("cn_name", "_gid")
-    by_name = g.filter(F.col("_gid") == 2).drop("cn_tax", "_gid")
-    return by_tax, by_name
+    flags = [(F.count_if(is_prime) > 0).alias("has_vendor_type_prime"), (F.count_if(is_sub) > 0).alias("has_vendor_type_sub")]
+    return (c.filter(F.col("cn_tax").isNotNull()).groupBy("cn_tax").agg(*flags),
+            c.filter(F.col("cn_name").isNotNull()).groupBy("cn_name").agg(*flags))
 
 
 def agency_cert_flags(agency: DataFrame, contracts: DataFrame, strip_suffix: bool = True,
@@ -309,8 +330,8 @@ def agency_cert_flags(agency: DataFrame, contracts: DataFrame, strip_suffix: boo
         F.col("has_vendor_type_sub").alias("_n_s"))
     a = agency.withColumn("_tax", blank_to_null("tax_id")) \
               .withColumn("_canon", canon_name_a("business_name", strip_suffix))
-    j = (a.join(by_tax, F.col("_tax") == F.col("_t_key"), "left")
-          .join(by_name, F.col("_canon") == F.col("_n_key"), "left"))
+    j = (a.join(by_tax, spread("_tax", agency.columns) == F.col("_t_key"), "left")
+          .join(by_name, spread("_canon", agency.columns) == F.col("_n_key"), "left"))
     t_hit = F.col("_t_key").isNotNull()
     n_hit = F.col("_n_key").isNotNull()
     return j.select(
@@ -353,12 +374,12 @@ def certified_spend(flags: DataFrame, cert: DataFrame, strip_suffix: bool = True
     c = cert.filter(F.col("business_name").isNotNull() & F.col("prime_vendor").isNotNull()
                     & F.col("contract_holder").isNotNull())
     is_sub = F.col("vendor_type").isin(*SUB_TYPES)
-    c = with_canonical(c, {"_s_agency": ("contract_holder", lambda x: canon_name_a(x, strip_suffix)),
-                           "_s_prime": ("prime_vendor", lambda x: canon_name_a(x, strip_suffix))})
+    c = c.withColumns({"_s_agency": canon_name_a("contract_holder", strip_suffix),
+                       "_s_prime": canon_name_a("prime_vendor", strip_suffix), "_paid": F.col("amount_paid") * _weight(cert)})
     subs = c.groupBy("_s_agency", "_s_prime").agg(
-        F.sum(F.when(is_sub & F.col("certification_type").isNotNull(), F.col("amount_paid"))
+        F.sum(F.when(is_sub & F.col("certification_type").isNotNull(), F.col("_paid"))
               .otherwise(F.lit(0))).alias("_cert"),
-        F.sum(F.when(is_sub & F.col("certification_type").isNull(), F.col("amount_paid"))
+        F.sum(F.when(is_sub & F.col("certification_type").isNull(), F.col("_paid"))
               .otherwise(F.lit(0))).alias("_uncert"))
     a = flags.withColumn("_a_agency", canon_name_a("agency_name", strip_suffix)) \
              .withColumn("_a_prime", canon_name_a("business_name", strip_suffix))
@@ -383,8 +404,8 @@ def _primes_canon(primes: DataFrame) -> DataFrame:
 
 
 def _contract_subs(totals: DataFrame) -> DataFrame:
-    t = with_canonical(totals.filter(is_sub_type("vendor_type")),
-                       {"s_canon_prime": ("prime_vendor", canon_name_b), "s_canon_agency": ("agency_name", canon_name_b)})
+    t = totals.filter(is_sub_type("vendor_type")).withColumns(
+        {"s_canon_prime": canon_name_b("prime_vendor"), "s_canon_agency": canon_name_b("agency_name")})
     return t.select(
         F.col("tax_id").alias("s_tax_id"), "s_canon_prime", "s_canon_agency",
         F.col("b2g_id").cast("string").alias("sub_b2g_id"),

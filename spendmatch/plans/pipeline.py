@@ -100,21 +100,27 @@ class SpendMarts:
         return self._keep(marts.contracts_norm(self.contracts, self.strip_suffix))
 
     # ---- contract side
+    @cached_property
+    def contract_weighted(self) -> DataFrame:
+        """M1 with counts instead of copies, which M2, M3 and M10 read."""
+        if self.contract_mode == "literal":
+            return self._keep(marts.contract_cert_weighted(
+                self.vendors, self.contracts, self.strip_suffix, self._keep, self.contracts_norm))
+        return self._keep(marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
+                                              strip_suffix=self.strip_suffix, keep=self._keep,
+                                              normalized=self.contracts_norm))
+
     @cached_property
     def contract_cert(self) -> DataFrame:                      # M1
-        # not copied: inside one query only M3 (or M10) reads it, and refresh()
-        # writes it as its own table before M2/M3/M10 read it there
-        return marts.contract_cert(self.vendors, self.contracts, mode=self.contract_mode,
-                                   strip_suffix=self.strip_suffix, keep=self._keep,
-                                   normalized=self.contracts_norm)
+        return marts.expand_copies(self.contract_weighted)
 
     @cached_property
     def contract_totals_v1(self) -> DataFrame:                 # M2
-        return marts.contract_totals(self.contract_cert, version=1)
+        return marts.contract_totals(self.contract_weighted, version=1)
 
     @cached_property
     def contract_totals(self) -> DataFrame:                    # M3
-        return self._keep_mart(marts.contract_totals(self.contract_cert, version=2))
+        return self._keep_mart(marts.contract_totals(self.contract_weighted, version=2))
 
     @cached_property
     def contract_subs(self) -> DataFrame:                      # M4
@@ -144,7 +150,7 @@ class SpendMarts:
 
     @cached_property
     def certified_spend(self) -> DataFrame:                    # M10
-        return marts.certified_spend(self.flags, self.contract_cert, strip_suffix=self.strip_suffix)
+        return marts.certified_spend(self.flags, self.contract_weighted, strip_suffix=self.strip_suffix)
 
     def prime_with_subs(self, mode: str = "tax_then_name") -> DataFrame:   # M11-M14
         return marts.prime_with_subs(self.prime_totals, self.contract_totals, mode=mode)
@@ -204,7 +210,7 @@ class SpendMarts:
         spark = self.contracts_raw.sparkSession
         self._keep_mart = lambda df: df      # the written mart tables are the reuse points
         # shared inputs first, on this thread (cached properties are not locked)
-        _ = (self.vendors, self.contracts, self.spend, self.contracts_norm)
+        _ = (self.vendors, self.contracts, self.spend, self.contracts_norm, self.contract_weighted)
 
         def run(table: str) -> tuple[str, str]:
             path = f"{out_dir.rstrip('/')}/{table}"

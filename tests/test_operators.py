@@ -95,15 +95,3 @@ def test_best_vendor_picks_hierarchy_on_hot_key(spark):
                                     "certification_type string, certification_status string")
     out = {r.tax_id: r.certification_type for r in matching.best_vendor(v, keys=("tax", "name")).collect()}
     assert out == {"111": "MWBE"}        # Active first, then MWBE before WBE/VOB; Beta's best is Expired
-
-
-def test_with_canonical_dictionary_and_per_row_paths_agree(spark):
-    from spendmatch.functions.text import canon_name_a, canon_name_b
-    from spendmatch.operators.canon import with_canonical
-    names = ["Acme, LLC", "ACME", None, "Foo Co Inc", "  Bar Inc. ", "Acme, LLC"]
-    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
-    specs = {"a": ("n", canon_name_a), "b": ("n", canon_name_b)}
-    via_dict = sorted(tuple(r) for r in with_canonical(df, specs).select("i", "a", "b").collect())
-    per_row = sorted(tuple(r) for r in with_canonical(df, specs, max_distinct=1).select("i", "a", "b").collect())
-    assert via_dict == per_row
-    assert dict((r[0], r[1]) for r in via_dict)[2] is None        # NULL name -> NULL canonical name
