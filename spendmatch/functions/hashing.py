@@ -33,12 +33,17 @@ def float10g(c) -> Column:
 
     Ten significant digits; fixed notation when the decimal exponent is in
     [-4, 10), scientific otherwise; trailing zeros (and a bare point) removed.
-    ``format_string('%.9e')`` gives the rounded mantissa and exponent; the
-    fixed branch reads that rounded literal back as an exact decimal.  NaN
+    ``format_string('%.9e')`` gives the mantissa and exponent, rounded half up
+    on the shortest digits; where those digits are a tie, :func:`_untied`
+    compares the stored binary value with it, as Python does.  The
+    fixed branch reads the rounded literal back as an exact decimal.  NaN
     maps to NULL (the caller's missing-value rule applies), infinities to
     ``inf``/``-inf`` and negative zero to ``-0``.
     """
-    v = _c(c).cast("double")
+    return _let(_untied(_c(c).cast("double")), _ten_digits)
+
+
+def _ten_digits(v: Column) -> Column:
     e = F.format_string("%.9e", v)
     mant = F.regexp_extract(e, r"^(-?[0-9.]+)e", 1)
     exp_txt = F.regexp_extract(e, r"e([+-][0-9]+)$", 1)
@@ -54,6 +59,67 @@ def float10g(c) -> Column:
             .otherwise(sci))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` written, and evaluated, once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _two_product(a: Column, b: Column) -> tuple[Column, Column]:
+    """(p, r) with p + r exactly the product of two doubles (Dekker)."""
+    def halves(x: Column) -> tuple[Column, Column]:
+        c = x * F.lit(134217729.0)
+        high = c - (c - x)
+        return high, x - high
+    (ah, al), (bh, bl) = halves(a), halves(b)
+    p = a * b
+    return p, al * bl - (((p - ah * bh) - al * bh) - ah * bl)
+
+
+def _untied(v: Column) -> Column:
+    """``v``, or the ten-digit number towards zero where Python rounds a tie down.
+
+    A tie is a value whose shortest digits are halfway between two ten-digit
+    numbers: eleven digits N and an exponent.  The exact difference of the
+    stored value to N * 10^(exponent - 10) decides, an even tenth digit where
+    it is zero.  Exponents outside [-12, 32] keep rounding half up.
+    """
+    digits = F.format_string("%.16e", v)
+    tie = r"^(-?)([0-9])\.([0-9]{9})50*e([+-][0-9]+)$"
+
+    def lower(d: Column) -> Column:
+        def part(k: int) -> Column:
+            return F.regexp_extract(d, tie, k)
+        facts = F.struct(F.concat(part(2), part(3)).cast("double").alias("ten"), part(4).cast("int").alias("exp"),
+                         F.concat(part(1), part(2), F.lit("."), part(3), F.lit("e"), part(4)).cast("double").alias("low"),
+                         F.abs(d.cast("double")).alias("x"))
+        return _let(facts, decide)
+
+    def decide(f: Column) -> Column:
+        # below the tie's scale the value is scaled up, above it the tie; powers of ten to 10^22 are exact
+        up, up_rest = _two_product(f["x"], F.pow(F.lit(10.0), F.greatest(10 - f["exp"], F.lit(0))))
+        half, half_rest = _two_product(f["ten"] * 10 + 5, F.pow(F.lit(10.0), F.greatest(f["exp"] - 10, F.lit(0))))
+        off = (up - half) + (up_rest - half_rest)
+        down = f["exp"].between(-12, 32) & ((off < 0) | ((off == 0) & (f["ten"] % 2 == 0)))
+        return F.when(down, f["low"])
+    return F.when(digits.rlike(tie), F.coalesce(_let(digits, lower), v)).otherwise(v)
+
+
+def python_float(c) -> Column:
+    """Python ``str(v)`` of a double: shortest digits, fixed for exponents in [-4, 16), else like ``1e-05``."""
+    v = _c(c).cast("double")
+    text = v.cast("string")
+    fixed = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
+    fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    mant = F.regexp_replace(F.regexp_extract(text, r"^(.*)E", 1), r"\.0$", "")
+    sci = F.concat(mant, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    small = (F.abs(v) < 1e16) & ((F.abs(v) >= 1e-4) | (v == 0))
+    return (F.when(F.isnan(v), F.lit("nan")).when(v == float("inf"), F.lit("inf")).when(v == float("-inf"), F.lit("-inf"))
+            .when(v == 0, F.when(text.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+            .when(small, fixed).when(power < 100, sci)
+            .otherwise(F.concat(mant, F.lit("e+"), power.cast("string"))))
+
+
 def canonical_value(c, dtype: T.DataType) -> Column:
     """the text a value contributes to the fingerprint; never NULL."""
     c = _c(c)
@@ -76,7 +142,7 @@ def _raw_value(c, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         txt = F.when(c, F.lit("True")).when(~c, F.lit("False"))
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        txt = F.when(F.isnan(c), F.lit("nan")).otherwise(c.cast("string"))
+        txt = python_float(c)
     else:
         txt = c.cast("string")
     return F.coalesce(txt, F.lit("<NA>"))

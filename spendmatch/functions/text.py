@@ -56,8 +56,11 @@ def id_to_text(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    """F1 ``NULLIF(TRIM(x::text), '')``."""
-    return F.nullif(F.trim(_c(c).cast("string")), F.lit(""))
+    """F1 ``NULLIF(TRIM(x::text), '')``; a floating id prints without exponent or ``.0`` (T4)."""
+    c = _c(c)
+    v = c.try_cast("double")
+    whole = F.typeof(c).isin("double", "float") & (v == F.floor(v))  # the type is known when planning
+    return F.nullif(F.trim(F.when(whole, v.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))), F.lit(""))
 
 
 def norm_label(c) -> Column:

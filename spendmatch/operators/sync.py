@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendmatch.functions.hashing import AUDIT_COLUMNS, hash_columns, row_hash
-from spendmatch.operators.ingest import clean_keys, split_valid_keys
+from spendmatch.operators.ingest import clean_keys, nan_to_null, normalize_columns, split_valid_keys, trim_strings
+from spendmatch.operators.matching import spread
 
 OPS = ("insert", "update", "unchanged", "frozen", "delete", "orphan")
 
@@ -69,17 +70,23 @@ class Prepared:
 
 def prepare_incoming(df: DataFrame, keys: list[str], now, hash_mode: str = "canonical",
                      on_duplicate_key: str = "error", order_col: str | None = None) -> Prepared:
-    """Clean keys, split off rejects, fingerprint rows (F17), stamp ``updated_at``."""
+    """Clean keys, NaN to NULL, split off rejects, fingerprint rows (F17), stamp ``updated_at``.
+
+    Repeated keys raise :class:`DuplicateKeyError`, or with ``"last"`` the row
+    with the greatest ``order_col`` is taken (C9).
+    """
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise KeyError(f"conflict keys {missing} not in columns {df.columns}")
-    df = clean_keys(df, keys)
+    df = nan_to_null(clean_keys(df, keys))
     ok, bad = split_valid_keys(df, keys)
     if on_duplicate_key == "last":
         if not order_col:
             raise ValueError("on_duplicate_key='last' needs order_col")
         ok = dedupe_last(ok, keys, order_col)
-    elif on_duplicate_key != "error":
+    elif on_duplicate_key == "error":
+        assert_unique(ok, keys, "incoming")
+    else:
         raise ValueError(f"unknown on_duplicate_key {on_duplicate_key!r}")
     cols = hash_columns(ok)
     hashed = ok.withColumn("row_hash", row_hash(ok, cols, mode=hash_mode)) \
@@ -109,7 +116,8 @@ def classify(target: DataFrame, incoming: DataFrame, keys: list[str], now,
         cond = e if cond is None else cond & e
     j = t.join(i, cond, "full_outer")
     # hash-based stale check only for keys the snapshot lacks (J16: semi join on hash)
-    j = j.join(hashes, (F.col("i_row_hash").isNull()) & (F.col("t_row_hash") == F.col("_h")), "left")
+    absent = spread(F.when(F.col("i_row_hash").isNull(), F.col("t_row_hash")), j.columns)
+    j = j.join(hashes, absent == F.col("_h"), "left")
     in_t = F.col(f"t_{keys[0]}").isNotNull()
     in_i = F.col(f"i_{keys[0]}").isNotNull()
     th, ih = F.col("t_row_hash"), F.col("i_row_hash")
@@ -171,34 +179,37 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], now) -> Data
 def delete_stale(target: DataFrame, incoming: DataFrame, incoming_empty: bool | None = None) -> DataFrame:
     """C4 alone: drop rows whose non-NULL hash is not among the incoming hashes.
 
-    Hash set membership is a left semi join (J16/U4); an empty snapshot keeps
-    the table as is.
+    Hash set membership is one outer join on the hash (J16/U4), in which rows
+    without a hash are spread and match nothing; an empty snapshot keeps the
+    table as is.
     """
     if incoming_empty is None:
         incoming_empty = incoming.isEmpty()
     if incoming_empty:
         return target
     hashes = incoming.select(F.col("row_hash").alias("_h")).filter(F.col("_h").isNotNull()).distinct()
-    kept = target.join(hashes, target["row_hash"] == hashes["_h"], "left_semi")
-    return kept.unionByName(target.filter(F.col("row_hash").isNull()))
+    found = target.join(hashes, spread("row_hash", target.columns) == F.col("_h"), "left")
+    return found.filter(F.col("row_hash").isNull() | F.col("_h").isNotNull()).select(*target.columns)
 
 
 def sync_stats(prepared: Prepared, result: SyncResult) -> DataFrame:
     """C11: run statistics as (stat, value) rows — dropped keys, duplicate
     hashes, upserted, deleted, and the count of every op that occurred."""
-    rows, c = prepared.rows, result.classified
-    parts = [
-        prepared.rejected.agg(F.lit("dropped").alias("stat"), F.count(F.lit(1)).alias("value")),
-        rows.agg(F.lit("duplicate_hashes").alias("stat"),
-                 (F.count(F.lit(1)) - F.count_distinct("row_hash")).alias("value")),
-        c.agg(F.lit("upserted").alias("stat"), F.count_if(F.col("op").isin("insert", "update")).alias("value")),
-        c.agg(F.lit("deleted").alias("stat"), F.count_if(F.col("op") == "delete").alias("value")),
-        c.groupBy(F.col("op").alias("stat")).agg(F.count(F.lit(1)).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def stat(name: str, value):
+        return F.struct(F.lit(name).alias("stat"), value.cast("bigint").alias("value"))
+
+    zero, n = F.lit(0), F.col("n")
+    dropped = prepared.rejected.agg(F.count(F.lit(1)).alias("n")).select(
+        F.inline(F.array(stat("dropped", n), stat("upserted", zero), stat("deleted", zero))))
+    repeated = prepared.rows.agg((F.count(F.lit(1)) - F.count_distinct("row_hash")).alias("n")).select(
+        F.inline(F.array(stat("duplicate_hashes", n))))
+    # one pass over the classified rows: a count per op, which also adds up to the two totals
+    op = F.col("op")
+    total = F.when(op.isin("insert", "update"), F.lit("upserted")).when(op == "delete", F.lit("deleted"))
+    ops = result.classified.groupBy("op").agg(F.count(F.lit(1)).alias("n")).select(
+        F.inline(F.array(F.struct(op.alias("stat"), n.alias("value")), F.struct(total.alias("stat"), n.alias("value")))))
+    summed = dropped.unionByName(repeated).unionByName(ops.filter("stat is not null"))
+    return summed.groupBy("stat").agg(F.sum("value").alias("value"))
 
 
 def write_synced(result: SyncResult, out_path: str) -> None:
@@ -206,6 +217,30 @@ def write_synced(result: SyncResult, out_path: str) -> None:
     result.table.write.mode("errorifexists").parquet(out_path)
 
 
+def sync_sheet(spark, sheet: DataFrame, target: DataFrame | None, keys: list[str], now, on_duplicate_key: str = "error",
+               order_col: str | None = None, order: str = "upsert_first", hash_mode: str = "canonical") -> tuple[Prepared, SyncResult]:
+    """One sheet end to end: headers, strings, types, keys, rejects, target, audit columns, key check, upsert, stale delete.
+
+    ``keys`` and ``order_col`` name normalised headers.  An absent target (None)
+    is an empty one with the sheet's columns; a target without audit columns
+    gets them.  ``order_col`` only orders repeated keys and is not stored.
+    """
+    from spendmatch.sources.tables import infer_types
+
+    df = infer_types(trim_strings(normalize_columns(sheet)))
+    if target is not None:
+        target = add_audit_columns(target, now)
+        assert_unique(target, keys, "target")
+    prep = prepare_incoming(df, keys, now, hash_mode, on_duplicate_key, order_col)
+    if order_col:
+        rows = prep.rows.drop(order_col, "row_hash")
+        prep = Prepared(rows.withColumn("row_hash", row_hash(rows, hash_columns(rows), mode=hash_mode)), prep.rejected)
+    if target is None:
+        data = [c for c in prep.rows.columns if c not in AUDIT_COLUMNS]
+        target = add_audit_columns(prep.rows.select(*data).limit(0), now)
+    return prep, sync(target, prep.rows, keys, now, order=order)
+
+
 def sync_many(spark, datasets: dict, now, writer=None) -> dict[str, object]:
     """Sync every named dataset with its own keys; one failure does not stop the rest.
 
@@ -219,8 +254,7 @@ def sync_many(spark, datasets: dict, now, writer=None) -> dict[str, object]:
             keys = spec.get("keys")
             if not keys:
                 raise KeyError(f"no conflict keys defined for {name!r}")
-            prep = prepare_incoming(spec["incoming"], keys, now)
-            res = sync(spec["target"], prep.rows, keys, now, order=spec.get("order", "upsert_first"))
+            _, res = sync_sheet(spark, spec["incoming"], spec["target"], keys, now, order=spec.get("order", "upsert_first"))
             if writer is not None:
                 writer(name, res)
             out[name] = res

@@ -103,7 +103,8 @@ cte("agency_spend", ["sup"], f"""
     CASE WHEN n_nationkey % 12 = 11 THEN NULL ELSE CAST(n_nationkey AS VARCHAR) END AS agency_number,
     n_name AS agency_name,
     {name_form('s_name', '(s_suppkey + n_nationkey) % 4')} AS business_name,
-    CASE WHEN (s_suppkey + n_nationkey) % 3 = 0 THEN '' ELSE vtax END AS tax_id,
+    CASE WHEN (s_suppkey + n_nationkey) % 3 = 0 THEN ''
+         WHEN (s_suppkey + n_nationkey) % 7 = 1 THEN CAST(s_suppkey + 700000000 AS VARCHAR) ELSE vtax END AS tax_id,
     CASE WHEN s_suppkey % 29 = 0 THEN NULL ELSE amt END AS total_amount
   FROM (SELECT c_nationkey, l_suppkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS amt
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -113,7 +114,8 @@ cte("agency_spend", ["sup"], f"""
 cte("contract_lines", ["sup"], f"""
   SELECT
     CASE WHEN l_partkey % 4 = 0 THEN ' ' ELSE ls.vnum END AS b2gnow_id,
-    ps.s_name AS prime_vendor, n_name AS contract_holder,
+    CASE WHEN l_orderkey % 31 = 7 THEN 'Harbor Works ' || CAST(l_orderkey % 5 AS VARCHAR) ELSE ps.s_name END AS prime_vendor,
+    n_name AS contract_holder,
     CASE WHEN l_linenumber = 1 THEN ps.s_name ELSE {name_form('ls.s_name', 'l_linenumber % 3')} END AS business_name,
     CASE WHEN l_linenumber = 1 THEN ' Prime ' WHEN l_linenumber = 2 THEN 'sub' ELSE 'Subcontractor' END
       AS vendor_type,
@@ -568,10 +570,8 @@ def profile_sql(tables: dict[str, list[tuple[str, str]]] = PROFILE_TABLES) -> st
     return "\nUNION ALL\n".join(parts)
 
 
-# ---- S2 type inference over the agency spend rendered as text
-INFER_TYPES = query(f"""
-SELECT CAST(row_id AS BIGINT) AS row_id, source,
-       TRY_CAST({nb('agency_number')} AS BIGINT) AS agency_number, agency_name, business_name,
-       TRY_CAST({nb('tax_id')} AS BIGINT) AS tax_id,
-       TRY_CAST({nb('total_amount')} AS DOUBLE) AS total_amount
+# ---- S2: whole-number doubles become integers, text stays text
+INFER_TYPES = query("""
+SELECT row_id, source, CAST(agency_number AS BIGINT) AS agency_number, agency_name, business_name, tax_id,
+       CAST(total_amount AS DOUBLE) AS total_amount
 FROM agency_spend""", ["agency_spend"])

@@ -25,7 +25,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from spendmatch.plans import marts
-from spendmatch.session import materialize
+from spendmatch.session import drop_table, materialize
 from spendmatch.sources import fixtures as fx
 from spendmatch.sources.tables import refresh_mart
 
@@ -42,8 +42,9 @@ class SpendMarts:
                  contract_mode: str = "literal", strip_suffix: bool = True, inputs_stored: bool = False):
         from pyspark import StorageLevel
         self._cached: list[DataFrame] = []
+        self._tables: list[str] = []
         if keep == "table":
-            self._keep = materialize
+            self._keep = lambda df: materialize(df, made=self._tables)
         elif keep == "cache":
             def _cache(df):
                 # fill the cache before any consumer runs: AQE starts independent
@@ -76,10 +77,13 @@ class SpendMarts:
         return cls(fx.vendors(spark, sf_dir), fx.contracts(spark, sf_dir), fx.agency_spend(spark, sf_dir), **kw)
 
     def release(self) -> None:
-        """Drop the caches of ``keep="cache"``."""
+        """Drop the caches and written intermediates; frames that still read them are then void."""
         for df in self._cached:
             df.unpersist()
         self._cached.clear()
+        for path in self._tables:
+            drop_table(self.contracts_raw.sparkSession, path)
+        self._tables.clear()
 
     # ---- inputs (each is read several times downstream)
     @cached_property

@@ -11,6 +11,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendmatch import oracle as O
 from spendmatch.plans import marts
@@ -275,10 +276,14 @@ def a20_repeated_values(spark, d):
 
 
 @register("r1_drop_blank_rows", O.query(
-    f"SELECT agency_number, tax_id FROM agency_spend WHERE {O.nb('agency_number')} IS NOT NULL "
-    f"OR {O.nb('tax_id')} IS NOT NULL", ["agency_spend"]))
+    "SELECT CAST(row_id AS VARCHAR) AS row_id, source, agency_number, agency_name, business_name, tax_id, "
+    "CAST(total_amount AS VARCHAR) AS total_amount FROM agency_spend WHERE row_id % 17 <> 0", ["agency_spend"]))
 def r1_drop_blank_rows(spark, d):
-    return Q.drop_blank_rows(fx.agency_spend(spark, d).select("agency_number", "tax_id"))
+    """Every column counts: each 17th row of the sheet is blank, as NULLs or as spaces."""
+    spend = fx.agency_spend(spark, d)
+    blank = F.when(F.col("row_id") % 2 == 0, F.lit("  "))
+    return Q.drop_blank_rows(spend.select(*[
+        F.when(F.col("row_id") % 17 == 0, blank).otherwise(F.col(c).cast("string")).alias(c) for c in spend.columns]))
 
 
 _R2_ORDER = [c for c in _AC_COLS if c != "agency_name"]
@@ -333,6 +338,22 @@ def c11_sync_stats(spark, d):
     return S.sync_stats(prep, S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS))
 
 
+_SHEET_SQL = O.query("""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, created_at, updated_at FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+    CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+    TIMESTAMP '2025-01-02 03:04:05' AS created_at, TIMESTAMP '2025-01-02 03:04:05' AS updated_at
+  FROM customer WHERE c_custkey % 101 <> 0)""", [])
+
+
+@register("c1_sync_sheet_new_target", _SHEET_SQL)
+def c1_sync_sheet_new_target(spark, d):
+    """A raw sheet into an absent target: headers with spaces, padded text, NaN, whole-number doubles, repeated keys (last wins)."""
+    _, result = S.sync_sheet(spark, fx.raw_sheet(spark, d), None, _SYNC_KEYS, fx.SYNC_RUN_TS, on_duplicate_key="last",
+                             order_col="sheet_row")
+    return result.table.drop("row_hash")
+
+
 @register("f17_row_hash", O.query("SELECT * FROM sync_in", ["sync_in"]))
 def f17_row_hash(spark, d):
     prep, _ = _sync_parts(spark, d)
@@ -412,10 +433,9 @@ def r3_preview_tables(spark, d):
 
 @register("s2_infer_types", O.INFER_TYPES)
 def s2_infer_types(spark, d):
-    from pyspark.sql import functions as F
     spend = fx.stored(spark, d, "agency_spend")
-    as_text = spend.select(*[F.col(c).cast("string").alias(c) for c in spend.columns])
-    return infer_types(as_text)
+    as_sheet = spend.withColumns({c: F.col(c).cast("double") for c in ("row_id", "agency_number", "total_amount")})
+    return infer_types(as_sheet)
 
 
 # ============================================================ row ids

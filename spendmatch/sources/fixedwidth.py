@@ -8,8 +8,6 @@ folder per input file with ``partitionBy`` — all in a single distributed job.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,15 +16,43 @@ from spendmatch.functions.fixedwidth import CSV_HEADERS, FIELD_ORDER, parse_colu
 CONVERTED_SUFFIX = "_converted"
 
 
-def read_fixed_width(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """S3 (a file) / S4 (a folder with a glob): one row per line with ``file_stem``."""
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a folder, on any file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def read_fixed_width(spark: SparkSession, path: str, pattern: str = "*.txt", numbered: bool = False) -> DataFrame:
+    """S3 (a file) / S4 (a folder with a glob): one row per line with ``file_stem``.
+
+    ``numbered`` adds ``line_number`` (from 1) at the cost of a count of the
+    lines of every split.
+    """
     reader = spark.read.format("text")
-    if os.path.isdir(path):
+    if is_folder(spark, path):
         reader = reader.option("pathGlobFilter", pattern)
     df = reader.load(path)
-    name = F.col("_metadata.file_name")
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    return df.select(stem.alias("file_stem"), F.col("value"))
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    if not numbered:
+        return df.select(stem.alias("file_stem"), "value")
+    lines = df.select(stem.alias("file_stem"), "value", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_row"))
+    from pyspark.sql import Window
+    splits = lines.groupBy("_file", "_at").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_at")) - F.col("_n")
+    splits = splits.select("_file", "_at", (before - F.col("_first") + 1).alias("_shift"))
+    return lines.join(splits, ["_file", "_at"]).select(
+        "file_stem", (F.col("_row") + F.col("_shift")).alias("line_number"), "value")
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
+    """One ``file_stem`` per input file, empty ones too (a scan leaves those out)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}" if is_folder(spark, path) else path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [s.getPath().getName() for s in fs.globStatus(p) or [] if s.isFile()]
+    return spark.createDataFrame([(n,) for n in names], "name string").select(
+        F.regexp_replace("name", r"\.[^.]*$", "").alias("file_stem"))
 
 
 def parse_lines(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -46,8 +72,8 @@ def keep_rows(parsed: DataFrame, cond, cols: list[str]) -> DataFrame:
     through a generator over the already computed columns keeps each regex
     evaluated once per line.
     """
-    packed = F.filter(F.array(F.struct(*cols, cond.alias("_keep"))), lambda r: r["_keep"])
-    return parsed.select(F.inline(packed)).drop("_keep")
+    row = F.array(F.struct(*cols))
+    return parsed.select(F.inline(F.when(cond, row).otherwise(F.slice(row, 1, 0))))
 
 
 def converted_rows(parsed: DataFrame) -> DataFrame:
@@ -61,13 +87,17 @@ def rejected_lines(parsed: DataFrame) -> DataFrame:
     return keep_rows(parsed, ~F.col("is_blank") & ~F.col("is_parsed"), parsed.columns)
 
 
-def run_statistics(parsed: DataFrame, by: str = "file_stem") -> DataFrame:
-    """Processed / total lines per file plus an overall row (file = NULL)."""
-    per_file = parsed.groupBy(by).agg(F.count_if("is_parsed").alias("processed_lines"),
-                                      F.count(F.lit(1)).alias("total_lines"))
-    overall = parsed.agg(F.lit(None).cast("string").alias(by), F.count_if("is_parsed").alias("processed_lines"),
-                         F.count(F.lit(1)).alias("total_lines"))
-    return per_file.unionByName(overall)
+def run_statistics(parsed: DataFrame, by: str = "file_stem", files: DataFrame | None = None) -> DataFrame:
+    """Processed / total lines per file plus an overall row (file = NULL), from one parse.
+
+    ``files`` (:func:`list_files`) adds the files without lines.
+    """
+    counts = ["processed_lines", "total_lines"]
+    per_file = parsed.groupBy(by).agg(F.count_if("is_parsed").alias(counts[0]), F.count(F.lit(1)).alias(counts[1]))
+    if files is not None:
+        per_file = files.select(by).join(per_file, by, "left").na.fill(0, counts)
+    each = F.array(F.struct(by, *counts), F.struct(F.lit(None).cast("string").alias(by), *counts))
+    return per_file.select(F.inline(each)).groupBy(by).agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def write_converted(parsed: DataFrame, out_dir: str, by: str = "file_stem") -> None:
@@ -78,12 +108,12 @@ def write_converted(parsed: DataFrame, out_dir: str, by: str = "file_stem") -> N
     rows = converted_rows(parsed)
     renamed = rows.select(F.concat(F.col(by), F.lit(CONVERTED_SUFFIX)).alias(by),
                           *[F.col(c).alias(h) for c, h in zip(FIELD_ORDER, CSV_HEADERS)])
-    (renamed.repartition(by).write.mode("overwrite").partitionBy(by)
-            .option("header", True).csv(out_dir))
+    # no repartition by file: a large report is written by the tasks that read it
+    renamed.write.mode("overwrite").partitionBy(by).option("header", True).csv(out_dir)
 
 
 def convert_folder(spark: SparkSession, in_dir: str, out_dir: str, pattern: str = "*.txt") -> DataFrame:
     """The whole folder conversion: read, parse, write; returns the run statistics."""
     parsed = parse_lines(read_fixed_width(spark, in_dir, pattern))
     write_converted(parsed, out_dir)
-    return run_statistics(parsed)
+    return run_statistics(parsed, files=list_files(spark, in_dir, pattern))

@@ -101,6 +101,10 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionAll(second).unionAll(third)
 
 
+UNKNOWN_TAX_BASE = 700000000
+OUTSIDE_PRIME = "Harbor Works "
+
+
 def _lines_with_customer_nation(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(*cols)
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -125,7 +129,9 @@ def agency_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nk % 12 == 11, F.lit(None).cast("string")).otherwise(nk.cast("string")).alias("agency_number"),
         F.col("n_name").alias("agency_name"),
         name_form(F.col("s_name"), (sk + nk) % 4).alias("business_name"),
-        F.when((sk + nk) % 3 == 0, F.lit("")).otherwise(F.col("vtax")).alias("tax_id"),
+        F.when((sk + nk) % 3 == 0, F.lit(""))
+         # an id the directory does not have: the row matches by name and the two ids disagree
+         .when((sk + nk) % 7 == 1, (sk + UNKNOWN_TAX_BASE).cast("string")).otherwise(F.col("vtax")).alias("tax_id"),
         F.when(sk % 29 == 0, F.lit(None).cast("decimal(28,2)")).otherwise(F.col("amt")).alias("total_amount"))
 
 
@@ -147,7 +153,9 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ln, pk = F.col("l_linenumber"), F.col("l_partkey")
     out = j.select(
         F.when(pk % 4 == 0, F.lit(" ")).otherwise(F.col("ls_vnum")).alias("b2gnow_id"),
-        F.col("ps_name").alias("prime_vendor"),
+        # some primes are no agency's vendor
+        F.when(F.col("l_orderkey") % 31 == 7, F.concat(F.lit(OUTSIDE_PRIME), (F.col("l_orderkey") % 5).cast("string")))
+         .otherwise(F.col("ps_name")).alias("prime_vendor"),
         F.col("n_name").alias("contract_holder"),
         F.when(ln == 1, F.col("ps_name")).otherwise(name_form(F.col("ls_name"), ln % 3)).alias("business_name"),
         F.when(ln == 1, F.lit(PRIME_LABEL)).when(ln == 2, F.lit(SUB_LABEL))
@@ -178,6 +186,19 @@ def sync_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+def raw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet as typed by hand: spaced headers, padded text, NaN, doubles for integers, some keys twice."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    last = c.select(
+        F.when(k % 101 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), k.cast("string"), F.lit("\t"))).alias(" C Custkey"),
+        F.concat(F.col("c_name"), F.lit("  ")).alias("C Name"), F.col("c_nationkey").cast("double").alias("C Nationkey "),
+        F.when(k % 9 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("c Acctbal"),
+        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("C MKTsegment"), F.lit(2).alias("Sheet Row"))
+    first = last.filter(k % 11 == 0).withColumns({"C Name": F.lit("replaced"), "Sheet Row": F.lit(1)})
+    return last.unionAll(first)
+
+
 def sync_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing table state: some rows missing, some changed, stale and frozen rows."""
     from spendmatch.functions.hashing import row_hash

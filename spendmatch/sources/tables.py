@@ -47,41 +47,48 @@ def read_tables(spark: SparkSession, sources: dict[str, str], wanted: list[str]
     return out
 
 
-def infer_types(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Best-fit nullable types for string columns (``convert_dtypes``).
-
-    One aggregate pass decides, per column, whether every non-NULL value parses
-    as bigint, else double, else boolean; the frame is then re-typed with
-    ``try_cast``.  Columns that fit nothing stay strings.
+def infer_types(df: DataFrame, cols: list[str] | None = None, parse_text: bool = False) -> DataFrame:
+    """Best-fit nullable types (``convert_dtypes``).
+
+    A floating column whose values are all whole numbers (or missing) becomes
+    bigint, with NaN as NULL; text stays text.  ``parse_text=True`` also types
+    text columns whose non-blank values all read as integers, numbers or
+    booleans; a leading zero or sign marks an id and keeps the column text.
+    One aggregate pass decides.
     """
-    str_cols = [f.name for f in df.schema.fields
-                if isinstance(f.dataType, T.StringType) and (cols is None or f.name in cols)]
-    if not str_cols:
+    wanted = [f for f in df.schema.fields if cols is None or f.name in cols]
+    floats = [f.name for f in wanted if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    texts = [f.name for f in wanted if parse_text and isinstance(f.dataType, T.StringType)]
+    if not floats and not texts:
         return df
     checks = []
-    for c in str_cols:
+    for c in floats:
+        v = F.col(c)
+        checks += [F.bool_and(v.isNull() | F.isnan(v) | ((v == F.floor(v)) & (F.abs(v) < 2.0 ** 63))).alias(f"{c}__int"),
+                   F.bool_or(v.isNotNull() & ~F.isnan(v)).alias(f"{c}__any")]
+    for c in texts:
         v = F.trim(F.col(c))
-        nonnull = F.col(c).isNull() | (v == "")
-        checks += [F.bool_and(nonnull | v.try_cast("bigint").isNotNull()).alias(f"{c}__int"),
-                   F.bool_and(nonnull | v.try_cast("double").isNotNull()).alias(f"{c}__dbl"),
-                   F.bool_and(nonnull | F.lower(v).isin("true", "false")).alias(f"{c}__bool"),
-                   F.bool_or(~nonnull).alias(f"{c}__any")]
+        blank = F.col(c).isNull() | (v == "")
+        number = v.rlike(r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$")
+        checks += [F.bool_and(blank | (number & v.try_cast("bigint").isNotNull() & ~v.contains("."))).alias(f"{c}__int"),
+                   F.bool_and(blank | number).alias(f"{c}__dbl"),
+                   F.bool_and(blank | F.lower(v).isin("true", "false")).alias(f"{c}__bool"),
+                   F.bool_or(~blank).alias(f"{c}__any")]
     fit = df.agg(*checks).first().asDict()   # one row of booleans per column
     exprs = []
     for f in df.schema.fields:
         c = f.name
-        if c in str_cols and fit[f"{c}__any"]:
-            v = F.nullif(F.trim(F.col(c)), F.lit(""))
-            if fit[f"{c}__int"]:
-                exprs.append(v.try_cast("bigint").alias(c))
-                continue
-            if fit[f"{c}__dbl"]:
-                exprs.append(v.try_cast("double").alias(c))
-                continue
-            if fit[f"{c}__bool"]:
-                exprs.append((F.lower(v) == "true").alias(c))
-                continue
-        exprs.append(F.col(c))
+        v = F.nullif(F.trim(F.col(c)), F.lit("")) if c in texts else F.when(~F.isnan(c), F.col(c)) if c in floats else F.col(c)
+        if c not in floats + texts or not fit[f"{c}__any"]:
+            exprs.append(F.col(c))
+        elif fit[f"{c}__int"]:
+            exprs.append(v.cast("bigint").alias(c))
+        elif c in texts and fit[f"{c}__dbl"]:
+            exprs.append(v.cast("double").alias(c))
+        elif c in texts and fit[f"{c}__bool"]:
+            exprs.append((F.lower(v) == "true").alias(c))
+        else:
+            exprs.append(F.col(c))
     return df.select(*exprs)
 
 
@@ -137,9 +144,11 @@ def initial_load(df: DataFrame, target: str) -> bool:
     return True
 
 
-def write_rejects(df_bad: DataFrame, path: str, limit: int | None = 100, all_path: str | None = None) -> None:
-    """Header CSV with the first ``limit`` rejected rows; optionally all of them as Parquet."""
-    sample = df_bad.limit(limit) if limit else df_bad
-    sample.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    if all_path:
-        df_bad.write.mode("overwrite").parquet(all_path)
+def write_rejects(df_bad: DataFrame, path: str, limit: int = 100, order_by: list[str] | None = None) -> None:
+    """Every rejected row as Parquet under ``path/all``, and a header CSV of the first ``limit`` under ``path/sample``.
+
+    The sample is ordered by ``order_by``, or by all columns.
+    """
+    df_bad.write.mode("overwrite").parquet(f"{path}/all")
+    kept = df_bad.sparkSession.read.schema(df_bad.schema).parquet(f"{path}/all")
+    kept.orderBy(*(order_by or kept.columns)).limit(limit).write.mode("overwrite").option("header", True).csv(f"{path}/sample")

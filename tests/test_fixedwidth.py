@@ -65,3 +65,17 @@ def test_stream_conversion_reads_each_file_once(spark, tmpdir_path):
     start_conversion(spark, src, out, rej, ck).awaitTermination(120)   # only b.txt is new
     assert spark.read.option("header", True).csv(out).count() == 3
     assert spark.read.parquet(rej).count() == 3
+
+
+def test_folder_conversion_counts_empty_files_and_numbers_rejects(spark, tmp_path):
+    from spendmatch.sources import fixedwidth as FW
+    good = "10001Acme 100000001 AB 12.50 2513"
+    (tmp_path / "in").mkdir()
+    for name, lines in {"a.txt": [good, "", "junk", good], "b.txt": [], "c.csv": [good]}.items():
+        (tmp_path / "in" / name).write_text("".join(x + "\n" for x in lines))
+    folder = f"file:{tmp_path}/in"       # the pattern holds for a URI too
+    stats = {r.file_stem: (r.processed_lines, r.total_lines) for r in FW.convert_folder(spark, folder, f"{tmp_path}/out").collect()}
+    assert stats == {"a": (2, 4), "b": (0, 0), None: (2, 4)}
+    parsed = FW.parse_lines(FW.read_fixed_width(spark, folder, numbered=True))
+    assert [(r.file_stem, r.line_number) for r in FW.rejected_lines(parsed).collect()] == [("a", 3)]
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out").count() == 2

@@ -137,3 +137,23 @@ def test_surrogate_id_and_pad(spark):
     assert got == [ref("District 5", "123", "Split"), ref("D", "1234567", None), None]
     pads = [r.o for r in df.select(keys.pad_start("z").alias("o")).collect()]
     assert pads == ["00123", "1234567", "00001"]
+
+
+def test_float10g_ties_follow_the_stored_value(spark):
+    """Eleventh digits of exactly five: Python rounds the binary value, half to even where it is exact."""
+    import random
+    rng = random.Random(4)
+    vals = [123456789.25, 123456789.75, 100000000.05, 100000000.15, 0.00012345678905, 1234567890.5, 1234567891.5, 2.5e-5,
+            1.0000000005, 12345678905e3, 1.23456789055e20, -123456789.25]
+    vals += [rng.randrange(10 ** 10, 10 ** 11) // 10 * 10 / 10 ** rng.randrange(1, 15) + 0 for _ in range(50)]
+    vals += [(rng.randrange(10 ** 9, 10 ** 10) * 10 + 5) / 10 ** rng.randrange(0, 15) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.o for r in df.select(hashing.float10g("v").alias("o")).collect()]
+    assert got == [f"{v:.10g}" for v in vals]
+
+
+def test_python_float_text(spark):
+    vals = [12345678.0, 0.0001, 0.00001, 1e16, 1.5e300, 123456789012345.6, 1e15, -0.0, 0.1, 100.0, 2.5e-7, float("inf"), -1e22]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.o for r in df.select(hashing.python_float("v").alias("o")).collect()]
+    assert got == [str(v) for v in vals]

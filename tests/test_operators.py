@@ -3,6 +3,8 @@ operators (W1, R2, A19) checked against brute force on skewed data."""
 
 import os
 
+import pytest
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,10 +32,10 @@ def test_ensure_target_initial_load_and_rejects(spark, tmpdir_path):
     assert tables.initial_load(df, path) is False                      # not empty any more
     assert spark.read.parquet(path).count() == 1
     rej = os.path.join(tmpdir_path, "rejects")
-    tables.write_rejects(spark.range(250).withColumnRenamed("id", "k"), rej, limit=100,
-                         all_path=os.path.join(tmpdir_path, "all_rejects"))
-    assert spark.read.option("header", True).csv(rej).count() == 100
-    assert spark.read.parquet(os.path.join(tmpdir_path, "all_rejects")).count() == 250
+    tables.write_rejects(spark.range(250).withColumnRenamed("id", "k"), rej, limit=100)
+    sample = spark.read.option("header", True).option("inferSchema", True).csv(f"{rej}/sample")
+    assert sorted(r.k for r in sample.collect()) == list(range(100))     # the first by their values
+    assert spark.read.parquet(f"{rej}/all").count() == 250               # none is dropped
     tables.refresh_mart(df, os.path.join(tmpdir_path, "mart"))
     tables.refresh_mart(df.union(df), os.path.join(tmpdir_path, "mart"))   # full refresh replaces
     assert spark.read.parquet(os.path.join(tmpdir_path, "mart")).count() == 2
@@ -42,9 +44,70 @@ def test_ensure_target_initial_load_and_rejects(spark, tmpdir_path):
 def test_infer_types(spark):
     df = spark.createDataFrame([("1", "1.5", "true", "x", " "), ("22", None, "False", "y", None)],
                                "a string, b string, c string, d string, e string")
-    out = tables.infer_types(df)
+    assert tables.infer_types(df).schema == df.schema                    # text stays text
+    out = tables.infer_types(df, parse_text=True)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double", "boolean", "string",
                                                                       "string"]
+    ids = spark.createDataFrame([("012345678", "00501", 3.0, 2.5, float("nan"))], "a string, z string, w double, d double, n double")
+    got = tables.infer_types(ids, parse_text=True).first()
+    assert (got.a, got.z, got.w, got.d) == ("012345678", "00501", 3, 2.5)
+    whole = tables.infer_types(ids.union(ids.withColumn("w", F.lit(float("nan")))))
+    assert [f.dataType.simpleString() for f in whole.schema.fields] == ["string", "string", "bigint", "double", "double"]
+    assert sorted(r.w is None for r in whole.collect()) == [False, True]
+
+
+def test_contract_cert_of_a_thousand_identical_rows(spark):
+    """Literal M1 has n^2 rows for n copies; totals multiply counts and never make the pairs."""
+    from spendmatch.plans import marts
+    vendors = spark.createDataFrame([("U1", "", "111", "Acme", "MBE", "Active")],
+                                    "uniqueid string, b2gnow_vendor_number string, tax_id string, business_name string, "
+                                    "certification_type string, certification_status string")
+    row = ("", "Prime", "Agency", "Acme", "sub", "SUB", 2.0, "2024-01-01", "111")
+    schema = ("b2gnow_id string, prime_vendor string, contract_holder string, business_name string, vendor_type string, "
+              "payment_type string, amount_paid double, audit_period string, taxidnumber string")
+    contracts = spark.createDataFrame([row] * 1000 + [row[:8] + (None,)] * 3 + [row[:3] + (None,) + row[4:]], schema).withColumns(
+        {"amount_paid": F.col("amount_paid").cast("decimal(18,2)"), "audit_period": F.col("audit_period").cast("timestamp_ntz")})
+    weighted = marts.contract_cert_weighted(vendors, contracts)
+    assert sorted((r._n, r._m or 0) for r in weighted.collect()) == [(1, 0), (3, 1000), (1000, 1000)]
+    assert marts.contract_cert(vendors, contracts).count() == 1_003_001
+    total = marts.contract_totals(weighted).filter("tax_id = '111'").first().total_amount
+    assert total == 2_000_000
+    assert marts.contract_cert(vendors, contracts, mode="row_id").count() == 1004
+
+
+def test_shared_folder_is_required_and_honoured(spark, tmpdir_path):
+    from spendmatch import session
+
+    class Context:
+        def __init__(self, master, folder):
+            self.master, self.folder = master, folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    s = Session()
+    s.sparkContext = Context("spark://host:7077", None)
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(s)
+    s.sparkContext = Context("spark://host:7077", "hdfs://x/ckpt")
+    assert session.checkpoint_dir(s) == "hdfs://x/ckpt"
+    made = []
+    assert session.materialize(spark.range(5), made=made).count() == 5
+    session.drop_table(spark, made[0])
+    assert not os.path.exists(made[0].removeprefix("file:"))
+
+
+def test_blank_to_null_prints_numeric_ids(spark):
+    from spendmatch.functions.text import blank_to_null
+    df = spark.createDataFrame([(123456789.0, " 12 ", 7)], "d double, s string, i int")
+    assert tuple(df.select(*[blank_to_null(c) for c in df.columns]).first()) == ("123456789", "12", "7")
 
 
 def test_with_row_id_dense_and_ordered(spark):

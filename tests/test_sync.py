@@ -82,6 +82,10 @@ def test_duplicate_keys(spark):
     df = _incoming(spark, [("1", "a", 1.0), ("1", "b", 2.0)])
     with pytest.raises(sync.DuplicateKeyError):
         sync.assert_unique(df, KEYS, "t")
+    with pytest.raises(sync.DuplicateKeyError):
+        sync.prepare_incoming(df, KEYS, NOW1)
+    prep = sync.prepare_incoming(df.withColumn("pos", F.monotonically_increasing_id()), KEYS, NOW1, on_duplicate_key="last", order_col="pos")
+    assert [r.name for r in prep.rows.collect()] == ["b"]
     last = sync.dedupe_last(df.withColumn("pos", F.monotonically_increasing_id()), KEYS, "pos")
     assert [r.name for r in last.collect()] == ["b"]
 
@@ -113,3 +117,22 @@ def test_clean_keys_and_nan(spark):
     df = spark.createDataFrame([(123456789.0, float("nan"))], "k double, v double")
     out = ingest.nan_to_null(ingest.clean_keys(df, ["k"])).first()
     assert out.k == "123456789" and out.v is None
+
+
+def test_sync_sheet(spark):
+    """Headers, padding, NaN, rejects, repeated keys, an absent and an empty target."""
+    sheet = spark.createDataFrame([(" 1 ", " a ", float("nan"), 1), ("2", "old", 2.0, 1), ("2", "new", 2.0, 2), (" ", "x", 1.0, 1)],
+                                  ["Id ", " Full Name", "Some Value", "Row"])
+    with pytest.raises(sync.DuplicateKeyError):
+        sync.sync_sheet(spark, sheet, None, ["id"], NOW1)
+    prep, res = sync.sync_sheet(spark, sheet, None, ["id"], NOW1, on_duplicate_key="last", order_col="row")
+    first = res.table.cache()
+    assert prep.rejected.count() == 1
+    assert sorted((r.id, r.full_name, r.some_value) for r in first.collect()) == [("1", "a", None), ("2", "new", 2)]
+    again = sheet.filter(F.col("Row") == 1).filter(F.trim("Id ") != "").drop("Row")
+    _, res = sync.sync_sheet(spark, again, first, ["id"], NOW2)
+    assert sorted((r.id, r.full_name, r.op) for r in res.classified.collect()) == [("1", "a", "unchanged"), ("2", "old", "update")]
+    _, res = sync.sync_sheet(spark, again, first.limit(0), ["id"], NOW2)
+    assert res.table.count() == 2
+    with pytest.raises(sync.DuplicateKeyError):
+        sync.sync_sheet(spark, again, first.union(first), ["id"], NOW2)
