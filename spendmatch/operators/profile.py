@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendmatch.functions.hashing import python_float
+
 
 def profile_table(name: str, df: DataFrame) -> DataFrame:
     """R4 for one table: one row per column with its type, row count and NULL count."""
@@ -36,20 +38,32 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def preview_tables(tables: dict[str, DataFrame], n: int = 5) -> DataFrame:
-    """``n`` rows of every table as (table, row as JSON).
+    """The first ``n`` rows of every table as (table, row, ordinal, column, cell text).
 
-    Timestamps are rendered zone-less (``timestamp_ntz``) as the source strips
-    time zones before export.  Rows are the first ``n`` by their JSON text, so
-    the sample is the same on every run; each table's pick is a top-k, not a
-    sort of the whole table.
+    Rows are ordered by their scalar columns, so the sample is the same on every
+    run; each table's pick is a top-k, and only the picked rows are rendered.
+    Timestamps are zone-less, as the source strips time zones before export; an
+    array shows its length.
     """
-    parts = []
+    from pyspark.sql import Window
+
+    out = None
     for name, df in tables.items():
-        cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType)
-                else F.col(f.name) for f in df.schema.fields]
-        js = df.select(F.to_json(F.struct(*cols)).alias("row_json"))
-        parts.append(js.orderBy("row_json").limit(n).select(F.lit(name).alias("table_name"), "row_json"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        order = [F.col(f.name).asc_nulls_first() for f in df.schema.fields if not isinstance(f.dataType, T.ArrayType)]
+        few = df.orderBy(*order).limit(n).withColumn("_row", F.row_number().over(Window.orderBy(*order)))  # n rows
+        cells = [F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"), _cell(f).alias("cell"))
+                 for i, f in enumerate(df.schema.fields)]
+        part = few.select(F.lit(name).alias("table_name"), F.col("_row").alias("row_no"), F.inline(F.array(*cells)))
+        out = part if out is None else out.unionByName(part)
     return out
+
+
+def _cell(f: T.StructField):
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.TimestampType):
+        c = c.cast("timestamp_ntz")
+    elif isinstance(f.dataType, T.ArrayType):
+        c = F.size(c)
+    elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return python_float(c)
+    return c.cast("string")

@@ -13,6 +13,21 @@ from __future__ import annotations
 # --------------------------------------------------------------- expressions
 
 
+def report(cols: dict[str, str], source: str, top: str | None = None, limit: int | None = None, group: bool = False) -> str:
+    """A report over ``source``: named expressions, largest ``top`` first, ties by the other columns as listed.
+
+    ``group`` groups by the plain columns; expressions with a call of SUM or COUNT are totals.
+    """
+    total = {n for n, e in cols.items() if e.startswith(("SUM(", "COUNT("))}
+    sql = f"SELECT {', '.join(f'{e} AS {chr(34)}{n}{chr(34)}' for n, e in cols.items())} FROM {source}"
+    if group:
+        sql += f" GROUP BY {', '.join(e for n, e in cols.items() if n not in total)}"
+    if limit:
+        rest = [f'"{n}" ASC NULLS LAST' for n in cols if n != top and n not in total]
+        sql += f" ORDER BY {', '.join(([f'{chr(34)}{top}{chr(34)} DESC NULLS LAST'] if top else []) + rest)} LIMIT {limit}"
+    return sql
+
+
 def name_form(n: str, k: str) -> str:
     return (f"CASE ({k}) WHEN 0 THEN {n} || ', LLC' WHEN 1 THEN {n} || ' Inc.' "
             f"WHEN 2 THEN UPPER({n}) ELSE '  ' || {n} || ' ' END")
@@ -156,6 +171,11 @@ cte("vd_tbn", ["vendors"], f"""
     FROM vendors) x
   WHERE rn = 1 AND certification_status = 'Active'""")
 
+# the agency's own tax id and the directory's, where a match shows that they differ
+cte("two_tax_ids", ["agency_cert"], f"""
+  SELECT *, {nb('tax_id')} AS own_id, {nb('matched_tax_id')} AS directory_id
+  FROM agency_cert WHERE match_method <> 'unmatched' AND {nb('tax_id')} <> {nb('matched_tax_id')}""")
+
 # ---- M6 agency_cert: cascade by input row (tax id, else name)
 cte("ah", ["agency_spend"], f"""
   SELECT *, {nb('tax_id')} AS tax_norm, {canon_a('business_name')} AS canon_name FROM agency_spend""")
@@ -549,15 +569,26 @@ cte("fw_flagged", ["fw_parsed"], """
 
 
 # ---- R4 profile of the raw test tables: (table, ordinal, column, Spark type, rows, NULLs)
-PROFILE_TABLES = {
-    "region": [("r_regionkey", "int"), ("r_name", "string")],
-    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
-    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
-    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
-                 ("c_mktsegment", "string")],
-    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
-}
+# the driver's tables: column name and type, in order
+PROFILE_TABLES = {t: [tuple(c.split(" ")) for c in cols.split(", ")] for t, cols in {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}.items()}
 
 
 def profile_sql(tables: dict[str, list[tuple[str, str]]] = PROFILE_TABLES) -> str:
@@ -570,6 +601,18 @@ def profile_sql(tables: dict[str, list[tuple[str, str]]] = PROFILE_TABLES) -> st
     return "\nUNION ALL\n".join(parts)
 
 
+def preview_sql(n: int = 5, tables: dict[str, list[tuple[str, str]]] = PROFILE_TABLES) -> str:
+    parts = []
+    for t, cols in tables.items():
+        order = ", ".join(f"{c} ASC NULLS FIRST" for c, ty in cols if not ty.startswith("array"))
+        for i, (c, ty) in enumerate(cols, start=1):
+            cell = f"len({c})" if ty.startswith("array") else c
+            parts.append(f"SELECT '{t}' AS table_name, CAST(rn AS INTEGER) AS row_no, CAST({i} AS INTEGER) AS ordinal, "
+                         f"'{c}' AS column_name, CAST({cell} AS VARCHAR) AS cell FROM "
+                         f"(SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM {t}) x WHERE rn <= {n}")
+    return "\nUNION ALL\n".join(parts)
+
+
 # ---- S2: whole-number doubles become integers, text stays text
 INFER_TYPES = query("""
 SELECT row_id, source, CAST(agency_number AS BIGINT) AS agency_number, agency_name, business_name, tax_id,

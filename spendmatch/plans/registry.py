@@ -144,9 +144,7 @@ from spendmatch.operators import quality as Q  # noqa: E402
 from spendmatch.functions import text as TX  # noqa: E402
 
 _AC = "agency_cert"
-_TIE4 = "agency_number ASC NULLS LAST, agency_name ASC NULLS LAST, business_name ASC NULLS LAST, tax_id ASC NULLS LAST"
-_DIFF = (f"match_method IN ('tax_id', 'name') AND {O.nb('tax_id')} IS NOT NULL AND {O.nb('matched_tax_id')} IS NOT NULL "
-         "AND TRIM(CAST(tax_id AS VARCHAR)) <> TRIM(matched_tax_id)")
+_ROW = {c: c for c in ("agency_number", "agency_name", "business_name", "tax_id")}
 
 
 @register("d1_duplicate_business_rows", O.query(
@@ -162,28 +160,23 @@ def d2_rows_by_match_method(spark, d):
     return Q.count_by(_m(spark, d).agency_cert, "match_method")
 
 
-@register("d3_top_unmatched_rows", O.query(
-    "SELECT agency_number, agency_name, business_name, tax_id, total_amount FROM agency_cert "
-    f"WHERE match_method = 'unmatched' ORDER BY total_amount DESC NULLS LAST, {_TIE4} LIMIT 50", [_AC]))
+@register("d3_top_unmatched_rows", O.query(O.report(
+    _ROW | {"total_amount": "total_amount"}, "agency_cert WHERE match_method = 'unmatched'", "total_amount", 50), [_AC]))
 def d3_top_unmatched_rows(spark, d):
     return Q.top_unmatched_rows(_m(spark, d).agency_cert)
 
 
 @register("d4_coverage", O.query(
-    "SELECT COUNT(*) AS total_rows, "
-    "CAST(SUM(CASE WHEN match_method <> 'unmatched' THEN 1 ELSE 0 END) AS BIGINT) AS matched_rows, "
-    "CAST(ROUND(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN match_method <> 'unmatched' THEN 1 ELSE 0 END) "
-    "/ NULLIF(COUNT(*), 0), 2) AS DOUBLE) AS matched_pct FROM agency_cert", [_AC]))
+    "SELECT total_rows, matched_rows, ROUND(100.0::DOUBLE * matched_rows / NULLIF(total_rows, 0), 2) AS matched_pct FROM "
+    "(SELECT COUNT(*) AS total_rows, COUNT(NULLIF(match_method, 'unmatched')) AS matched_rows FROM agency_cert) x", [_AC]))
 def d4_coverage(spark, d):
     return Q.coverage(_m(spark, d).agency_cert)
 
 
-@register("d5_tax_id_disagreements", O.query(
-    "SELECT agency_number, agency_name, business_name, tax_id AS he_tax_id, matched_tax_id AS vendor_tax_id, "
-    f"certification_type, match_method, total_amount FROM agency_cert WHERE {_DIFF} "
-    "ORDER BY total_amount DESC NULLS LAST, agency_number ASC NULLS LAST, agency_name ASC NULLS LAST, "
-    "business_name ASC NULLS LAST, he_tax_id ASC NULLS LAST, vendor_tax_id ASC NULLS LAST, "
-    "certification_type ASC NULLS LAST, match_method ASC NULLS LAST LIMIT 200", [_AC]))
+@register("d5_tax_id_disagreements", O.query(O.report(
+    {c: c for c in ("agency_number", "agency_name", "business_name")} | {"he_tax_id": "tax_id", "vendor_tax_id": "matched_tax_id"}
+    | {c: c for c in ("certification_type", "match_method", "total_amount")}, "two_tax_ids", "total_amount", 200),
+    ["two_tax_ids"]))
 def d5_tax_id_disagreements(spark, d):
     return Q.tax_id_disagreements(_m(spark, d).agency_cert)
 
@@ -195,11 +188,9 @@ def d6_tax_match_without_tax_id(spark, d):
     return Q.tax_match_without_tax_id(_m(spark, d).agency_cert)
 
 
-@register("d7_name_matches_with_tax_id", O.query(
-    "SELECT agency_number, agency_name, business_name, tax_id, matched_tax_id, certification_type, total_amount "
-    f"FROM agency_cert WHERE match_method = 'name' AND {O.nb('tax_id')} IS NOT NULL "
-    f"ORDER BY total_amount DESC NULLS LAST, {_TIE4}, matched_tax_id ASC NULLS LAST, "
-    "certification_type ASC NULLS LAST LIMIT 200", [_AC]))
+@register("d7_name_matches_with_tax_id", O.query(O.report(
+    _ROW | {c: c for c in ("matched_tax_id", "certification_type", "total_amount")},
+    f"agency_cert WHERE {O.nb('tax_id')} IS NOT NULL AND match_method = 'name'", "total_amount", 200), [_AC]))
 def d7_name_matches_with_tax_id(spark, d):
     return Q.name_matches_with_tax_id(_m(spark, d).agency_cert)
 
@@ -210,29 +201,24 @@ def d8_certification_distribution(spark, d):
     return Q.count_by(_m(spark, d).agency_cert, "certification_type")
 
 
-@register("d9_name_matches_without_vendor_tax", O.query(
-    "SELECT agency_number, agency_name, business_name, tax_id, matched_tax_id, certification_type "
-    "FROM agency_cert WHERE match_method = 'name' AND matched_tax_id IS NULL "
-    f"ORDER BY {_TIE4}, matched_tax_id ASC NULLS LAST, certification_type ASC NULLS LAST LIMIT 200", [_AC]))
+@register("d9_name_matches_without_vendor_tax", O.query(O.report(
+    _ROW | {c: c for c in ("matched_tax_id", "certification_type")},
+    "agency_cert WHERE matched_tax_id IS NULL AND match_method = 'name'", None, 200), [_AC]))
 def d9_name_matches_without_vendor_tax(spark, d):
     return Q.name_matches_without_vendor_tax(_m(spark, d).agency_cert)
 
 
-@register("d10_top_unmatched_vendors", O.query(
-    "SELECT business_name, tax_id, SUM(total_amount) AS total_unmatched_amount, COUNT(*) AS \"rows\" "
-    "FROM agency_cert WHERE match_method = 'unmatched' GROUP BY business_name, tax_id "
-    "ORDER BY total_unmatched_amount DESC NULLS LAST, business_name ASC NULLS LAST, tax_id ASC NULLS LAST "
-    "LIMIT 50", [_AC]))
+@register("d10_top_unmatched_vendors", O.query(O.report(
+    {"business_name": "business_name", "tax_id": "tax_id", "total_unmatched_amount": "SUM(total_amount)", "rows": "COUNT(*)"},
+    "agency_cert WHERE match_method = 'unmatched'", "total_unmatched_amount", 50, group=True), [_AC]))
 def d10_top_unmatched_vendors(spark, d):
     return Q.top_unmatched_vendors(_m(spark, d).agency_cert)
 
 
-@register("d11_top_tax_disagreements", O.query(
-    "SELECT business_name, CAST(tax_id AS VARCHAR) AS he_tax_id, matched_tax_id, "
-    "SUM(total_amount) AS amount_at_issue, COUNT(*) AS \"rows\" "
-    f"FROM agency_cert WHERE {_DIFF} GROUP BY business_name, CAST(tax_id AS VARCHAR), matched_tax_id "
-    "ORDER BY amount_at_issue DESC NULLS LAST, business_name ASC NULLS LAST, he_tax_id ASC NULLS LAST, "
-    "matched_tax_id ASC NULLS LAST LIMIT 50", [_AC]))
+@register("d11_top_tax_disagreements", O.query(O.report(
+    {"business_name": "business_name", "he_tax_id": "tax_id", "matched_tax_id": "matched_tax_id",
+     "amount_at_issue": "SUM(total_amount)", "rows": "COUNT(*)"}, "two_tax_ids", "amount_at_issue", 50, group=True),
+    ["two_tax_ids"]))
 def d11_top_tax_disagreements(spark, d):
     return Q.top_tax_disagreements(_m(spark, d).agency_cert)
 
@@ -246,10 +232,11 @@ def d12_lookalike_transactions(spark, d):
 
 
 @register("d13_summary_sanity", O.query(
-    "SELECT COUNT(*) FILTER (WHERE match_method = 'tax_id') AS matched_by_tax_id, "
-    "COUNT(*) FILTER (WHERE match_method = 'name') AS matched_by_name, "
-    "COUNT(*) FILTER (WHERE match_method IS NULL) AS no_match, COUNT(*) AS total_in_agency_higher_ed, "
-    "(SELECT COUNT(*) FROM contract_prime_summary) AS total_in_contract_summary FROM prime_cert_summary",
+    "SELECT (SELECT COUNT(*) FROM prime_cert_summary WHERE match_method = 'tax_id') AS matched_by_tax_id, "
+    "(SELECT COUNT(*) FROM prime_cert_summary WHERE match_method = 'name') AS matched_by_name, "
+    "(SELECT COUNT(*) - COUNT(match_method) FROM prime_cert_summary) AS no_match, "
+    "(SELECT COUNT(*) FROM prime_cert_summary) AS total_in_agency_higher_ed, "
+    "(SELECT COUNT(*) FROM contract_prime_summary) AS total_in_contract_summary",
     ["prime_cert_summary", "contract_prime_summary"]))
 def d13_summary_sanity(spark, d):
     m = _m(spark, d)
@@ -426,9 +413,9 @@ def r4_profile_tables(spark, d):
     return PR.profile_tables({t: read_table(spark, d, t) for t in O.PROFILE_TABLES})
 
 
-@register("r3_preview_tables")
+@register("r3_preview_tables", O.preview_sql())
 def r3_preview_tables(spark, d):
-    return PR.preview_tables({t: read_table(spark, d, t) for t in ("region", "nation", "supplier", "orders")})
+    return PR.preview_tables({t: read_table(spark, d, t) for t in O.PROFILE_TABLES})
 
 
 @register("s2_infer_types", O.INFER_TYPES)

@@ -17,9 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmatch.functions.fixedwidth import CSV_HEADERS, FIELD_ORDER, parse_columns
-
-CONVERTED_SUFFIX = "_converted"
+from spendmatch.functions.fixedwidth import CSV_HEADERS, FIELD_ORDER
+from spendmatch.sources.fixedwidth import CONVERTED_SUFFIX, keep_rows, parse_lines
 
 
 def read_report_stream(spark: SparkSession, in_dir: str, pattern: str = "*.txt",
@@ -29,10 +28,7 @@ def read_report_stream(spark: SparkSession, in_dir: str, pattern: str = "*.txt",
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(in_dir)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    cols = parse_columns("value")
-    return df.select(stem.alias("file_stem"), "value",
-                     *[cols[c].alias(c) for c in FIELD_ORDER],
-                     cols["is_blank"].alias("is_blank"), cols["is_parsed"].alias("is_parsed"))
+    return parse_lines(df.select(stem.alias("file_stem"), "value"), keep=["file_stem", "value"])
 
 
 def start_conversion(spark: SparkSession, in_dir: str, out_dir: str, rejects_dir: str, checkpoint: str,
@@ -41,7 +37,6 @@ def start_conversion(spark: SparkSession, in_dir: str, out_dir: str, rejects_dir
     parsed = read_report_stream(spark, in_dir, pattern)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        from spendmatch.sources.fixedwidth import keep_rows
         ok = keep_rows(batch, F.col("is_parsed"), ["file_stem"] + FIELD_ORDER).select(
             F.concat(F.col("file_stem"), F.lit(CONVERTED_SUFFIX)).alias("file_stem"),
             *[F.col(c).alias(h) for c, h in zip(FIELD_ORDER, CSV_HEADERS)])
