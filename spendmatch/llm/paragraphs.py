@@ -99,6 +99,26 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFra
     return docs.join(lists, "doc_id").select("text", "want").mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
 
 
+def _sharing_prefix(rows: DataFrame, sets: DataFrame, threshold: float, work: Work) -> DataFrame:
+    """Pairs (u, v) of rows (id, c) of different components that can reach the threshold.
+
+    Shingles are ordered from the rarest.  Two sets of that similarity share one
+    of the first (1 - threshold) part of each, and near copies whose edits are
+    their own have only shingles of their own there, so they meet nothing.
+    """
+    held = rows.join(sets, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("s"))
+    often = held.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    first = held.join(often, "s").groupBy("id", "c", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "s", (F.col("lo") < F.col("hi")).alias("open")))).alias("all"))
+    size = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
+    first = work.table(first.select("id", "c", "n", F.explode(F.slice("all", F.lit(1), size)).alias("p")).where("p.open").select(
+        "id", "c", "n", "p.s"), "prefixes")
+    x, y = first.alias("x"), first.alias("y")
+    fits = (F.col("x.n") >= threshold * F.col("y.n")) & (F.col("y.n") >= threshold * F.col("x.n"))
+    return x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & fits).select(
+        F.col("x.id").alias("u"), F.col("y.id").alias("v"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (u, v) whose shingle sets have an exact Jaccard similarity of ``threshold`` or more."""
     both = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("x")), "u").join(
@@ -118,10 +138,11 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     form a component, named by its first copy (smallest doc_id, then paragraph),
     which alone is kept.
 
-    Colliding paragraphs are first compared with the smallest of their bucket;
-    only where a bucket still holds several components are the pairs across
-    them compared too, so a group of thousands of copies is not paired inside
-    and no link is lost.  NULL and empty texts have no paragraphs; a NULL id
+    Colliding paragraphs are first compared with the one of their bucket that
+    has most exact copies (the likely original of near copies).  Where a bucket
+    then still holds several components, members of different ones are compared
+    if the rarest shingles of their sets allow the threshold, so a group of
+    thousands of copies is not paired inside and no link is lost.  NULL and empty texts have no paragraphs; a NULL id
     sorts first; copies inside one document count; repeated ids are handled row
     by row; other columns are ignored.
     """
@@ -132,28 +153,30 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     first = F.struct("doc_id", "paragraph")
     distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.count("*").alias("copies"),
                                                    F.max("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "distinct")
-    keys = distinct.select("id", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
+    likely = F.struct((-F.col("copies")).alias("few"), F.col("id"))  # the smallest has most copies
+    keys = distinct.select("id", "copies", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(likely)["id"].alias("low")).where("n > 1")
     buckets = work.table(keys.join(shared.select("band", "low"), "band"), "buckets")
     wanted = buckets.select("id").distinct().join(distinct, "id").select(
         "id", F.col("first.doc_id").alias("doc_id"), "key").where("doc_id is not null")
     sets = work.table(_shingle_sets(docs, wanted, min_words), "sets")
-    star = buckets.where("id <> low").select(F.col("low").alias("u"), F.col("id").alias("v")).distinct()
-    edges = work.table(_verified(star, sets, threshold), "star")
-    comp = work.table(connected_components(work, edges, "a"), "comp")
-    labelled = buckets.join(comp, buckets.id == comp.vertex, "left").select("band", "id", F.coalesce("component", "id").alias("c"))
-    mixed = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    rest = work.table(labelled.join(mixed, "band"), "mixed")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))).select(
-        F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct().join(star, ["u", "v"], "left_anti")
-    more = work.table(_verified(across, sets, threshold), "across")
-    whole = connected_components(work, edges.union(more), "b")
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+        return work.table(_verified(pairs, sets, threshold), name)
+
+    edges = compared(buckets.select(F.col("low").alias("u"), F.col("id").alias("v")), "star")
+    comp = connected_components(work, edges, "round")
+    members = buckets.join(comp, buckets.id == comp.vertex, "left").select("band", "id", F.coalesce("component", "id").alias("c"))
+    mixed = members.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
+    rest = work.table(members.join(mixed, "band").select("id", "c").distinct(), "apart")
+    edges = edges.union(compared(_sharing_prefix(rest, sets, threshold, work), "across"))
+    whole = connected_components(work, edges, "whole")
     named = distinct.join(whole, distinct.id == whole.vertex, "left").select(
         "key", "first", "copies", F.coalesce("component", "id").alias("c"))
     of = named.groupBy("c").agg(F.min("first").alias("head"), F.sum("copies").alias("component_size")).where("component_size > 1")
     classes = work.table(named.join(of, "c").select("key", "head", "component_size"), "classes")
-    work.drop("buckets", "sets", "star", "comp", "mixed", "across", "distinct")
+    work.drop("buckets", "sets", "star", "apart", "prefixes", "across", "distinct")
     return found.join(classes, "key").select(
         "doc_id", "paragraph", "start", "length", "n_words", F.col("head.doc_id").alias("component_id"),
         F.col("head.paragraph").alias("component_paragraph"), "component_size", (first.eqNullSafe(F.col("head"))).alias("kept"))
