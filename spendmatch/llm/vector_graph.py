@@ -61,11 +61,13 @@ def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int
     return [np.array(a, np.int64) for a in near]
 
 
-def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, start: int, radius: float, effort: int) -> list[np.ndarray]:
-    """Per query the nodes found at ``radius`` similarity or more.
+def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, start: int, radius: float,
+                 effort: int, chunk: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) pairs found at ``radius`` similarity or more.
 
-    Best first: at least ``effort`` nodes are expanded, and then as long as the
-    best node left is in range, so a large group is walked to its end.
+    Best first, ``effort`` nodes a query are expanded; from there the range
+    grows breadth first, every node in range being expanded, so a large group is
+    walked to its end.
     """
     n, q = len(x), len(queries)
     width = max(1, max(map(len, near)))
@@ -75,22 +77,28 @@ def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, sta
     score = np.full((q, n), -np.inf)  # of the nodes met
     open_ = np.full((q, n), -np.inf)  # of those not expanded yet
     score[:, start] = open_[:, start] = queries @ x[start]
-    live, step = np.arange(q), 0
-    while len(live):
+
+    def expand(who: np.ndarray, node: np.ndarray) -> None:
+        open_[who, node] = -np.inf
+        to = table[node]
+        a, w = np.nonzero((to >= 0) & np.isneginf(score[who[:, None], to]))
+        at, met = np.divmod(np.unique(who[a] * n + to[a, w]), n)
+        score[at, met] = open_[at, met] = np.einsum("ij,ij->i", queries[at], x[met])
+
+    live = np.arange(q)
+    for _ in range(effort):
         best = np.argmax(open_[live], axis=1)
-        top = open_[live, best]
-        go = np.isfinite(top) & ((step < effort) | (top >= radius))
+        go = np.isfinite(open_[live, best])
         live, best = live[go], best[go]
         if not len(live):
             break
-        open_[live, best] = -np.inf
-        to = table[best]
-        a, w = np.nonzero((to >= 0) & np.isneginf(score[live[:, None], to]))
-        at, node = live[a], to[a, w]
-        s = np.einsum("ij,ij->i", queries[at], x[node])
-        score[at, node] = open_[at, node] = s
-        step += 1
-    return [np.flatnonzero(r >= radius) for r in score]
+        expand(live, best)
+    while True:
+        who, node = np.nonzero(open_ >= radius)
+        if not len(who):
+            return np.nonzero(score >= radius)
+        for i in range(0, len(who), chunk):
+            expand(who[i:i + chunk], node[i:i + chunk])
 
 
 def _unit(v: pd.Series) -> np.ndarray:
@@ -159,26 +167,24 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 800, m
     graph = work.table(graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), f"graph{tag}")
 
     def search(g: pd.DataFrame) -> pd.DataFrame:
-        x, ids = _unit(g.v), g.id.to_numpy()
-        member = g.member.to_numpy()
-        base, base_ids = x[member], ids[member]
-        if not len(base):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        at = {i: k for k, i in enumerate(base_ids.tolist())}
-        near = [np.array([at[j] for j in a if j in at], np.int64) for a in g.near[member]]
-        medoid = int(np.argmax(base @ base.mean(axis=0)))
-        out = []
-        for i in range(0, len(x), 1024):
-            hits = range_search(base, near, x[i:i + 1024], medoid, threshold - 1e-9, effort)
-            for k, h in enumerate(hits, i):
-                out += [(int(ids[k]), int(j)) for j in base_ids[h] if j != ids[k]]
-        found = np.array(out, np.int64).reshape(-1, 2)
-        order = np.sort(found, axis=1)
-        order = np.unique(order, axis=0)
-        raw = {int(i): np.array(v, float) for i, v in zip(ids, g.v)}
-        exact = [raw[a] @ raw[b] / (np.linalg.norm(raw[a]) * np.linalg.norm(raw[b])) >= threshold for a, b in order.tolist()]
-        order = order[np.array(exact, bool)] if len(order) else order
-        return pd.DataFrame({"a": order[:, 0], "b": order[:, 1]})
+        raw, ids = np.array(g.v.tolist(), float), g.id.to_numpy()
+        length = np.linalg.norm(raw, axis=1)
+        x, place = raw / length[:, None], np.flatnonzero(g.member.to_numpy())
+        pairs = [np.empty((0, 2), np.int64)]
+        if len(place):
+            base = x[place]
+            at = {i: k for k, i in enumerate(ids[place].tolist())}
+            near = [np.array([at[j] for j in a if j in at], np.int64) for a in g.near.iloc[place]]
+            medoid = int(np.argmax(base @ base.mean(axis=0)))
+            for i in range(0, len(x), 512):
+                who, node = range_search(base, near, x[i:i + 512], medoid, threshold - 1e-9, effort)
+                who, node = who + i, place[node]
+                for c in range(0, len(who), 100_000):
+                    a, b = who[c:c + 100_000], node[c:c + 100_000]
+                    real = (ids[a] != ids[b]) & (np.einsum("ij,ij->i", raw[a], raw[b]) / (length[a] * length[b]) >= threshold)
+                    pairs.append(np.sort(np.stack((ids[a[real]], ids[b[real]]), axis=1), axis=1))
+        found = np.unique(np.concatenate(pairs), axis=0)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("member", F.col("part") == own)
     pairs = every.join(graph, "id").groupBy(*key).applyInPandas(search, "a long, b long").distinct()
