@@ -111,10 +111,12 @@ def _sharing_prefix(rows: DataFrame, sets: DataFrame, threshold: float, work: Wo
     first = held.join(often, "s").groupBy("id", "c", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "s", (F.col("lo") < F.col("hi")).alias("open")))).alias("all"))
     size = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
-    first = work.table(first.select("id", "c", "n", F.explode(F.slice("all", F.lit(1), size)).alias("p")).where("p.open").select(
-        "id", "c", "n", "p.s"), "prefixes")
+    first = work.table(first.select("id", "c", "n", F.posexplode(F.slice("all", F.lit(1), size)).alias("i", "p")).where("p.open").select(
+        "id", "c", "n", "i", "p.s"), "prefixes")
     x, y = first.alias("x"), first.alias("y")
-    fits = (F.col("x.n") >= threshold * F.col("y.n")) & (F.col("y.n") >= threshold * F.col("x.n"))
+    # the first shared shingle of a pair leaves room for the overlap that the threshold asks for in both sets
+    need = threshold / (1 + threshold) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    fits = (F.col("x.n") - F.col("x.i") >= need) & (F.col("y.n") - F.col("y.i") >= need)
     return x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & fits).select(
         F.col("x.id").alias("u"), F.col("y.id").alias("v"))
 
