@@ -62,9 +62,10 @@ def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int
 
 
 def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, start: int, radius: float,
-                 effort: int, chunk: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+                 effort: int, chunk: int = 50_000, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs found at ``radius`` similarity or more.
 
+    The search starts at node ``start``, and at the query's ``own`` node where it has one (-1: none).
     Best first, ``effort`` nodes a query are expanded; from there the range
     grows breadth first, every node in range being expanded, so a large group is
     walked to its end.
@@ -77,6 +78,9 @@ def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, sta
     score = np.full((q, n), -np.inf)  # of the nodes met
     open_ = np.full((q, n), -np.inf)  # of those not expanded yet
     score[:, start] = open_[:, start] = queries @ x[start]
+    if own is not None:
+        here = np.flatnonzero(own >= 0)
+        score[here, own[here]] = open_[here, own[here]] = 1.0
 
     def expand(who: np.ndarray, node: np.ndarray) -> None:
         open_[who, node] = -np.inf
@@ -87,7 +91,7 @@ def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, sta
 
     live = np.arange(q)
     for _ in range(effort):
-        best = np.argmax(open_[live], axis=1)
+        best = np.argmax(open_ if len(live) == q else open_[live], axis=1)
         go = np.isfinite(open_[live, best])
         live, best = live[go], best[go]
         if not len(live):
@@ -145,8 +149,8 @@ def _route(held: DataFrame, per_shard: int, overlap: int, fit_rows: int, max_clu
     return held.select("label", "id", "v").mapInPandas(run, ROUTE)
 
 
-def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 800, max_shard: int = 1600, overlap: int = 3,
-          effort: int = 40, fit_rows: int = 20_000, max_clusters: int = 4096, tag: str = "") -> DataFrame:
+def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, max_shard: int = 1800, overlap: int = 3,
+          effort: int = 32, fit_rows: int = 20_000, max_clusters: int = 4096, tag: str = "") -> DataFrame:
     """Verified pairs (a < b) of distinct vectors of one label.
 
     A cluster over ``max_shard`` vectors is dealt by hash to several shards and
@@ -176,8 +180,10 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 800, m
             at = {i: k for k, i in enumerate(ids[place].tolist())}
             near = [np.array([at[j] for j in a if j in at], np.int64) for a in g.near.iloc[place]]
             medoid = int(np.argmax(base @ base.mean(axis=0)))
+            own = np.full(len(x), -1)
+            own[place] = np.arange(len(place))
             for i in range(0, len(x), 512):
-                who, node = range_search(base, near, x[i:i + 512], medoid, threshold - 1e-9, effort)
+                who, node = range_search(base, near, x[i:i + 512], medoid, threshold - 1e-9, effort, own=own[i:i + 512])
                 who, node = who + i, place[node]
                 for c in range(0, len(who), 100_000):
                     a, b = who[c:c + 100_000], node[c:c + 100_000]
@@ -225,7 +231,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, target_recall:
     """
     work = Work(vectors.sparkSession, "vectors")
     held = work.table(usable(vectors, id_col, vec_col, label_col), "distinct")
-    options = {"overlap": 3, "effort": 40} | options
+    options = {"overlap": 3, "effort": 32} | options
     for k in range(3):
         found = links(held, work, threshold, tag=str(k), **options)
         work.drop(f"routes{k}", f"graph{k}")
