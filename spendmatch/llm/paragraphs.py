@@ -10,10 +10,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from . import _spans
 from ._components import connected_components
 from ._work import Work
 
 SHINGLE = 5
+ANCHORS = 24  # of so many successive word places one is an anchor
+PASSAGE = "doc_id long, paragraph int, start int, length int, n_words int, key binary"
 FOUND = "doc_id long, paragraph int, start int, length int, n_words int, key binary, bands array<long>"
 
 
@@ -26,14 +29,59 @@ def tune_bands(threshold: float = 0.8, recall: float = 0.999, most: int = 64) ->
     raise ValueError("too few hashes for this recall")
 
 
-def split(text: str, min_words: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(number, start, length, lower-case words) of each line of ``min_words`` words or more."""
+def split(text: str, min_words: int, wrapped: bool = False) -> Iterator[tuple[int, int, int, list[bytes]]]:
+    """(number, start, length, lower-case words) of each line of ``min_words`` words or more.
+
+    With ``wrapped`` also of the blocks of shorter lines, joined up to the next
+    blank or long line; a block has the number of its first line.
+    """
     at = 0
+    block: tuple[int, int, int, list[bytes]] | None = None
     for k, line in enumerate(text.split("\n")):
         ws = line.encode().lower().split()
+        if wrapped and 0 < len(ws) < min_words:
+            first, start, _, held = block or (k, at, 0, [])
+            block = first, start, at + len(line) - start, held + ws
+        elif block:
+            if len(block[3]) >= min_words:
+                yield block
+            block = None
         if len(ws) >= min_words:
             yield k, at, len(line), ws
         at += len(line) + 1
+    if block and len(block[3]) >= min_words:
+        yield block
+
+
+def anchored(text: str, n: int, window: int = ANCHORS) -> Iterator[tuple[int, int, int, bytes]]:
+    """(number of the first word, start, length, lower-case words) of passages of ``n`` words, whatever the lines.
+
+    A passage starts at the place with the smallest hash of ``SHINGLE`` words
+    among some ``window`` successive places, so any ``n + window - 1`` words hold
+    one, and it is the same one wherever these words stand.
+    """
+    raw = text.encode()
+    low = raw.lower()
+    ws = low.split()
+    m = len(ws) - n + 1
+    if m < 1:
+        return
+    digest = xxhash.xxh3_64_intdigest
+    h = np.array([digest(w) for w in ws], np.uint64)
+    rolled = np.zeros(m, np.uint64)
+    for j in range(min(SHINGLE, n)):
+        rolled = (rolled ^ h[j:j + m]) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+    view = np.lib.stride_tricks.sliding_window_view(rolled, min(window, m))
+    at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
+    blank = np.isin(np.frombuffer(low, np.uint8), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
+    first, last = edge[::2][at], edge[1::2][at + n - 1]
+    if len(raw) > len(text):  # bytes before to characters before
+        chars = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
+        first, last = chars[first], chars[last]
+    for k, a, b in zip(at.tolist(), first.tolist(), last.tolist()):
+        yield k, a, b - a, b" ".join(ws[k:k + n])
 
 
 def shingles(ws: list[bytes], n: int = SHINGLE) -> np.ndarray:
@@ -65,13 +113,13 @@ class MinHash:
                 for k, row in enumerate(low.reshape(self.bands, self.rows))]
 
 
-def _found(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
+def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bands, rows)
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for k, at, n, ws in split(text or "", min_words):
+                for k, at, n, ws in split(text or "", min_words, wrapped):
                     for col, v in zip(out, (doc, k, at, n, len(ws), xxhash.xxh3_128_digest(b" ".join(ws)), hasher.keys(shingles(ws)))):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -81,7 +129,7 @@ def _found(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, FOUND)
 
 
-def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, wrapped: bool) -> DataFrame:
     """(id, set) of the wanted paragraphs (id, doc_id, key), read again from their documents."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "id")).alias("want"))
 
@@ -90,7 +138,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFra
             ids, sets = [], []
             for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 need = {w["key"]: w["id"] for w in want}
-                for _, _, _, ws in split(text or "", min_words):
+                for _, _, _, ws in split(text or "", min_words, wrapped):
                     i = need.pop(xxhash.xxh3_128_digest(b" ".join(ws)), None)
                     if i is not None:
                         ids.append(i)
@@ -130,12 +178,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, recall: float = 0.999,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False) -> DataFrame:
     """One row per paragraph that occurs again: doc_id, paragraph, start, length, n_words, component_id,
     component_paragraph, component_size, kept.
 
-    A paragraph is a line of ``min_words`` words or more; shorter lines are not
-    looked at.  Paragraphs with equal words, or five-word shingle sets of a
+    A paragraph is a line of ``min_words`` words or more, and with ``wrapped``
+    also a block of shorter lines of as many words together; other lines are not
+    looked at (see ``repeats``).  Paragraphs with equal words, or five-word shingle sets of a
     Jaccard similarity of ``threshold`` or more, are linked, and linked ones
     form a component, named by its first copy (smallest doc_id, then paragraph),
     which alone is kept.
@@ -151,7 +200,7 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     bands, rows = tune_bands(threshold, recall)
     work = Work(docs.sparkSession, "paragraphs")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = work.table(_found(docs, min_words, bands, rows), "found")
+    found = work.table(_found(docs, min_words, bands, rows, wrapped), "found")
     first = F.struct("doc_id", "paragraph")
     distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.count("*").alias("copies"),
                                                    F.max("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "distinct")
@@ -161,7 +210,7 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     buckets = work.table(keys.join(shared.select("band", "low"), "band"), "buckets")
     wanted = buckets.select("id").distinct().join(distinct, "id").select(
         "id", F.col("first.doc_id").alias("doc_id"), "key").where("doc_id is not null")
-    sets = work.table(_shingle_sets(docs, wanted, min_words), "sets")
+    sets = work.table(_shingle_sets(docs, wanted, min_words, wrapped), "sets")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
@@ -184,8 +233,57 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
         F.col("head.paragraph").alias("component_paragraph"), "component_size", (first.eqNullSafe(F.col("head"))).alias("kept"))
 
 
+def passages(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per passage of ``min_words`` words that occurs again, in the columns of ``duplicates``.
+
+    Passages start at anchors (see ``anchored``) inside or across lines, and
+    overlap; paragraph is the number of the first word.  Equal words link them.
+    Any ``min_words + ANCHORS - 1`` words or more that two texts share hold a
+    passage of both.  Banding would add next to nothing: passages of this
+    length whose shingle sets reach 0.8 share all words but one at an end.
+    """
+    work = Work(docs.sparkSession, "passages")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for k, at, n, ws in anchored(text or "", min_words):
+                    for col, v in zip(out, (doc, k, at, n, xxhash.xxh3_128_digest(ws))):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:4]),
+                 pa.array([min_words] * len(out[0]), pa.int32()), pa.array(out[4], pa.binary())],
+                names=["doc_id", "paragraph", "start", "length", "n_words", "key"])
+    found = work.table(docs.mapInArrow(run, PASSAGE), "all")
+    first = F.struct("doc_id", "paragraph")
+    classes = work.table(found.groupBy("key").agg(F.min(first).alias("head"), F.count("*").alias("component_size")).where(
+        "component_size > 1"), "classes")
+    again = work.table(found.join(classes, "key").select(
+        "doc_id", "paragraph", "start", "length", "n_words", F.col("head.doc_id").alias("component_id"),
+        F.col("head.paragraph").alias("component_paragraph"), "component_size", (first.eqNullSafe(F.col("head"))).alias("kept")), "again")
+    work.drop("all", "classes")
+    return again
+
+
+def repeats(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, recall: float = 0.999,
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``duplicates`` for lines and blocks of short lines (kind paragraph) and of ``passages`` (kind passage)."""
+    inside = passages(docs, min_words, id_col, text_col).withColumn("kind", F.lit("passage"))
+    whole = duplicates(docs, threshold, min_words, recall, id_col, text_col, wrapped=True).withColumn("kind", F.lit("paragraph"))
+    return whole.unionByName(inside)
+
+
 def remove(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the paragraphs that ``found`` does not keep (with their line ends)."""
+    """``docs`` without the paragraphs that ``found`` does not keep (with their line ends), and without the passages."""
+    if "kind" in found.columns:
+        end = F.col("start") + F.col("length") + (F.col("kind") == "paragraph").cast("int")
+        spans = found.where(~F.col("kept")).groupBy(F.col("doc_id").alias("__id")).agg(
+            F.array_sort(F.collect_set(F.struct("start", end.alias("end")))).alias("__gone"))
+        return docs.join(spans, docs[id_col] == spans["__id"], "left").withColumn(text_col, F.when(
+            F.col("__gone").isNull(), F.col(text_col)).otherwise(_spans.redact(F.col(text_col), F.col("__gone"), ""))).drop(
+            "__id", "__gone")
     gone = found.where(~F.col("kept")).groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_set("paragraph").alias("__gone"))
     lines = F.split(F.col(text_col), "\n", -1)

@@ -34,7 +34,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.duplicates(read(spark, sf_dir, "documents"), threshold=0.8)
+    return paragraphs.repeats(read(spark, sf_dir, "documents"), threshold=0.8)
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -266,6 +266,37 @@ def test_paragraph_dedup(spark, docs, corpus, empty):
     assert paragraphs.tune_bands(0.8, 0.999, 64) == (14, 4)
 
 
+def test_repeated_passages_in_and_over_lines(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}é" for i in range(3000)]
+
+    def some(k):
+        return rng.choices(vocabulary, k=k)
+    inside, over, loose = some(50), some(50), some(60)
+    texts = [" ".join(some(150) + inside + some(150)) for _ in range(4)]
+    for k in range(4):
+        ws = some(30 + k) + over + some(40)
+        texts.append("\n".join(" ".join(ws[i:i + 12]) for i in range(0, len(ws), 12)))
+    for k in range(2):  # wrapped at other places, with an edit
+        ws = [*loose[:30], f"edit{k}", *loose[31:]]
+        texts.append("head line\n\n" + "\n".join(" ".join(ws[i:i + 11 + k]) for i in range(0, 60, 11 + k)) + "\n\nend " + str(k))
+    texts += [" ".join(some(200)), "a b c", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = paragraphs.repeats(df)
+    by = {}
+    for r in found.collect():
+        piece = texts[r.doc_id][r.start:r.start + r.length]
+        assert len(piece.split()) == r.n_words
+        by.setdefault((r.kind, r.component_id), {}).setdefault(r.doc_id, []).append(piece.split())
+    assert by.keys() == {("passage", 0), ("passage", 4), ("paragraph", 8)} or by.keys() == {
+        ("passage", 0), ("passage", 4), ("passage", 8), ("paragraph", 8)}
+    assert by["passage", 0].keys() == {0, 1, 2, 3} and by["passage", 4].keys() == {4, 5, 6, 7} and by["paragraph", 8].keys() == {8, 9}
+    assert all(" ".join(ws) in " ".join(want) for c, want in ((0, inside), (4, over)) for own in by["passage", c].values() for ws in own)
+    left = paragraphs.remove(df, found)
+    assert not paragraphs.repeats(left.select("doc_id", "text")).where("kind = 'passage'").count()
+    assert left.where("doc_id = 0").first().text == texts[0] and left.where("doc_id = 11").first().text == "a b c"
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(900, 24))
