@@ -130,8 +130,11 @@ def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, wrapped: bool) -> DataFrame:
-    """(id, set) of the wanted paragraphs (id, doc_id, key), read again from their documents."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "id")).alias("want"))
+    """(id, set) of the wanted paragraphs (id, doc_id, key), read again from their documents.
+
+    Those that occur only in rows without an id (doc_id NULL) are found among all paragraphs of such rows, by key.
+    """
+    lists = wanted.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct("key", "id")).alias("want"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,7 +147,17 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, wrapped: b
                         ids.append(i)
                         sets.append(shingles(ws).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
-    return docs.join(lists, "doc_id").select("text", "want").mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
+
+    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            by = {xxhash.xxh3_128_digest(b" ".join(ws)): ws for text in b.column(0).to_pylist()
+                  for _, _, _, ws in split(text or "", min_words, wrapped)}
+            yield pa.RecordBatch.from_arrays([pa.array(by, pa.binary()), pa.array(
+                [shingles(ws).view(np.int64) for ws in by.values()], pa.list_(pa.int64()))], names=["key", "set"])
+    named = docs.join(lists, "doc_id").select("text", "want").mapInArrow(run, "id long, set array<long>")
+    loose = docs.where("doc_id is null").select("text").mapInArrow(run_all, "key binary, set array<long>").join(
+        wanted.where("doc_id is null").select("key", "id"), "key").select("id", "set")
+    return named.union(loose).dropDuplicates(["id"])
 
 
 def _sharing_prefix(rows: DataFrame, sets: DataFrame, threshold: float, work: Work) -> DataFrame:
@@ -202,14 +215,14 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = work.table(_found(docs, min_words, bands, rows, wrapped), "found")
     first = F.struct("doc_id", "paragraph")
-    distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.count("*").alias("copies"),
+    distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.min("doc_id").alias("holder"), F.count("*").alias("copies"),
                                                    F.max("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "distinct")
     likely = F.struct((-F.col("copies")).alias("few"), F.col("id"))  # the smallest has most copies
     keys = distinct.select("id", "copies", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(likely)["id"].alias("low")).where("n > 1")
     buckets = work.table(keys.join(shared.select("band", "low"), "band"), "buckets")
     wanted = buckets.select("id").distinct().join(distinct, "id").select(
-        "id", F.col("first.doc_id").alias("doc_id"), "key").where("doc_id is not null")
+        "id", F.col("holder").alias("doc_id"), "key")  # the smallest id that is not NULL
     sets = work.table(_shingle_sets(docs, wanted, min_words, wrapped), "sets")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:

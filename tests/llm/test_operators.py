@@ -266,6 +266,21 @@ def test_paragraph_dedup(spark, docs, corpus, empty):
     assert paragraphs.tune_bands(0.8, 0.999, 64) == (14, 4)
 
 
+def test_paragraphs_of_rows_without_id_keep_their_links(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(900)]
+    common, alone = ([*rng.choices(vocabulary, k=60)] for _ in range(2))
+
+    def near(ws, k):
+        return " ".join([*ws[:-1 - k], f"edit{k}", *ws[len(ws) - k:]])
+    rows = [(None, " ".join(common) + "\n" + near(alone, 0)), (None, near(alone, 1)), (1, " ".join(common)), (2, near(common, 0)),
+            (3, near(common, 1)), (4, " ".join(alone)), (None, None)]
+    got = paragraphs.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.component_paragraph, r.component_size, r.kept) for r in got if r.paragraph == 0
+                  and r.doc_id in (1, 2, 3)) == [(k, None, 0, 4, False) for k in (1, 2, 3)]
+    assert len(got) == 7 and sorted(r.component_size for r in got) == [3, 3, 3, 4, 4, 4, 4]
+
+
 def test_repeated_passages_in_and_over_lines(spark):
     rng = random.Random(5)
     vocabulary = [f"w{i}é" for i in range(3000)]
