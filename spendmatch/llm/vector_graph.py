@@ -153,6 +153,9 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
           effort: int = 32, fit_rows: int = 20_000, max_clusters: int = 4096, tag: str = "") -> DataFrame:
     """Verified pairs (a < b) of distinct vectors of one label.
 
+    Within a shard the joined lists are walked; edges that leave it are followed
+    in rounds from the vectors found in range (``_leaving``).  Two vectors that
+    share no cluster and no chain of links are not found.
     A cluster over ``max_shard`` vectors is dealt by hash to several shards and
     its vectors search all of them, so a task's memory stays bounded.
     """
@@ -194,7 +197,38 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
 
     every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("member", F.col("part") == own)
     pairs = every.join(graph, "id").groupBy(*key).applyInPandas(search, "a long, b long").distinct()
-    return work.table(pairs, f"links{tag}")
+    return _leaving(work.table(pairs, f"links{tag}"), routes, graph, held, work, threshold, tag)
+
+
+def _leaving(pairs: DataFrame, routes: DataFrame, graph: DataFrame, held: DataFrame, work: Work, threshold: float, tag: str) -> DataFrame:
+    """``pairs`` with those that edges leaving a shard lead to.
+
+    A round follows, for each new pair (query, node), the node's edges to vectors
+    that share no cluster with the query, and keeps those in range, until no new
+    pair appears.
+    """
+    homes = work.table(routes.groupBy("id").agg(F.collect_set("cluster").alias("at")), f"homes{tag}")
+    far = homes.select(F.col("id").alias("c"), F.col("at").alias("c_at"))
+    out = work.table(graph.select(F.col("id").alias("node"), F.explode("near").alias("c")).join(far, "c").groupBy("node").agg(
+        F.collect_list(F.struct("c", "c_at")).alias("out")), f"out{tag}")
+    side = held.select("id", "label", "v")
+    new, seen, k = pairs, pairs, 0
+    while True:
+        ends = new.select(F.col("a").alias("id"), F.col("b").alias("node")).union(new.select("b", "a"))
+        met = ends.join(homes, "id").join(out, "node").select("id", F.explode(F.filter(
+            "out", lambda o: ~F.arrays_overlap(o["c_at"], F.col("at"))).getField("c")).alias("c")).select(
+            F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).where("a < b").distinct().join(seen, ["a", "b"], "left_anti")
+        both = met.join(side.select(F.col("id").alias("a"), F.col("label").alias("la"), F.col("v").alias("x")), "a").join(
+            side.select(F.col("id").alias("b"), F.col("label").alias("lb"), F.col("v").alias("y")), "b").where(
+            (F.col("la") == F.col("lb")) & (F.size("x") == F.size("y")))
+
+        def dot(x: str, y: str):
+            return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+        near = both.where(dot("x", "y") / (F.sqrt(dot("x", "x")) * F.sqrt(dot("y", "y"))) >= threshold)
+        new = work.table(near.select("a", "b").distinct(), f"beyond{tag}_{k}")
+        if new.isEmpty():
+            return seen
+        seen, k = seen.union(new), k + 1
 
 
 def audit(held: DataFrame, found: DataFrame, threshold: float, rows: int = 64) -> float:

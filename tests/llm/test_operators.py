@@ -337,6 +337,17 @@ def test_vectors(spark):
     assert vector_graph.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vector_links_leave_their_shards(spark):
+    angle = np.radians([0, 15, 30, 90])
+    held = spark.createDataFrame([(1, [float(np.cos(a)), float(np.sin(a))], k) for k, a in enumerate(angle)],
+                                 "label long, v array<double>, id long").cache()
+    routes = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (1, 1, 1), (1, 1, 2), (1, 1, 3)], "label long, cluster int, id long")
+    graph = spark.createDataFrame([(0, [1]), (1, [0, 2]), (2, [1, 3]), (3, [2])], "id long, near array<long>")
+    pairs = spark.createDataFrame([(0, 1), (1, 2)], "a long, b long")
+    got = vector_graph._leaving(pairs, routes, graph, held, Work(spark, "t"), float(np.cos(np.radians(31))), "t")
+    assert sorted(map(tuple, got.collect())) == [(0, 1), (0, 2), (1, 2)]
+
+
 def test_grammar_reads_clauses():
     g = toxicity.Grammar({"oaf$": 2.0, "dolt": 1.5})
     hit = {k: dict(zip(toxicity.FEATURES, g.features(t))) for k, t in {
