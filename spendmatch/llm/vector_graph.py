@@ -231,24 +231,62 @@ def _leaving(pairs: DataFrame, routes: DataFrame, graph: DataFrame, held: DataFr
         seen, k = seen.union(new), k + 1
 
 
-def audit(held: DataFrame, found: DataFrame, threshold: float, rows: int = 64) -> float:
-    """Share of the true links of at most ``rows`` vectors (the first by a hash of the id) that ``found`` has."""
-    q = held.orderBy(F.xxhash64("id", F.lit(1))).limit(rows).select("label", "id", "v").toPandas()
-    queries = held.sparkSession.sparkContext.broadcast((q.label.to_numpy(), q.id.to_numpy(), q.v.tolist()))
+def audit(held: DataFrame, found: DataFrame, threshold: float, work: Work, share: int = 100, block: int = 5000, tag: str = "") -> float:
+    """Recall of ``found`` by brute force: the smaller of that per link and the mean of that per vector.
 
-    def run(batches):
-        labels, ids, vs = queries.value
-        for b in batches:
-            out = []
-            for label, i, v in zip(labels, ids, vs):
-                same = b[(b.label == label) & (b.id != i) & (b.v.map(len) == len(v))]
-                if len(same):
-                    s = _unit(same.v) @ (np.array(v) / np.linalg.norm(v))
-                    out += [(min(i, j), max(i, j)) for j in same.id.to_numpy()[s >= threshold]]
-            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-    true = held.select("label", "id", "v").mapInPandas(run, "a long, b long").distinct()
-    both = true.join(found.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
-    return both[1] / both[0] if both[0] else 1.0
+    The queries are the vectors whose id divides by ``share`` and the first 64 by
+    a hash of the id, ``block`` broadcast at a time; ten times as many if those
+    have no link at all.
+    """
+    first = held.orderBy(F.xxhash64("id", F.lit(1))).limit(64).select("id").distinct().withColumn("first", F.lit(True))
+    for k, part in enumerate((share, max(1, share // 10))):
+        asked = work.table(held.join(F.broadcast(first), "id", "left").where(
+            (F.pmod("id", F.lit(part)) == 0) | F.col("first")).select("label", "id", "v"), f"asked{tag}_{k}")
+        blocks, true = -(-asked.count() // block), None
+        for i in range(blocks):
+            q = asked.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)) == i).toPandas()
+            own = {key: (g.id.to_numpy(), _unit(g.v)) for key, g in q.groupby([q.label, q.v.map(len)])}
+            queries = held.sparkSession.sparkContext.broadcast(own)
+
+            def run(batches, queries=queries):
+                for b in batches:
+                    for key, rows in b.groupby([b.label, b.v.map(len)]):
+                        if key in queries.value:
+                            ids, x = queries.value[key]
+                            at, to = np.nonzero(x @ _unit(rows.v).T >= threshold)
+                            some = pd.DataFrame({"q": ids[at], "o": rows.id.to_numpy()[to]})
+                            yield some[some.q != some.o]
+            one = held.select("label", "id", "v").mapInPandas(run, "q long, o long")
+            true = one if true is None else true.union(one)
+        if true is None:
+            return 1.0
+        hit = found.withColumn("hit", F.lit(1))
+        per = true.distinct().select("q", F.least("q", "o").alias("a"), F.greatest("q", "o").alias("b")).join(hit, ["a", "b"], "left").groupBy(
+            "q").agg(F.count("*").alias("n"), F.count("hit").alias("hits"))
+        n, hits, mean = per.agg(F.sum("n"), F.sum("hits"), F.avg(F.col("hits") / F.col("n"))).first()
+        if n:
+            return min(hits / n, mean)
+    return 1.0
+
+
+def exact(held: DataFrame, threshold: float, block: int = 2000) -> DataFrame:
+    """All pairs (a < b) of distinct vectors of one label, block against block."""
+    blocks = held.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = held.select("label", "id", "v").join(blocks, "label").withColumn("own", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "v")
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        out = [np.empty((0, 2), np.int64)]
+        for _, h in g.groupby(g.v.map(len)):
+            x, ids = _unit(h.v), h.id.to_numpy()
+            left, right = np.flatnonzero(h.own.to_numpy() == h.i.to_numpy()), np.flatnonzero(h.own.to_numpy() == h.j.to_numpy())
+            a, b = np.nonzero(x[left] @ x[right].T >= threshold)
+            ab = np.stack((ids[left[a]], ids[right[b]]), axis=1)
+            out.append(np.sort(ab[ab[:, 0] != ab[:, 1]], axis=1))
+        found = np.unique(np.concatenate(out), axis=0)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+    return rows.groupBy("label", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, target_recall: float = 0.95, id_col: str = "vec_id",
@@ -258,7 +296,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, target_recall:
     Vectors link when their labels are equal and their cosine reaches
     ``threshold``.  Equal vectors are searched once and counted as often as
     they occur.  If the audit's recall is below ``target_recall`` the search is
-    done again with twice the effort and overlap (twice at most).  NULL, empty
+    done again with twice the effort and overlap (twice at most), and after that
+    all vectors of a label are compared, block against block.  NULL, empty
     and zero vectors, those with NULL or non-finite components, and rows with a
     NULL label or id link with nothing; vectors of different lengths do not
     link; repeated ids share links; other columns are ignored.
@@ -269,9 +308,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, target_recall:
     for k in range(3):
         found = links(held, work, threshold, tag=str(k), **options)
         work.drop(f"routes{k}", f"graph{k}")
-        if audit(held, found, threshold) >= target_recall:
+        if audit(held, found, threshold, work, tag=str(k)) >= target_recall:
             break
         options |= {"overlap": 2 * options["overlap"], "effort": 2 * options["effort"]}
+    else:
+        found = work.table(exact(held, threshold), "exact")
     comp = connected_components(work, found.select(F.col("a").alias("u"), F.col("b").alias("v")))
     ends = found.select(F.col("a").alias("id"), F.col("b").alias("other")).union(found.select("b", "a"))
     many = held.select(F.col("id").alias("other"), "n")

@@ -348,6 +348,24 @@ def test_vector_links_leave_their_shards(spark):
     assert sorted(map(tuple, got.collect())) == [(0, 1), (0, 2), (1, 2)]
 
 
+def test_recall_audit_weighs_vectors_and_falls_back_to_exact(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(420, 16))
+    x[100:200] = x[100] + rng.normal(size=(100, 16)) * 0.01  # a large group
+    x[200:400] = np.repeat(x[200:300], 2, axis=0) + rng.normal(size=(200, 16)) * 0.01  # pairs
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    held = vector_graph.usable(df, "vec_id", "embedding", "label").cache()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = {(int(a), int(b)) for a, b in np.argwhere(unit @ unit.T >= 0.93) if a < b}
+    assert {tuple(r) for r in vector_graph.exact(held, 0.93, block=50).collect()} == true
+    group = spark.createDataFrame([p for p in true if 100 <= p[0] and p[1] < 200], "a long, b long")
+    assert vector_graph.audit(held, spark.createDataFrame(sorted(true), "a long, b long"), 0.93, Work(spark, "t")) == 1
+    assert vector_graph.audit(held, group, 0.93, Work(spark, "t"), share=5) < 0.6  # 4,950 of 5,050 links, one vector in three
+    monkeypatch.setattr(vector_graph, "links", lambda held, *a, **k: group)
+    out = {r.vec_id: r.n_links for r in vector_graph.near_duplicates(df).collect()}
+    assert out == {k: sum(k in p for p in true) for k in range(420)}
+
+
 def test_grammar_reads_clauses():
     g = toxicity.Grammar({"oaf$": 2.0, "dolt": 1.5})
     hit = {k: dict(zip(toxicity.FEATURES, g.features(t))) for k, t in {
