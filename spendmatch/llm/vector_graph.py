@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ._components import connected_components
 from ._work import Work
 
-ROUTE = "label long, cluster int, id long, v array<double>"
+ROUTE = "label long, cluster long, id long, v array<double>"
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -149,6 +150,57 @@ def _route(held: DataFrame, per_shard: int, overlap: int, fit_rows: int, max_clu
     return held.select("label", "id", "v").mapInPandas(run, ROUTE)
 
 
+def _split(routes: DataFrame, work: Work, per_shard: int, max_shard: int, overlap: int, tag: str, levels: int = 3,
+           fit_rows: int = 2000, bucket_rows: int = 5000) -> DataFrame:
+    """``routes`` with every cluster over ``max_shard`` vectors divided again, by k-means on about ``fit_rows`` of its own.
+
+    Its vectors go to their ``overlap`` nearest centres in tasks of about
+    ``bucket_rows``.  What is still too large after ``levels`` rounds stays.
+    """
+    key = ["label", "cluster"]
+    for level in range(levels):
+        sizes = routes.groupBy(*key).agg(F.count("*").alias("m"))
+        large = work.table(sizes.where(F.col("m") > max_shard), f"large{tag}_{level}")
+        if large.isEmpty():
+            break
+        rows = routes.join(large, key)
+        sample = rows.where(F.pmod(F.xxhash64("id", F.lit(17 + level)), F.ceil(F.col("m") / fit_rows)) == 0)
+
+        def fit(g: pd.DataFrame) -> pd.DataFrame:
+            x = _unit(g.v)
+            k = min(max(-(-int(g.m.iloc[0]) // per_shard), 2 * overlap), max(1, len(x) // 8))
+            return g.iloc[:1][key].assign(centres=[_kmeans(x, k).ravel().tolist()])
+        centres = sample.groupBy(*key).applyInPandas(fit, "label long, cluster long, centres array<double>")
+        buckets = F.ceil(F.col("m") / bucket_rows).cast("int")
+        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(3)), buckets).cast("int"))
+        sent = centres.join(large, key).withColumn("bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
+
+        def route(g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            if not len(g) or not len(c):
+                return g[["label", "cluster", "id", "v"]]
+            x = _unit(g.v)
+            near = np.argsort(-(x @ np.array(c.centres.iloc[0]).reshape(-1, x.shape[1]).T), axis=1, kind="stable")[:, :overlap]
+            name = int(g.cluster.iloc[0])
+            subs = np.array([xxhash.xxh3_64_intdigest(f"{level} {name} {k}") - (1 << 63) for k in range(int(near.max()) + 1)], np.int64)
+            return pd.concat([g.assign(cluster=subs[near[:, k]])[["label", "cluster", "id", "v"]] for k in range(near.shape[1])])
+        parted = dealt.groupBy(*key, "bucket").cogroup(sent.groupBy(*key, "bucket")).applyInPandas(route, ROUTE)
+        routes = work.table(routes.join(large, key, "left_anti").select(*routes.columns).union(parted), f"split{tag}_{level}")
+        if level:
+            work.drop(f"split{tag}_{level - 1}")
+    return routes
+
+
+def _groups(rows: DataFrame, graph: DataFrame, own: Column) -> DataFrame:
+    """Rows by (label, cluster, part, asked): the members of one part, and the vectors of part ``asked``, which ask."""
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    columns = ["label", "cluster", "part", "asked", "id", "v", "near", "member", "asks"]
+    members = rows.join(graph, "id").withColumn("part", own).withColumn("asked", each).withColumn("member", F.lit(True)).withColumn(
+        "asks", F.col("part") == F.col("asked"))
+    others = rows.withColumn("asked", own).withColumn("part", each).where("part <> asked").withColumn(
+        "near", F.array().cast("array<long>")).withColumn("member", F.lit(False)).withColumn("asks", F.lit(True))
+    return members.select(*columns).union(others.select(*columns))
+
+
 def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, max_shard: int = 1800, overlap: int = 3,
           effort: int = 32, fit_rows: int = 20_000, max_clusters: int = 4096, tag: str = "") -> DataFrame:
     """Verified pairs (a < b) of distinct vectors of one label.
@@ -156,10 +208,12 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
     Within a shard the joined lists are walked; edges that leave it are followed
     in rounds from the vectors found in range (``_leaving``).  Two vectors that
     share no cluster and no chain of links are not found.
-    A cluster over ``max_shard`` vectors is dealt by hash to several shards and
-    its vectors search all of them, so a task's memory stays bounded.
+    A cluster over ``max_shard`` vectors is divided again by k-means; one that
+    stays larger is dealt by hash to parts, and a task searches one part with
+    the vectors of one part, so its memory stays bounded.
     """
     routes = work.table(_route(held, per_shard, overlap, fit_rows, max_clusters), f"routes{tag}")
+    routes = _split(routes, work, per_shard, max_shard, overlap, tag)
     parts = routes.groupBy("label", "cluster").agg(F.ceil(F.count("*") / max_shard).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     rows = routes.join(parts, ["label", "cluster"])
@@ -185,9 +239,11 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
             medoid = int(np.argmax(base @ base.mean(axis=0)))
             own = np.full(len(x), -1)
             own[place] = np.arange(len(place))
-            for i in range(0, len(x), 512):
-                who, node = range_search(base, near, x[i:i + 512], medoid, threshold - 1e-9, effort, own=own[i:i + 512])
-                who, node = who + i, place[node]
+            asked = np.flatnonzero(g.asks.to_numpy())
+            for i in range(0, len(asked), 512):
+                some = asked[i:i + 512]
+                who, node = range_search(base, near, x[some], medoid, threshold - 1e-9, effort, own=own[some])
+                who, node = some[who], place[node]
                 for c in range(0, len(who), 100_000):
                     a, b = who[c:c + 100_000], node[c:c + 100_000]
                     real = (ids[a] != ids[b]) & (np.einsum("ij,ij->i", raw[a], raw[b]) / (length[a] * length[b]) >= threshold)
@@ -195,8 +251,7 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
         found = np.unique(np.concatenate(pairs), axis=0)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
-    every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("member", F.col("part") == own)
-    pairs = every.join(graph, "id").groupBy(*key).applyInPandas(search, "a long, b long").distinct()
+    pairs = _groups(rows, graph, own).groupBy(*key, "asked").applyInPandas(search, "a long, b long").distinct()
     return _leaving(work.table(pairs, f"links{tag}"), routes, graph, held, work, threshold, tag)
 
 

@@ -348,6 +348,26 @@ def test_vector_links_leave_their_shards(spark):
     assert sorted(map(tuple, got.collect())) == [(0, 1), (0, 2), (1, 2)]
 
 
+def test_large_clusters_are_searched_in_bounded_groups(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 16))
+    x[600:] = x[0] + rng.normal(size=(300, 16)) * 0.02  # near copies
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    held = vector_graph.usable(df, "vec_id", "embedding", "label").cache()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = {(int(a), int(b)) for a, b in np.argwhere(unit @ unit.T >= 0.93) if a < b}
+    plain, sizes = vector_graph._groups, []
+
+    def noted(*a):
+        out = plain(*a)
+        sizes.extend(r["count"] for r in out.groupBy("label", "cluster", "part", "asked").count().collect())
+        return out
+    monkeypatch.setattr(vector_graph, "_groups", noted)
+    got = {tuple(r) for r in vector_graph.links(held, Work(spark, "t"), 0.93, per_shard=60, max_shard=100, overlap=2, max_clusters=2).collect()}
+    assert got <= true and len(got) >= 0.95 * len(true)
+    assert 0 < max(sizes) <= 2.6 * 100  # two parts, dealt by hash
+
+
 def test_recall_audit_weighs_vectors_and_falls_back_to_exact(spark, monkeypatch):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(420, 16))
