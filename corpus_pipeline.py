@@ -28,10 +28,17 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; a row without an id stays."""
-    found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates one row stays, that with the smallest id; a row without an id stays.
+
+    The decision falls on rows, by a written row key, so rows that share an id go or stay by their own text.
+    """
+    work = Work(spark, "simhash_rows")
+    rows = work.table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = rows.where("doc_id is not null")
+    found = simhash.near_duplicates(named, shingle=3, radius=2, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    first = found.join(named.select("__row", "doc_id"), "__row").groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "__row"))["__row"].alias("__row"))
+    return rows.join(first.select("__row"), "__row", "left_semi").unionByName(rows.where("doc_id is null")).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,14 @@ def test_dedup_stage(stages):
     assert all(after[i] == before[i] for i in after)
 
 
+def test_dedup_stage_decides_by_row(spark, stages):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a, "en", "s", 0), (5, a, "en", "s", 0), (5, b, "en", "s", 0), (5, b, "en", "s", 0),
+                                  (None, a, "en", "s", 0)], stages[0][0].schema)
+    left = corpus_pipeline.simhash_stage(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, a), (1, a), (5, b)]
+
+
 def test_decontamination_stage(spark, stages):
     before, after = map(rows, stages[2])
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
