@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, katz, packing, paragraphs, pii, rans, secrets, simhash, toxicity, vector_graph
+from . import (
+    decontam, divergence, infill, katz, lines, packing, paragraphs, pii, rans, secrets, simhash, toxicity, vector_graph)
 from ._work import read
 
 
@@ -54,8 +55,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(infill.transform(read(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, rate=100, spm_rate=50))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=10))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_katz_lm_scoring, op2_secret_scans, op3_rans_token_output, op4_benchmark_decontamination, op5_best_fit_packing,
-        op6_substring_dedup, op7_embedding_near_dedup, op8_toxicity, op9_simhash_near_dedup, op10_pii)
+        op6_substring_dedup, op7_embedding_near_dedup, op8_toxicity, op9_simhash_near_dedup, op10_pii, op11_source_divergence_audit,
+        op12_fill_in_middle, op13_line_dedup)
 }

@@ -1,5 +1,6 @@
 """Plain Python versions of the operators, for small inputs."""
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -156,3 +157,55 @@ def paragraphs(docs, threshold, min_words):
     comp = components(keys, links)
     size = Counter(comp.values())
     return {k: c for k, c in comp.items() if size[c] > 1}
+
+
+def divergence(docs, min_docs=3, top=200):
+    """{(lang, source, part, item): (value, rank)} for rows (lang, source, text)."""
+    rows = [(a or "", b or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOWER))) for a, b, t in docs]
+    out = {}
+    for lang in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == lang]
+        df = Counter(t for r in own for t in set(r[2]))
+        kept = [t for t in df if df[t] >= min_docs]
+        count = {s: Counter(t for r in own if r[1] == s for t in r[2] if df[t] >= min_docs) for s in {r[1] for r in own}}
+        whole = sum(count.values(), Counter())
+
+        def share(c, t):
+            return 1 + 10 ** 9 * (c[t] + 1) // (sum(c.values()) + len(kept))
+
+        def rank(source, part, found, most):
+            for k, (v, item) in enumerate(sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most]):
+                out[lang, source, part, item] = (v, k + 1)
+        for s, c in count.items():
+            rank(s, "pair", [(sum((share(c, t) - share(o, t)) ** 2 // share(o, t) for t in kept), i) for i, o in count.items() if i != s], None)
+            rank(s, "term", [((p - q) ** 2 // q, t) for t in kept if c[t] and (p := share(c, t)) > (q := share(whole, t))], top)
+    return out
+
+
+def infill(doc_id, text, seed=7, rate=100, spm_rate=50):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in range(0, 32, 8)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < spm_rate:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def line_dedup(docs, min_chars=10):
+    """[(doc_id, lines before, lines dropped, text left)] in the order of the rows."""
+    split = [(i, (t or "").split("\n")) for i, t in docs]
+    owners = defaultdict(set)
+    for i, lines in split:
+        for x in lines:
+            owners[x.strip(" \t\n\x0b\x0c\r").translate(LOWER)].add(i)
+
+    def gone(i, x):
+        k = x.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+        first = min((o for o in owners[k] if o is not None), default=None)
+        return len(k) >= min_chars and len(owners[k]) > 1 and i != first
+    return [(i, len(ls), sum(gone(i, x) for x in ls), "\n".join(x for x in ls if not gone(i, x))) for i, ls in split]
