@@ -1,9 +1,10 @@
 """Change-data sync of a table against a new full snapshot.
 
-One full outer join on the conflict keys classifies every key as
-``insert`` / ``update`` / ``unchanged`` / ``frozen`` (stored hash NULL: never
-updated) / ``delete`` (stale) / ``orphan`` (absent key whose hash still
-occurs among the incoming hashes, so the hash-based delete keeps it, T14).
+Two joins on the conflict keys, over one shuffle of the table, classify every
+key as ``insert`` / ``update`` / ``unchanged`` / ``rehash`` (same content under
+an accepted older fingerprint) / ``frozen`` (stored hash NULL: never updated) /
+``delete`` (stale) / ``orphan`` (absent key whose hash still occurs among the
+incoming hashes, so the hash-based delete keeps it, T14).
 The new table, the change list and the statistics all derive from that one
 classified frame; nothing is collected to the driver except the small
 statistics.  The result is written to a new location (never over the path
@@ -13,15 +14,19 @@ being read) by :func:`write_synced`.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendmatch.functions.hashing import AUDIT_COLUMNS, hash_columns, row_hash
 from spendmatch.operators.ingest import clean_keys, nan_to_null, normalize_columns, split_valid_keys, trim_strings
 from spendmatch.operators.matching import spread
+from spendmatch.session import materialize
 
-OPS = ("insert", "update", "unchanged", "frozen", "delete", "orphan")
+OPS = ("insert", "update", "unchanged", "rehash", "frozen", "delete", "orphan")
+OTHER_HASH = "row_hash_"   # prefix of fingerprints made by rules that are accepted beside the current one
 
 
 class DuplicateKeyError(ValueError):
@@ -69,11 +74,16 @@ class Prepared:
 
 
 def prepare_incoming(df: DataFrame, keys: list[str], now, hash_mode: str = "canonical",
-                     on_duplicate_key: str = "error", order_col: str | None = None) -> Prepared:
+                     on_duplicate_key: str = "error", order_col: str | None = None, accept: tuple[str, ...] = (),
+                     keep: str = "table") -> Prepared:
     """Clean keys, NaN to NULL, split off rejects, fingerprint rows (F17), stamp ``updated_at``.
 
     Repeated keys raise :class:`DuplicateKeyError`, or with ``"last"`` the row
-    with the greatest ``order_col`` is taken (C9).
+    with the greatest ``order_col`` is taken (C9); ``order_col`` is not part of
+    the fingerprint.  ``accept`` names other fingerprint rules; each adds a
+    column ``row_hash_<rule>`` (see :func:`present_op`).  The prepared rows are
+    written once (``keep="table"``), as the sync reads them several times;
+    ``keep="none"`` leaves them lazy.
     """
     missing = [k for k in keys if k not in df.columns]
     if missing:
@@ -84,61 +94,83 @@ def prepare_incoming(df: DataFrame, keys: list[str], now, hash_mode: str = "cano
         if not order_col:
             raise ValueError("on_duplicate_key='last' needs order_col")
         ok = dedupe_last(ok, keys, order_col)
-    elif on_duplicate_key == "error":
-        assert_unique(ok, keys, "incoming")
-    else:
+    elif on_duplicate_key != "error":
         raise ValueError(f"unknown on_duplicate_key {on_duplicate_key!r}")
-    cols = hash_columns(ok)
-    hashed = ok.withColumn("row_hash", row_hash(ok, cols, mode=hash_mode)) \
-               .withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
-    return Prepared(hashed, bad)
+    rows = fingerprinted(ok, hash_mode, accept, order_col).withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
+    rows = materialize(rows, "incoming") if keep == "table" else rows
+    if on_duplicate_key == "error":
+        assert_unique(rows, keys, "incoming")
+    return Prepared(rows, bad)
+
+
+def fingerprinted(df: DataFrame, hash_mode: str = "canonical", accept: tuple[str, ...] = (), order_col: str | None = None) -> DataFrame:
+    """``row_hash`` by the current rule and ``row_hash_<rule>`` by each accepted one."""
+    cols = [c for c in hash_columns(df) if c != order_col]
+    return df.withColumns({"row_hash": row_hash(df, cols, mode=hash_mode)}
+                          | {f"{OTHER_HASH}{m}": row_hash(df, cols, mode=m) for m in accept if m != hash_mode})
 
 
 def classify(target: DataFrame, incoming: DataFrame, keys: list[str], now,
              order: str = "upsert_first", incoming_empty: bool | None = None) -> DataFrame:
-    """The classified full outer join: one row per key with ``op`` and the
-    resulting row values (``_keep`` false for deleted rows).
+    """One row per key with ``op`` and the resulting row values (``_keep`` false for deleted rows).
 
     ``incoming`` must carry ``row_hash``; ``target`` carries the audit columns.
     """
     data_cols = [c for c in target.columns if c not in AUDIT_COLUMNS]
-    extra = [c for c in incoming.columns if c not in data_cols and c not in AUDIT_COLUMNS]
+    extra = [c for c in incoming.columns if c not in data_cols and c not in AUDIT_COLUMNS and not c.startswith(OTHER_HASH)]
     if extra:
         # the source's INSERT fails on a new column: there is no schema evolution
         raise ValueError(f"incoming has columns the target lacks: {extra}")
-    now_c = F.lit(now).cast("timestamp_ntz")
+    accepted = [c for c in incoming.columns if c.startswith(OTHER_HASH)]
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
-    i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in data_cols + ["row_hash"]])
-    hashes = incoming.select(F.col("row_hash").alias("_h")).distinct()
-    cond = None
-    for k in keys:
-        e = F.col(f"t_{k}") == F.col(f"i_{k}")
-        cond = e if cond is None else cond & e
-    j = t.join(i, cond, "full_outer")
-    # hash-based stale check only for keys the snapshot lacks (J16: semi join on hash)
-    absent = spread(F.when(F.col("i_row_hash").isNull(), F.col("t_row_hash")), j.columns)
-    j = j.join(hashes, absent == F.col("_h"), "left")
-    in_t = F.col(f"t_{keys[0]}").isNotNull()
-    in_i = F.col(f"i_{keys[0]}").isNotNull()
+    i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in [*data_cols, "row_hash", *accepted]])
+    on_key = reduce(and_, [F.col(f"t_{k}") == F.col(f"i_{k}") for k in keys])
+    # rows the snapshot has: compared by hash, key by key
+    present = t.join(i, on_key, "right_outer").withColumn("op", present_op(keys, accepted))
+    # rows it lacks, and only those: does their hash occur among the incoming hashes (J16)?
+    i_keys = incoming.select(*[F.col(k).alias(f"i_{k}") for k in keys])
+    absent = t.join(i_keys, on_key, "left_anti")
+    if incoming_empty:
+        absent = absent.withColumn("op", F.lit("orphan"))
+    else:
+        hashes = incoming_hashes(incoming).withColumnRenamed("row_hash", "_h")
+        absent = absent.join(hashes, spread("t_row_hash", t.columns) == F.col("_h"), "left").withColumn(
+            "op", F.when(F.col("t_row_hash").isNull() | F.col("_h").isNotNull(), F.lit("orphan")).otherwise(F.lit("delete")))
+    kept = absent.select(*[F.col(f"t_{c}").alias(c) for c in data_cols], *[F.col(f"t_{c}").alias(c) for c in AUDIT_COLUMNS], "op")
+    out = present.select(*merged_columns(data_cols, now, order), "op").unionByName(kept)
+    return out.withColumn("_keep", F.col("op") != "delete")
+
+
+def present_op(keys: list[str], accepted: list[str]) -> Column:
+    """The op of a key that the snapshot has, from columns ``t_...`` and ``i_...``.
+
+    A stored hash equal to one made by another rule (``accepted``) marks the
+    same content under an old fingerprint: ``rehash`` stores the new one and
+    changes nothing else.
+    """
     th, ih = F.col("t_row_hash"), F.col("i_row_hash")
-    skip_delete = F.lit(bool(incoming_empty))
-    op = (F.when(in_i & ~in_t, F.lit("insert"))
-          .when(in_i & th.isNull(), F.lit("frozen"))
-          .when(in_i & (th == ih), F.lit("unchanged"))
-          .when(in_i, F.lit("update"))
-          .when(th.isNull() | F.col("_h").isNotNull() | skip_delete, F.lit("orphan"))
-          .otherwise(F.lit("delete")))
-    j = j.withColumn("op", op)
-    take_new = F.col("op").isin("insert", "update")
-    vals = [F.when(take_new, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in data_cols]
+    old = reduce(or_, [th == F.col(f"i_{c}") for c in accepted], F.lit(False))
+    return (F.when(F.col(f"t_{keys[0]}").isNull(), F.lit("insert")).when(th.isNull(), F.lit("frozen"))
+            .when(th == ih, F.lit("unchanged")).when(old, F.lit("rehash")).otherwise(F.lit("update")))
+
+
+def incoming_hashes(incoming: DataFrame) -> DataFrame:
+    """The distinct fingerprints of the snapshot, by every rule that is accepted."""
+    cols = ["row_hash", *[c for c in incoming.columns if c.startswith(OTHER_HASH)]]
+    if len(cols) == 1:
+        return incoming.select("row_hash").distinct()
+    return incoming.select(F.explode(F.array(*cols)).alias("row_hash")).where("row_hash is not null").distinct()
+
+
+def merged_columns(data_cols: list[str], now, order: str) -> list[Column]:
+    """Values and audit columns of a row after the sync, from columns ``t_...``, ``i_...`` and ``op``."""
+    now_c, op = F.lit(now).cast("timestamp_ntz"), F.col("op")
+    take_new = op.isin("insert", "update")
     created_new = now_c if order == "delete_first" else F.col("t_created_at")
-    created = (F.when(F.col("op") == "insert", now_c)
-               .when(F.col("op") == "update", created_new)
-               .otherwise(F.col("t_created_at")))
-    updated = F.when(take_new, now_c).otherwise(F.col("t_updated_at"))
-    rh = F.when(take_new, ih).otherwise(th)
-    return j.select(*vals, created.alias("created_at"), updated.alias("updated_at"), rh.alias("row_hash"),
-                    "op", (F.col("op") != "delete").alias("_keep"))
+    return [*[F.when(take_new, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in data_cols],
+            F.when(op == "insert", now_c).when(op == "update", created_new).otherwise(F.col("t_created_at")).alias("created_at"),
+            F.when(take_new, now_c).otherwise(F.col("t_updated_at")).alias("updated_at"),
+            F.when(take_new | (op == "rehash"), F.col("i_row_hash")).otherwise(F.col("t_row_hash")).alias("row_hash")]
 
 
 @dataclass
@@ -218,7 +250,8 @@ def write_synced(result: SyncResult, out_path: str) -> None:
 
 
 def sync_sheet(spark, sheet: DataFrame, target: DataFrame | None, keys: list[str], now, on_duplicate_key: str = "error",
-               order_col: str | None = None, order: str = "upsert_first", hash_mode: str = "canonical") -> tuple[Prepared, SyncResult]:
+               order_col: str | None = None, order: str = "upsert_first", hash_mode: str = "canonical",
+               accept: tuple[str, ...] = ()) -> tuple[Prepared, SyncResult]:
     """One sheet end to end: headers, strings, types, keys, rejects, target, audit columns, key check, upsert, stale delete.
 
     ``keys`` and ``order_col`` name normalised headers.  An absent target (None)
@@ -231,12 +264,11 @@ def sync_sheet(spark, sheet: DataFrame, target: DataFrame | None, keys: list[str
     if target is not None:
         target = add_audit_columns(target, now)
         assert_unique(target, keys, "target")
-    prep = prepare_incoming(df, keys, now, hash_mode, on_duplicate_key, order_col)
+    prep = prepare_incoming(df, keys, now, hash_mode, on_duplicate_key, order_col, accept)
     if order_col:
-        rows = prep.rows.drop(order_col, "row_hash")
-        prep = Prepared(rows.withColumn("row_hash", row_hash(rows, hash_columns(rows), mode=hash_mode)), prep.rejected)
+        prep = Prepared(prep.rows.drop(order_col), prep.rejected)
     if target is None:
-        data = [c for c in prep.rows.columns if c not in AUDIT_COLUMNS]
+        data = [c for c in prep.rows.columns if c not in AUDIT_COLUMNS and not c.startswith(OTHER_HASH)]
         target = add_audit_columns(prep.rows.select(*data).limit(0), now)
     return prep, sync(target, prep.rows, keys, now, order=order)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -47,20 +47,19 @@ def read_tables(spark: SparkSession, sources: dict[str, str], wanted: list[str]
     return out
 
 
-def infer_types(df: DataFrame, cols: list[str] | None = None, parse_text: bool = False) -> DataFrame:
-    """Best-fit nullable types (``convert_dtypes``).
+def _typed_columns(schema: T.StructType, cols: list[str] | None, parse_text: bool) -> tuple[list[str], list[str]]:
+    """(floating columns, text columns) whose values decide their type."""
+    wanted = [f for f in schema.fields if cols is None or f.name in cols]
+    return ([f.name for f in wanted if isinstance(f.dataType, (T.DoubleType, T.FloatType))],
+            [f.name for f in wanted if parse_text and isinstance(f.dataType, T.StringType)])
 
-    A floating column whose values are all whole numbers (or missing) becomes
-    bigint, with NaN as NULL; text stays text.  ``parse_text=True`` also types
-    text columns whose non-blank values all read as integers, numbers or
-    booleans; a leading zero or sign marks an id and keeps the column text.
-    One aggregate pass decides.
+
+def type_checks(schema: T.StructType, cols: list[str] | None = None, parse_text: bool = False) -> list[Column]:
+    """The aggregates that :func:`infer_types` decides by; empty when no column is in doubt.
+
+    They can be observed while the rows are written, so that the input is read once.
     """
-    wanted = [f for f in df.schema.fields if cols is None or f.name in cols]
-    floats = [f.name for f in wanted if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    texts = [f.name for f in wanted if parse_text and isinstance(f.dataType, T.StringType)]
-    if not floats and not texts:
-        return df
+    floats, texts = _typed_columns(schema, cols, parse_text)
     checks = []
     for c in floats:
         v = F.col(c)
@@ -74,7 +73,12 @@ def infer_types(df: DataFrame, cols: list[str] | None = None, parse_text: bool =
                    F.bool_and(blank | number).alias(f"{c}__dbl"),
                    F.bool_and(blank | F.lower(v).isin("true", "false")).alias(f"{c}__bool"),
                    F.bool_or(~blank).alias(f"{c}__any")]
-    fit = df.agg(*checks).first().asDict()   # one row of booleans per column
+    return checks
+
+
+def apply_types(df: DataFrame, fit: dict, cols: list[str] | None = None, parse_text: bool = False) -> DataFrame:
+    """Cast by the results of :func:`type_checks`."""
+    floats, texts = _typed_columns(df.schema, cols, parse_text)
     exprs = []
     for f in df.schema.fields:
         c = f.name
@@ -92,6 +96,19 @@ def infer_types(df: DataFrame, cols: list[str] | None = None, parse_text: bool =
     return df.select(*exprs)
 
 
+def infer_types(df: DataFrame, cols: list[str] | None = None, parse_text: bool = False) -> DataFrame:
+    """Best-fit nullable types (``convert_dtypes``).
+
+    A floating column whose values are all whole numbers (or missing) becomes
+    bigint, with NaN as NULL; text stays text.  ``parse_text=True`` also types
+    text columns whose non-blank values all read as integers, numbers or
+    booleans; a leading zero or sign marks an id and keeps the column text.
+    One aggregate pass decides.
+    """
+    checks = type_checks(df.schema, cols, parse_text)
+    return apply_types(df, df.agg(*checks).first().asDict(), cols, parse_text) if checks else df
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     if "/" in name:
         try:
@@ -150,5 +167,9 @@ def write_rejects(df_bad: DataFrame, path: str, limit: int = 100, order_by: list
     The sample is ordered by ``order_by``, or by all columns.
     """
     df_bad.write.mode("overwrite").parquet(f"{path}/all")
-    kept = df_bad.sparkSession.read.schema(df_bad.schema).parquet(f"{path}/all")
-    kept.orderBy(*(order_by or kept.columns)).limit(limit).write.mode("overwrite").option("header", True).csv(f"{path}/sample")
+    write_reject_sample(df_bad.sparkSession.read.schema(df_bad.schema).parquet(f"{path}/all"), path, limit, order_by)
+
+
+def write_reject_sample(stored: DataFrame, path: str, limit: int = 100, order_by: list[str] | None = None) -> None:
+    """A header CSV of the first ``limit`` of the stored rejects under ``path/sample``."""
+    stored.orderBy(*(order_by or stored.columns)).limit(limit).write.mode("overwrite").option("header", True).csv(f"{path}/sample")
