@@ -82,7 +82,8 @@ def build_shards(kept: DataFrame) -> DataFrame:
             names=["lang", "shard", "shards", "bits", "sizes", "terms", "bytes"])
     sizes = kept.groupBy("lang").agg(F.expr(f"cast(ceil(count(*) / {SHARD_TERMS}) as long)").alias("shards"))
     dealt = kept.join(sizes, "lang").withColumn("shard", F.expr("pmod(shiftrightunsigned(xxhash64(term), 20), shards)"))
-    return dealt.groupBy("lang", "shard", "shards").applyInArrow(build, SHARDS)
+    # dealt by shard: the join's own partitioning by lang would put a language into one task
+    return dealt.repartition("lang", "shard").groupBy("lang", "shard", "shards").applyInArrow(build, SHARDS)
 
 
 class Index:
@@ -218,7 +219,8 @@ def _pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
     stats = blocks.join(groups, "lang")
     stats = stats.select(*[F.col(c).alias(c) for c in stats.columns])  # columns of its own beside those of ``placed``
     keys = ["lang", "shard", "block"]
-    sums = placed.groupBy(*keys).cogroup(stats.groupBy(*keys)).applyInArrow(add, "lang string, source string, item string, value long")
+    sums = placed.repartition(*keys).groupBy(*keys).cogroup(stats.repartition(*keys).groupBy(*keys)).applyInArrow(
+        add, "lang string, source string, item string, value long")
     return sums.where("source <> item").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 

@@ -170,8 +170,10 @@ def divergence(docs, min_docs=3, top=200):
         count = {s: Counter(t for r in own if r[1] == s for t in r[2] if df[t] >= min_docs) for s in {r[1] for r in own}}
         whole = sum(count.values(), Counter())
 
+        sums = {id(c): sum(c.values()) for c in (whole, *count.values())}
+
         def share(c, t):
-            return 1 + 10 ** 9 * (c[t] + 1) // (sum(c.values()) + len(kept))
+            return 1 + 10 ** 9 * (c[t] + 1) // (sums[id(c)] + len(kept))
 
         def rank(source, part, found, most):
             for k, (v, item) in enumerate(sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most]):

@@ -132,10 +132,10 @@ def _audit(df, **kw):
 def test_source_audit(docs, corpus, empty, monkeypatch):
     want = brute.divergence([(a, b, t) for _, t, a, b, _ in corpus])
     assert _audit(docs) == want
-    # many shards, a round for each few of them, many blocks, and few terms held at once
-    for name, v in (("SHARD_TERMS", 40), ("CELLS", 200), ("PIECE", 50)):
+    # many shards, a round for each few of them, and many blocks
+    for name, v in (("SHARD_TERMS", 300), ("CELLS", 2000)):
         monkeypatch.setattr(divergence, name, v)
-    assert _audit(docs, round_bytes=4000) == want
+    assert _audit(docs, round_bytes=9000) == want
     assert _audit(docs, min_docs=1, top=2) == brute.divergence([(a, b, t) for _, t, a, b, _ in corpus], 1, 2)
     assert divergence.audit(empty).count() == 0
 
