@@ -13,7 +13,10 @@ Money columns leave every mart as ``decimal(38,2)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendmatch.functions.text import (
@@ -104,7 +107,8 @@ def contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame
     """Contract rows with normalised ids/labels and the canonical business name.
 
     Computed once and shared by M1 and M8 (the source recomputes the
-    canonical name in every script, twice in some).
+    canonical name in every script, twice in some), with ``ROW_KEY``, by which
+    M1 joins instead of four wide columns.
     """
     c = contracts.select(
         blank_to_null("b2gnow_id").alias("b2g_id"),
@@ -113,10 +117,13 @@ def contracts_norm(contracts: DataFrame, strip_suffix: bool = True) -> DataFrame
         norm_label("payment_type").alias("payment_type"),
         "amount_paid", "audit_period",
         blank_to_null("taxidnumber").alias("taxidnumber"))
-    return c.withColumn("canon_name", canon_name_a("business_name", strip_suffix))
+    whole = reduce(and_, [F.col(k).isNotNull() for k in CONTRACT_KEY4])
+    return c.withColumns({"canon_name": canon_name_a("business_name", strip_suffix), ROW_KEY[0]: F.xxhash64(*CONTRACT_KEY4),
+                          ROW_KEY[1]: F.when(whole, F.xxhash64(F.lit(1), *CONTRACT_KEY4))})
 
 
-CONTRACT_ROW = ["b2g_id", "prime_vendor", *CONTRACT_KEY4[:2], "vendor_type", *CONTRACT_KEY4[2:], "taxidnumber", "canon_name"]
+# the four-column natural key as two hashes (128 bits); the second is NULL, and so joins nothing, where a column is
+ROW_KEY = ["_ka", "_kb"]
 MATCH = ["certification_type", "matched_tax_id", "matched_b2g_id", "match_method_cert"]
 
 
@@ -133,9 +140,8 @@ def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal
     :func:`contract_cert_weighted`, expanded.  ``mode="row_id"`` is the fixed
     form: a per-row cascade, one output row per (row, match).
 
-    ``keep`` (e.g. a written table) is applied to the distinct contracts and
-    the vendor dimension, which the literal plan reads several times;
-    ``normalized`` passes an already stored :func:`contracts_norm`.
+    ``keep`` (e.g. a written table) is applied to the vendor dimension, which
+    the literal plan reads several times; ``normalized`` passes an already stored :func:`contracts_norm`.
     """
     if mode == "literal":
         return expand_copies(contract_cert_weighted(vendors, contracts, strip_suffix, keep, normalized))
@@ -152,70 +158,62 @@ def contract_cert(vendors: DataFrame, contracts: DataFrame, mode: str = "literal
 
 def contract_cert_weighted(vendors: DataFrame, contracts: DataFrame, strip_suffix: bool = True, keep=None,
                            normalized: DataFrame | None = None) -> DataFrame:
-    """M1 (literal) without its copies: distinct contract rows and distinct matches, each with a count.
+    """M1 (literal) without its copies: every contract row with its distinct matches, each with a count.
+
+    ``_m`` is how often the match is attached to the row (NULL: unmatched,
+    once), which is how many rows of M1 it stands for.
 
-    ``_n`` is how often the contract row occurs and ``_m`` how often the match
-    is attached to each of those (NULL: unmatched, once); M1 has ``_n * _m``
-    such rows.  Identical rows share every key, so the cascade runs on distinct
-    rows, and no join meets the copies of a natural key with each other.
+    Which key a row is matched by depends on the rows that share its natural
+    key, so that is decided on a narrow table: the distinct (natural key, ids,
+    name) with their counts, one window over each natural key, one join with
+    the vendors.  The wide contract rows are shuffled once, to take up what
+    their natural key has found; no join meets the copies of a key with each other.
     """
     keep = keep or (lambda df: df)
     vd = keep(best_vendor(vendors, keys=("tax", "b2g", "name"), strip_suffix=strip_suffix))
     cn = normalized if normalized is not None else contracts_norm(contracts, strip_suffix)
-    rows = cn.groupBy(*CONTRACT_ROW).agg(F.count(F.lit(1)).alias("_n"))
+    ids = ["taxidnumber", "b2g_id", "canon_name"]
+    few = cn.filter(F.col("_kb").isNotNull()).groupBy(*ROW_KEY, *ids).agg(F.count(F.lit(1)).alias("_n"))
 
     def known(key: str, name: str) -> DataFrame:
-        return vd.filter(F.col(key).isNotNull()).select(F.col(key).alias(f"_{name}")).distinct()
-
-    rows = rows.join(known("tax_id", "t"), spread("taxidnumber", CONTRACT_ROW) == F.col("_t"), "left").join(
-        known("b2g_id", "b"), spread("b2g_id", CONTRACT_ROW) == F.col("_b"), "left")
-    rows = keep(rows.withColumn("_t", F.col("_t").isNotNull()).withColumn("_b", F.col("_b").isNotNull()))
-    # a row is past the tax step if no row of its 5-column key matched by tax, and left for the name step if no row
-    # of its 4-column key matched by tax or, past that, by vendor-system id
-    whole = rows.dropna(subset=CONTRACT_KEY4)
-    by_b2g = whole.filter("_b").join(
-        _renamed(whole.filter("_t").dropna(subset=["b2g_id"]).select("b2g_id", *CONTRACT_KEY4).distinct()),
-        _same(["b2g_id", *CONTRACT_KEY4]), "left_anti")
-    taken = _renamed(whole.filter("_t").select(*CONTRACT_KEY4).union(by_b2g.select(*CONTRACT_KEY4)).distinct())
-    rest = whole.join(taken, _same(CONTRACT_KEY4), "left_anti")
-
-    def attach(part: DataFrame, key: str, dkey: str, method: str) -> DataFrame:
-        d = vd.filter(F.col(dkey).isNotNull()).select(
-            F.col(dkey).alias("_dk"), "certification_type",
-            F.col("tax_id").alias("matched_tax_id"), F.col("b2g_id").alias("matched_b2g_id"))
-        return part.join(d, part[key] == d["_dk"]).withColumn(MATCH[3], F.lit(method)).select(*CONTRACT_KEY4, *MATCH, "_n")
-
-    matched = attach(whole.filter("_t"), "taxidnumber", "tax_id", "tax_id").unionByName(
-        attach(by_b2g, "b2g_id", "b2g_id", "b2g_id")).unionByName(attach(rest, "canon_name", "canon_name", "name"))
-    matched = matched.groupBy(*CONTRACT_KEY4, *MATCH).agg(F.sum("_n").alias("_m"))
-    j = rows.join(_renamed(matched, CONTRACT_KEY4), _same(CONTRACT_KEY4), "left").withColumn(
+        return vd.filter(F.col(key).isNotNull()).select(F.col(key).alias(name)).distinct()
+
+    few = few.join(known("tax_id", "_t"), spread("taxidnumber", ROW_KEY) == F.col("_t"), "left").join(
+        known("b2g_id", "_b"), spread("b2g_id", ROW_KEY) == F.col("_b"), "left")
+    # a row is past the tax step if a row with its vendor-system id and natural key matched by tax, and left for the
+    # name step if no row of its natural key matched by tax or, past that, by vendor-system id
+    few = few.repartition(*ROW_KEY)
+    tax_hit = F.max(F.col("_t").isNotNull())
+    few = few.withColumn("_own", F.col("_b").isNotNull() & ~tax_hit.over(Window.partitionBy(*ROW_KEY, "b2g_id")))
+    few = few.withColumn("_taken", F.max(F.col("_t").isNotNull() | F.col("_own")).over(Window.partitionBy(*ROW_KEY)))
+    step = F.when(F.col("_t").isNotNull(), _step("tax_id", "taxidnumber")).when(F.col("_own"), _step("b2g_id", "b2g_id")).when(
+        ~F.col("_taken"), _step("name", "canon_name"))
+    asked = few.select(*ROW_KEY, "_n", step.alias("s")).select(*ROW_KEY, "_n", "s.*")
+    offers = vd.select(
+        F.explode(F.array(_step("tax_id", "tax_id"), _step("b2g_id", "b2g_id"), _step("name", "canon_name"))).alias("s"),
+        "certification_type", F.col("tax_id").alias("matched_tax_id"), F.col("b2g_id").alias("matched_b2g_id")).select("s.*", *MATCH[:3])
+    found = asked.filter("_key is not null").join(offers, [MATCH[3], "_key"]).groupBy(*ROW_KEY, *MATCH).agg(F.sum("_n").alias("_m"))
+    found = found.withColumnsRenamed({k: f"_r{k}" for k in ROW_KEY})
+    j = cn.join(found, reduce(and_, [F.col(k) == F.col(f"_r{k}") for k in ROW_KEY]), "left").withColumn(
         MATCH[3], F.coalesce(MATCH[3], F.lit(UNMATCHED)))
-    return _contract_cert_out(j, "_n", "_m")
+    return _contract_cert_out(j, "_m")
+
+
+def _step(method: str, key: str):
+    """What a cascade step looks up: its name and the key's value."""
+    return F.struct(F.lit(method).alias(MATCH[3]), F.col(key).alias("_key"))
 
 
 def expand_copies(weighted: DataFrame) -> DataFrame:
-    """The rows that ``_n`` and ``_m`` stand for (a frame without them is returned as it is)."""
-    if "_n" not in weighted.columns:
+    """The rows that ``_m`` stands for (a frame without it is returned as it is)."""
+    if "_m" not in weighted.columns:
         return weighted
-    one = weighted.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i", "_n")
-    return one.select("*", F.explode(F.sequence(F.lit(1), F.coalesce("_m", F.lit(1)))).alias("_i")).drop("_i", "_m")
+    return weighted.select("*", F.explode(F.sequence(F.lit(1), F.coalesce("_m", F.lit(1)))).alias("_i")).drop("_i", "_m")
 
 
 def _weight(cert: DataFrame):
     """How many rows of M1 a row stands for."""
-    return F.col("_n") * F.coalesce("_m", F.lit(1)) if "_n" in cert.columns else F.lit(1)
-
-
-def _renamed(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    return df.withColumnsRenamed({c: f"_r_{c}" for c in cols or df.columns})
-
-
-def _same(cols: list[str]):
-    """SQL ``=`` on every column against its renamed twin."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & (F.col(c) == F.col(f"_r_{c}"))
-    return cond
+    return F.coalesce("_m", F.lit(1)) if "_m" in cert.columns else F.lit(1)
 
 
 def _contract_cert_out(df: DataFrame, *more: str) -> DataFrame:
@@ -369,18 +367,19 @@ def certified_spend(flags: DataFrame, cert: DataFrame, strip_suffix: bool = True
     """Every agency row with its subcontracting totals and certified spend.
 
     Subcontract sums are aggregated per (agency, prime) before the join, so
-    the join never fans out.
+    the join never fans out.  ``cert`` is M1 or :func:`contract_cert_weighted`.
     """
     c = cert.filter(F.col("business_name").isNotNull() & F.col("prime_vendor").isNotNull()
                     & F.col("contract_holder").isNotNull())
     is_sub = F.col("vendor_type").isin(*SUB_TYPES)
-    c = c.withColumns({"_s_agency": canon_name_a("contract_holder", strip_suffix),
-                       "_s_prime": canon_name_a("prime_vendor", strip_suffix), "_paid": F.col("amount_paid") * _weight(cert)})
-    subs = c.groupBy("_s_agency", "_s_prime").agg(
-        F.sum(F.when(is_sub & F.col("certification_type").isNotNull(), F.col("_paid"))
-              .otherwise(F.lit(0))).alias("_cert"),
-        F.sum(F.when(is_sub & F.col("certification_type").isNull(), F.col("_paid"))
-              .otherwise(F.lit(0))).alias("_uncert"))
+    paid = F.col("amount_paid") * _weight(cert)
+    # summed by the names as they stand, then by canonical name: a name is canonicalised once, not once a row
+    subs = c.groupBy("contract_holder", "prime_vendor").agg(
+        F.sum(F.when(is_sub & F.col("certification_type").isNotNull(), paid).otherwise(F.lit(0))).alias("_cert"),
+        F.sum(F.when(is_sub & F.col("certification_type").isNull(), paid).otherwise(F.lit(0))).alias("_uncert"))
+    subs = subs.groupBy(canon_name_a("contract_holder", strip_suffix).alias("_s_agency"),
+                        canon_name_a("prime_vendor", strip_suffix).alias("_s_prime")).agg(
+        F.sum("_cert").alias("_cert"), F.sum("_uncert").alias("_uncert"))
     a = flags.withColumn("_a_agency", canon_name_a("agency_name", strip_suffix)) \
              .withColumn("_a_prime", canon_name_a("business_name", strip_suffix))
     j = a.join(subs, (F.col("_a_agency") == F.col("_s_agency")) & (F.col("_a_prime") == F.col("_s_prime")), "left")

@@ -2,9 +2,9 @@
 operators (W1, R2, A19) checked against brute force on skewed data."""
 
 import os
+from collections import Counter
 
 import pytest
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -68,7 +68,7 @@ def test_contract_cert_of_a_thousand_identical_rows(spark):
     contracts = spark.createDataFrame([row] * 1000 + [row[:8] + (None,)] * 3 + [row[:3] + (None,) + row[4:]], schema).withColumns(
         {"amount_paid": F.col("amount_paid").cast("decimal(18,2)"), "audit_period": F.col("audit_period").cast("timestamp_ntz")})
     weighted = marts.contract_cert_weighted(vendors, contracts)
-    assert sorted((r._n, r._m or 0) for r in weighted.collect()) == [(1, 0), (3, 1000), (1000, 1000)]
+    assert Counter(r._m for r in weighted.collect()) == {None: 1, 1000: 1003}
     assert marts.contract_cert(vendors, contracts).count() == 1_003_001
     total = marts.contract_totals(weighted).filter("tax_id = '111'").first().total_amount
     assert total == 2_000_000
