@@ -533,7 +533,7 @@ cte("fw_lines", [], """
       ELSE '' END AS value
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 cte("fw_a", ["fw_lines"], r"""
-  SELECT file_stem, l_orderkey, l_linenumber, line, substr(line, 6) AS rest,
+  SELECT file_stem, l_orderkey, l_linenumber, value, line, substr(line, 6) AS rest,
          regexp_extract(substr(line, 6), '^(.*?)(\d{9})\s*[A-Z]{2}', 2) AS fed1,
          regexp_extract(substr(line, 6), '^(.*?)(\d{9})\s*[A-Z]{2}', 1) AS pre1,
          regexp_extract(substr(line, 6), '^(.*?)(\d{9})', 2) AS fed2,
@@ -546,7 +546,7 @@ cte("fw_b", ["fw_a"], r"""
 cte("fw_c", ["fw_b"], r"""
   SELECT *, regexp_replace(substr(rest, length(prefix) + 10), '^\s+|\s+$', '', 'g') AS after FROM fw_b""")
 cte("fw_parsed", ["fw_c"], r"""
-  SELECT file_stem, l_orderkey, l_linenumber,
+  SELECT file_stem, l_orderkey, l_linenumber, value,
          substr(line, 1, 1) AS report_part,
          CASE WHEN length(line) > 4 THEN substr(line, 2, 4) ELSE '' END AS college_number,
          regexp_replace(prefix, '^\s+|\s+$', '', 'g') AS firm_name,

@@ -8,10 +8,11 @@ folder per input file with ``partitionBy`` — all in a single distributed job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendmatch.functions.fixedwidth import CSV_HEADERS, FIELD_ORDER, parse_columns
+from spendmatch.session import materialize
 
 CONVERTED_SUFFIX = "_converted"
 
@@ -23,26 +24,43 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
-def read_fixed_width(spark: SparkSession, path: str, pattern: str = "*.txt", numbered: bool = False) -> DataFrame:
+def read_fixed_width(spark: SparkSession, path: str, pattern: str = "*.txt", placed: bool = False) -> DataFrame:
     """S3 (a file) / S4 (a folder with a glob): one row per line with ``file_stem``.
 
-    ``numbered`` adds ``line_number`` (from 1) at the cost of a count of the
-    lines of every split.
+    ``placed`` adds the file, the start of the split and the row's running id
+    within it, from which :func:`survey_lines` makes line numbers.
     """
     reader = spark.read.format("text")
     if is_folder(spark, path):
         reader = reader.option("pathGlobFilter", pattern)
     df = reader.load(path)
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"),
+             F.monotonically_increasing_id().alias("_row")]
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    if not numbered:
-        return df.select(stem.alias("file_stem"), "value")
-    lines = df.select(stem.alias("file_stem"), "value", F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_row"))
-    from pyspark.sql import Window
-    splits = lines.groupBy("_file", "_at").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    return df.select(stem.alias("file_stem"), "value", *(place if placed else []))
+
+
+def survey_lines(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
+    """P17 + A21 in one pass over the text: a written table of every line's place and outcome, with the text of rejects only.
+
+    The rest compresses to about a byte a line, so numbers and statistics are
+    read from it instead of from the text, and do not depend on two scans
+    being split alike.
+    """
+    parsed = parse_lines(read_fixed_width(spark, path, pattern, placed=True), keep=["file_stem", "_file", "_at", "_row", "value"])
+    bad = ~F.col("is_blank") & ~F.col("is_parsed")
+    return materialize(parsed.select("file_stem", "_file", "_at", "_row", "is_parsed", F.when(bad, F.col("value")).alias("value")), "lines")
+
+
+def numbered_rejects(survey: DataFrame) -> DataFrame:
+    """(file_stem, line_number, value) of the lines that could not be parsed, numbered from 1 in their file.
+
+    Lines are counted per split; only the rejects meet the counts.
+    """
+    splits = survey.groupBy("_file", "_at").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_at")) - F.col("_n")
     splits = splits.select("_file", "_at", (before - F.col("_first") + 1).alias("_shift"))
-    return lines.join(splits, ["_file", "_at"]).select(
+    return survey.where("value is not null").join(splits, ["_file", "_at"]).select(
         "file_stem", (F.col("_row") + F.col("_shift")).alias("line_number"), "value")
 
 

@@ -260,6 +260,19 @@ def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_orderkey"), F.col("l_linenumber"), value.alias("value"))
 
 
+def report_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The report lines as files ``<file_stem>.txt`` under ``folder``, in the order of order key, line number and text."""
+    lines = fixed_width_lines(spark, sf_dir)
+    lines.repartition("file_stem").sortWithinPartitions("file_stem", "l_orderkey", "l_linenumber", "value").select(
+        "file_stem", "value").write.partitionBy("file_stem").text(f"{folder}-parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(path(folder))
+    for status in fs.globStatus(path(f"{folder}-parts/file_stem=*/part-*.txt")):   # four files at any scale
+        stem = status.getPath().getParent().getName().removeprefix("file_stem=")
+        fs.rename(status.getPath(), path(f"{folder}/{stem}.txt"))
+
+
 RECIPES.update({"vendors": vendors, "contracts": contracts, "agency_spend": agency_spend,
                 "sync_incoming": sync_incoming, "sync_target": sync_target, "districts": districts,
                 "fixed_width_lines": fixed_width_lines})

@@ -4,7 +4,9 @@ The source converts every ``.txt`` file of a folder each time it runs.  As a
 stream, new report files are picked up once: the text file source tracks
 which files it has read in the checkpoint, each micro-batch is parsed with
 the same built-in expressions as the batch path, converted rows go to header
-CSV folders per input file and rejected lines to a Parquet table.  With
+CSV folders per batch and input file and rejected lines to a Parquet table by
+batch.  The checkpoint pins which files a batch reads and the batch's folders
+are overwritten, so a batch that fails and runs again counts each line once.  With
 ``availableNow`` the query processes what is there and stops, so it can be
 scheduled like the batch job but never re-reads a file.
 
@@ -37,13 +39,14 @@ def start_conversion(spark: SparkSession, in_dir: str, out_dir: str, rejects_dir
     parsed = read_report_stream(spark, in_dir, pattern)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # a batch owns its folders: run again after a failure, it replaces what it left
         ok = keep_rows(batch, F.col("is_parsed"), ["file_stem"] + FIELD_ORDER).select(
             F.concat(F.col("file_stem"), F.lit(CONVERTED_SUFFIX)).alias("file_stem"),
             *[F.col(c).alias(h) for c, h in zip(FIELD_ORDER, CSV_HEADERS)])
-        ok.write.mode("append").partitionBy("file_stem").option("header", True).csv(out_dir)
+        ok.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_stem").option("header", True).csv(
+            f"{out_dir}/batch_id={batch_id}")
         (keep_rows(batch, ~F.col("is_blank") & ~F.col("is_parsed"), ["file_stem", "value"])
-              .select("file_stem", "value", F.lit(batch_id).alias("batch_id"))
-              .write.mode("append").parquet(rejects_dir))
+              .write.mode("overwrite").parquet(f"{rejects_dir}/batch_id={batch_id}"))
 
     w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
