@@ -113,7 +113,7 @@ class Step:
 
 
 def cascade(rows: DataFrame, steps: list[Step], carry: list[str], method_col: str = "match_method",
-            unmatched: str | None = UNMATCHED) -> DataFrame:
+            unmatched: str | None = UNMATCHED, hot_share: float | None = None) -> DataFrame:
     """Priority match cascade by row identity.
 
     Every input row comes out once per match of the first step that matches
@@ -121,7 +121,13 @@ def cascade(rows: DataFrame, steps: list[Step], carry: list[str], method_col: st
     ``unmatched``.  ``carry`` names the dimension columns to attach (all
     dimensions of a cascade must expose them).  The dimension key must be
     non-NULL to match; NULL row keys never match (SQL ``=``).
+
+    ``hot_share`` salts the row keys that hold that share of the rows or more
+    (:mod:`spendmatch.operators.skew`), at the cost of one sketch per step;
+    without it AQE splits the partitions of hot keys where it can.
     """
+    from spendmatch.operators.skew import hot_keys, repeat_rows, salt_rows
+
     row_cols = rows.columns
     j, missed = rows, F.lit(True)
     carried: dict[str, list[Column]] = {c: [] for c in carry}
@@ -130,7 +136,13 @@ def cascade(rows: DataFrame, steps: list[Step], carry: list[str], method_col: st
         d = st.dim.filter(F.col(st.dim_key).isNotNull()).select(
             F.col(st.dim_key).alias(f"_dk{k}"), *[F.col(c).alias(f"_d{k}_{c}") for c in carry])
         # a row that an earlier step matched has no key here, so it passes through once
-        j = j.join(d, spread(F.when(missed, st.row_key), row_cols) == F.col(f"_dk{k}"), "left")
+        key, same = spread(F.when(missed, st.row_key), row_cols), F.lit(True)
+        if hot_share:
+            hot = hot_keys(rows, st.row_key, hot_share)
+            j = salt_rows(j, key, hot, f"_s{k}")
+            d = repeat_rows(d, F.col(f"_dk{k}"), hot, f"_t{k}")
+            same = F.col(f"_s{k}") == F.col(f"_t{k}")
+        j = j.join(d, (key == F.col(f"_dk{k}")) & same, "left")
         hit = F.col(f"_dk{k}").isNotNull()
         for c in carry:
             carried[c].append(F.when(hit, F.col(f"_d{k}_{c}")))

@@ -46,9 +46,9 @@ def add_audit_columns(df: DataFrame, now=None) -> DataFrame:
     return df.withColumns(add) if add else df
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+def duplicate_keys(df: DataFrame, keys: list[str], at_least: int = 2) -> DataFrame:
     """C2 report: key combinations that occur more than once (partial aggregation)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_count")).filter(F.col("key_count") > 1)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_count")).filter(F.col("key_count") >= at_least)
 
 
 def assert_unique(df: DataFrame, keys: list[str], name: str = "table") -> None:
@@ -71,6 +71,7 @@ def dedupe_last(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 class Prepared:
     rows: DataFrame        # valid, hashed incoming rows (+ updated_at = now)
     rejected: DataFrame    # rows with a missing/empty key (D14)
+    empty: bool | None = None   # whether there are no rows, where that is known
 
 
 def prepare_incoming(df: DataFrame, keys: list[str], now, hash_mode: str = "canonical",
@@ -98,8 +99,11 @@ def prepare_incoming(df: DataFrame, keys: list[str], now, hash_mode: str = "cano
         raise ValueError(f"unknown on_duplicate_key {on_duplicate_key!r}")
     rows = fingerprinted(ok, hash_mode, accept, order_col).withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
     rows = materialize(rows, "incoming") if keep == "table" else rows
-    if on_duplicate_key == "error":
-        assert_unique(rows, keys, "incoming")
+    if on_duplicate_key == "error":   # one job tells whether keys repeat and whether there are any
+        most = duplicate_keys(rows, keys, at_least=1).agg(F.max("key_count")).first()[0]
+        if (most or 0) > 1:
+            raise DuplicateKeyError(f"uq_incoming_{'_'.join(keys)} violated")
+        return Prepared(rows, bad, most is None)
     return Prepared(rows, bad)
 
 
@@ -266,11 +270,11 @@ def sync_sheet(spark, sheet: DataFrame, target: DataFrame | None, keys: list[str
         assert_unique(target, keys, "target")
     prep = prepare_incoming(df, keys, now, hash_mode, on_duplicate_key, order_col, accept)
     if order_col:
-        prep = Prepared(prep.rows.drop(order_col), prep.rejected)
+        prep = Prepared(prep.rows.drop(order_col), prep.rejected, prep.empty)
     if target is None:
         data = [c for c in prep.rows.columns if c not in AUDIT_COLUMNS and not c.startswith(OTHER_HASH)]
         target = add_audit_columns(prep.rows.select(*data).limit(0), now)
-    return prep, sync(target, prep.rows, keys, now, order=order)
+    return prep, sync(target, prep.rows, keys, now, order=order, incoming_empty=prep.empty)
 
 
 def sync_many(spark, datasets: dict, now, writer=None) -> dict[str, object]:

@@ -274,12 +274,12 @@ def contract_prime_summary(subs: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------- M6
 def agency_cert(vendors: DataFrame, spend: DataFrame, include_source: bool = True,
-                strip_suffix: bool = True) -> DataFrame:
+                strip_suffix: bool = True, hot_share: float | None = None) -> DataFrame:
     """M6 (M7 without ``source``): agency/college spend rows with certification.
 
     Tax id first, then canonical name; every input row is kept (unmatched
     rows get ``unmatched``); a tax id or name with several best vendors fans
-    out (T15).
+    out (T15).  ``hot_share``: see :func:`spendmatch.operators.matching.cascade`.
     """
     vd = best_vendor(vendors, keys=("tax", "name"), strip_suffix=strip_suffix)
     h = spend.withColumn("_tax", blank_to_null("tax_id")) \
@@ -288,7 +288,7 @@ def agency_cert(vendors: DataFrame, spend: DataFrame, include_source: bool = Tru
     steps = [Step("tax_id", F.col("_tax"), vd2, "matched_tax_id"),
              Step("name", F.col("_canon"), vd2, "canon_name")]
     m = cascade(h, steps,
-                ["certification_type", "matched_tax_id"], method_col="match_method")
+                ["certification_type", "matched_tax_id"], method_col="match_method", hot_share=hot_share)
     cols = (["source"] if include_source else []) + [
         "agency_number", "agency_name", "business_name", "tax_id",
         money("total_amount").alias("total_amount"), "certification_type", "matched_tax_id", "match_method"]

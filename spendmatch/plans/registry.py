@@ -84,6 +84,30 @@ def m7_agency_cert_no_source(spark, d):
     return _m(spark, d).agency_cert_no_source
 
 
+# \\x08 is the backspace that \\b means to an engine without word boundaries, so no suffix is found
+_LITERAL_SUFFIX = O.query("SELECT * FROM agency_cert", ["agency_cert"]).replace("'\\b(", "'\\x08(").replace(")\\b'", ")\\x08'")
+
+
+@register("m6_agency_cert_literal_suffix", _LITERAL_SUFFIX)
+def m6_agency_cert_literal_suffix(spark, d):
+    """The suffix step as a no-op."""
+    return _m(spark, d, strip_suffix=False).agency_cert
+
+
+_HOT_TAX = ("(SELECT * REPLACE (CASE WHEN row_id % 3 = 0 THEN (SELECT MIN(tax_id) FROM vendors WHERE TRIM(tax_id) <> '') "
+            "ELSE tax_id END AS tax_id) FROM agency_spend)")
+
+
+@register("j1_heavy_hitter_cascade", O.query("SELECT * FROM agency_cert", ["vendors", "agency_cert"]).replace(
+    "AS canon_name FROM agency_spend", f"AS canon_name FROM {_HOT_TAX}"))
+def j1_heavy_hitter_cascade(spark, d):
+    """A third of the rows share one tax id, whose join is salted."""
+    vendors, spend = fx.stored(spark, d, "vendors"), fx.stored(spark, d, "agency_spend")
+    hot = vendors.where("trim(tax_id) <> ''").agg(F.min("tax_id").alias("t"))
+    skewed = spend.withColumn("tax_id", F.when(F.col("row_id") % 3 == 0, hot.scalar()).otherwise(F.col("tax_id")))
+    return marts.agency_cert(vendors, skewed, hot_share=0.01)
+
+
 @register("m8_agency_cert_flags", O.query("SELECT * FROM agency_cert_flags", ["agency_cert_flags"]))
 def m8_agency_cert_flags(spark, d):
     return _m(spark, d).flags
@@ -301,13 +325,13 @@ def _sync_parts(spark, d):
 @register("c5_sync_upsert_first", O.SYNC_UPSERT_FIRST)
 def c5_sync_upsert_first(spark, d):
     prep, tgt = _sync_parts(spark, d)
-    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS).table
+    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS, incoming_empty=prep.empty).table
 
 
 @register("c6_sync_delete_first", O.SYNC_DELETE_FIRST)
 def c6_sync_delete_first(spark, d):
     prep, tgt = _sync_parts(spark, d)
-    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS, order="delete_first").table
+    return S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS, order="delete_first", incoming_empty=prep.empty).table
 
 
 @register("c3_upsert", O.SYNC_UPSERT_ONLY)
@@ -319,13 +343,13 @@ def c3_upsert(spark, d):
 @register("c4_delete_stale", O.SYNC_DELETE_ONLY)
 def c4_delete_stale(spark, d):
     prep, tgt = _sync_parts(spark, d)
-    return S.delete_stale(tgt, prep.rows)
+    return S.delete_stale(tgt, prep.rows, prep.empty)
 
 
 @register("c11_sync_stats", O.SYNC_STATS)
 def c11_sync_stats(spark, d):
     prep, tgt = _sync_parts(spark, d)
-    return S.sync_stats(prep, S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS))
+    return S.sync_stats(prep, S.sync(tgt, prep.rows, _SYNC_KEYS, fx.SYNC_RUN_TS, incoming_empty=prep.empty))
 
 
 _SHEET_SQL = O.query("""
