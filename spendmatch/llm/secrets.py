@@ -19,6 +19,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"  # a whole run, so the same matches as [0-9a
 KINDS = ("assign", "access", "hex", "markov")
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 ALPHABET = 66  # characters of a run
+JOINTS = ("-", "_", "/")  # between the words of long identifiers; the fourth way is a capital
 PRIOR = 5  # pairs' worth of smoothing
 DISTINCT = 8  # a random string has that many different characters; a ruled line does not
 
@@ -30,23 +31,35 @@ def _base(text: Column) -> dict[str, Column]:
 
 
 def samples(docs: DataFrame, rows: int = 4000, min_length: int = 20, text_col: str = "text") -> DataFrame:
-    """Labelled strings (value, secret) from at most ``rows`` documents, the first by a hash of the text.
+    """Labelled strings (value, secret) from at most ``rows`` different texts, the first by their hash.
 
     Secret: the values that the fixed patterns find.  Ordinary: the other words
     of identifier characters, six or more long but too short for a candidate,
-    so that no candidate teaches the ordinary model its own pairs.
+    so that no candidate teaches the ordinary model its own pairs; and the
+    joints of long identifiers, made of neighbouring words: the end of one and
+    the start of the next as hyphens, underscores, slashes and capitals join them.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    first = docs.select(F.xxhash64(text).alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    some = docs.where(F.xxhash64(text) <= F.lit(first)).select(text.alias("text")).limit(rows)
+    h = F.xxhash64(text)
+    last = docs.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    some = docs.where(h <= F.lit(last)).groupBy(h.alias("h")).agg(F.min(text).alias("text"))
     base = some.select("text", F.concat(
         F.transform(_base(F.col("text"))["assign"], lambda s: F.regexp_extract(s["value"], ASSIGN, 2)),
         F.transform(_base(F.col("text"))["access"], lambda s: s["value"]),
-        F.transform(_base(F.col("text"))["hex"], lambda s: s["value"])).alias("found"))
+        F.transform(_base(F.col("text"))["hex"], lambda s: s["value"])).alias("found"),
+        F.regexp_extract_all("text", F.lit(r"[A-Za-z]{2,}"), F.lit(0)).alias("plain"))
     words = F.filter(F.array_except(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0)), F.col("found")),
                      lambda w: F.length(w) < min_length)
+    joints = base.select(F.explode(F.arrays_zip(F.col("plain").alias("a"), F.slice("plain", 2, F.size("plain")).alias("b"))).alias("p")).where(
+        "p.b is not null").select(F.lower(F.right("p.a", F.lit(1))).alias("end"), F.lower(F.left("p.b", F.lit(2))).alias("start"),
+                                  F.pmod(F.xxhash64("p.a", "p.b"), F.lit(len(JOINTS) + 1)).alias("style"))
+    style = F.col("style")
+    joined = F.concat("end", F.initcap("start"))
+    for k, sign in enumerate(JOINTS):
+        joined = F.when(style == k, F.concat(F.col("end"), F.lit(sign), F.col("start"))).otherwise(joined)
     return base.select(F.explode(F.array_distinct("found")).alias("value"), F.lit(True).alias("secret")).unionAll(
-        base.select(F.explode(words).alias("value"), F.lit(False).alias("secret")))
+        base.select(F.explode(words).alias("value"), F.lit(False).alias("secret"))).unionAll(
+        joints.select(joined.alias("value"), F.lit(False).alias("secret")))
 
 
 def train(labelled: DataFrame) -> list[float]:
@@ -81,7 +94,7 @@ def llr(value: Column, model: list[float]) -> Column:
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, min_length: int = 20, min_total: float = 12.0,
-         min_mean: float = 0.6, train_rows: int = 4000, text_col: str = "text") -> DataFrame:
+         min_mean: float = 2.0, train_rows: int = 4000, text_col: str = "text") -> DataFrame:
     """``docs`` with secret_spans: structs (start, rank, end, kind, value) by start, then kind as listed.
 
     ``markov`` spans are runs of ``min_length`` identifier characters, eight
@@ -119,6 +132,6 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with every secret span of the text replaced by ``mark``."""
+    """``docs`` with every secret span of the text replaced by ``mark``; nulls, empty texts and repeated rows as in :func:`scan`."""
     found = scan(docs, text_col=text_col, **options)
     return found.withColumn(text_col, _spans.redact(F.col(text_col), F.col("secret_spans"), mark)).drop("secret_spans")
