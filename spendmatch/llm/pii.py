@@ -31,9 +31,15 @@ GENERATORS = {
     "dotted": r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2,}+",
 }
 CONTEXT = 24  # characters before a candidate that are looked at
-CUES = {"mail": 1, "contact": 1, "tel": 2, "phone": 2, "call": 2, "fax": 2, "card": 3, "visa": 3, "iban": 3, "ssn": 4, "host": 5,
-        "server": 5}
-FEATURES = 10
+# a cue is a whole word straight before the candidate, but for signs and these small words
+CUES = {1: "e-?mail|mail|contact|write", 2: "tel|telephone|phone|call|fax|mobile|cell", 3: "card|visa|iban|account", 4: "ssn", 5: "host|server"}
+LINK = r"(?:[^a-z0-9]|(?<![a-z0-9])(?:us|me|at|is|no|on|to|the|my|our|number)(?![a-z0-9]))*$"
+# how spans are rewritten to teach forms that the base patterns miss
+AT = (" (at) ", "(at)", " [at] ", " @ ", "[at]")
+DOT = (" (dot) ", "(dot)", " [dot] ", ".", "[dot]")
+PHONE_CUES = ("tel ", "phone: ", "call us at ", "Fax ", "Tel: ", "my phone is ")
+AROUND, BEHIND = 60, 20  # characters of the text kept before and after a rewritten span
+FEATURES = 11
 BINS = 16
 
 
@@ -69,8 +75,8 @@ def _features(text: Column, span: Column) -> Column:
     before = F.lower(F.substring(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT))))
     after = F.substring(text, span["end"] + 1, F.lit(1))
     cue = F.lit(0)
-    for word, k in CUES.items():
-        cue = F.when(F.contains(before, F.lit(word)), k).otherwise(cue)
+    for k, words in CUES.items():
+        cue = F.when(before.rlike(f"(?<![a-z])(?:{words}){LINK}"), k).otherwise(cue)
 
     def capped(c: Column, top: int = BINS - 1) -> Column:
         return F.least(c, F.lit(top)).cast("int")
@@ -81,7 +87,8 @@ def _features(text: Column, span: Column) -> Column:
         F.when(v.rlike(r"[()]"), 1).otherwise(0) + F.when(v.rlike(r"[ -]"), 2).otherwise(0) + F.when(v.rlike(r"\."), 4).otherwise(0),
         F.when(F.length(d).between(13, 19), F.when(luhn(d), 2).otherwise(1)).otherwise(0),
         F.when(v.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), 2).when(v.rlike(r"^[0-9.]+$"), 1).otherwise(0), cue,
-        F.when(after.rlike(r"[0-9A-Za-z]"), 1).otherwise(0) + F.when(before.rlike(r"[0-9A-Za-z]$"), 2).otherwise(0))
+        F.when(after.rlike(r"[0-9A-Za-z]"), 1).otherwise(0) + F.when(before.rlike(r"[0-9A-Za-z]$"), 2).otherwise(0),
+        F.when(v.rlike(r"[.)\]\x20][A-Za-z]{2,}$"), 1).otherwise(0))
 
 
 def _candidates(text: Column) -> Column:
@@ -108,19 +115,64 @@ def proposals(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "__base", F.concat(*[_spans.tagged(F.col(f"__{k}"), i, k) for i, k in enumerate(KINDS)])).drop(*[f"__{k}" for k in KINDS])
 
 
+def _pick(options: tuple[str, ...], seed: Column) -> Column:
+    k, out = F.pmod(seed, F.lit(len(options))), F.lit(options[0])
+    for i, x in enumerate(options[1:], 1):
+        out = F.when(k == i, x).otherwise(out)
+    return out
+
+
+def _grouped(digits: Column, seed: Column) -> Column:
+    """Ten digits as people write them."""
+    d = F.lpad(F.substring(digits, -10, 10), 10, "2")
+    a, b, c = F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4)
+    k = F.pmod(seed, F.lit(4))
+    return F.when(k == 0, F.concat(F.lit("("), a, F.lit(") "), b, F.lit("-"), c)).when(k == 1, F.concat_ws("-", a, b, c)).when(
+        k == 2, F.concat_ws(".", a, b, c)).otherwise(F.concat_ws(" ", a, b, c))
+
+
+def rewritten(found: DataFrame) -> DataFrame:
+    """Evidence that does not depend on the base patterns: (text, start, end, y, held).
+
+    Personal (y 1): base mail addresses with the signs spelled out or spaced,
+    their context left as it is, and base phone and card numbers in other
+    groupings behind a cue.  Other text (y 0): plain numbers that no base span
+    touches, in the same groupings without a cue, or as "n @ n.nn".
+    """
+    spans = found.select("__text", F.explode("__base").alias("s"), F.lit(1).alias("y")).unionByName(found.select(
+        "__text", F.explode(F.filter("__candidates", lambda c: (c["kind"] == "digits") & ~_overlaps(c, F.col("__base")))).alias("s"), F.lit(0).alias("y")))
+    # each span in as many forms as there are ways to write a sign; the fold goes by the span's own text
+    spans = spans.withColumn("form", F.explode(F.array(*[F.lit(i) for i in range(len(AT))])))
+    s, y, seed = F.col("s"), F.col("y"), F.shiftright(F.xxhash64("s.value"), 4) + F.col("form")
+    kind, value, digits = s["kind"], s["value"], _digits(s["value"])
+    mail = F.concat(F.substring_index(value, "@", 1), _pick(AT, seed), F.replace(F.substring_index(value, "@", -1), F.lit("."), _pick(DOT, seed)))
+    card = F.concat_ws(".", *[F.substring(digits, i, 4) for i in (1, 5, 9, 13)])
+    price = F.concat(F.substring(digits, 1, 2), F.lit(" @ "), F.substring(digits, 3, 2), F.lit("."), F.substring(digits, 5, 2))
+    new = F.when(y == 0, F.when(F.pmod(seed, F.lit(5)) == 0, price).otherwise(_grouped(digits, seed))).when(
+        kind == "email", mail).when(kind == "phone", _grouped(digits, seed)).when(kind == "card", card)
+    lead = F.when((y == 0) | (kind == "email"), F.lit("")).when(kind == "phone", _pick(PHONE_CUES, seed)).otherwise(F.lit("card "))
+    left = F.substring(F.col("__text"), F.greatest(s["start"] - AROUND, F.lit(0)) + 1, F.least(s["start"], F.lit(AROUND)))
+    rows = spans.select(F.concat(left, lead).alias("left"), new.alias("new"), F.substring(F.col("__text"), s["end"] + 1, F.lit(BEHIND)).alias("right"),
+                        "y", (F.pmod(F.xxhash64(value), F.lit(4)) == 2).alias("held")).where("new is not null")
+    return rows.select(F.concat("left", "new", "right").alias("text"), F.length("left").alias("start"),
+                       (F.length("left") + F.length("new")).alias("end"), "y", "held")
+
+
 def labelled(found: DataFrame, rows: int = 20_000) -> DataFrame:
-    """Labelled candidates (kind, x, y, fold) from the proposals of at most ``rows`` candidates.
+    """Labelled candidates (kind, x, y, held): at most ``rows``, half of each label, the first by a hash.
 
-    Without annotated text a candidate counts as personal data if it is exactly
-    a base span, and as other text if no base span touches it; candidates that
-    only overlap one teach nothing and are left out.
+    They are the proposals that are exactly a :func:`rewritten` span, and as
+    other text also the proposals that no base span touches and no cue precedes.
     """
-    each = found.where(F.size("__candidates") > 0).select("__text", "__base", F.explode("__candidates").alias("c"))
-    c, base = F.col("c"), F.col("__base")
-    exact = F.exists(base, lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]))
-    return each.where(exact | ~_overlaps(c, base)).select(
-        c["kind"].alias("kind"), _features(F.col("__text"), c).alias("x"), exact.cast("int").alias("y"),
-        (F.pmod(F.xxhash64(c["value"]), F.lit(4)) == 2).alias("held")).limit(rows)
+    made = rewritten(found).select("text", "start", "end", "y", "held", F.explode(_candidates(F.col("text"))).alias("c")).where(
+        "c.start = start and c.end = end").select("text", "c", "y", "held")
+    plain = found.where(F.size("__candidates") > 0).select(F.col("__text").alias("text"), F.explode(F.filter(
+        "__candidates", lambda c: ~_overlaps(c, F.col("__base")))).alias("c"), F.lit(0).alias("y"))
+    each = made.unionByName(plain.withColumn("held", F.pmod(F.xxhash64("c.value"), F.lit(4)) == 2))
+    cells = each.select(F.col("c.kind").alias("kind"), _features(F.col("text"), F.col("c")).alias("x"), "y", "held",
+                        F.xxhash64("text", "c.start", "c.kind").alias("h")).where((F.col("y") == 1) | (F.element_at("x", 9) == 0) | (F.element_at("x", 9) == 5))
+    parts = [cells.where(F.col("y") == y).orderBy("h", "kind", "x", "held").limit(rows // 2) for y in (0, 1)]
+    return parts[0].unionByName(parts[1]).drop("h")
 
 
 def _tree_value(tree, x: Column) -> Column:
@@ -213,16 +265,17 @@ def scan(docs: DataFrame, model: tuple[list, dict[str, float]] | None = None, tr
     Base spans always stay.  A generator's candidate is added, under the
     generator's name, if its margin reaches the calibrated threshold and no
     base span touches it.  Without a ``model`` one is trained on at most
-    ``train_rows`` candidates from the first ``train_docs`` documents by a hash
-    of the text.  NULL and empty texts have no spans; repeated rows are scanned
+    ``train_rows`` candidates (:func:`labelled`) from the first ``train_docs``
+    different texts by their hash; where those hold no personal data nothing is added.  NULL and empty texts have no spans; repeated rows are scanned
     row by row; an input column named pii_spans is replaced.
     """
     docs = docs.drop("pii_spans")
     if model is None:
         work = Work(docs.sparkSession, "pii")
         h = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-        last = docs.select(h.alias("h")).orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
-        model = train(proposals(docs.select(text_col).where(h <= F.lit(last)), text_col), work, train_rows)
+        last = docs.select(h.alias("h")).distinct().orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
+        some = docs.where(h <= F.lit(last)).groupBy(h.alias("h")).agg(F.min(text_col).alias(text_col)).drop("h")
+        model = train(proposals(some, text_col), work, train_rows)
         work.drop("cells")
     trees, thresholds = model
     found = proposals(docs, text_col)
@@ -250,7 +303,7 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[PII]", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with every detected span of the text replaced by ``mark``."""
+    """``docs`` with every detected span of the text replaced by ``mark``; nulls, empty texts and repeated rows as in :func:`scan`."""
     found = scan(docs, text_col=text_col, **options)
     spans = F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"], s["end"])))
     return found.withColumn(text_col, _spans.redact(F.col(text_col), spans, mark)).drop("pii_spans")
