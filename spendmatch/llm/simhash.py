@@ -106,19 +106,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, max_buck
 
     ``component_id`` is the smallest doc_id reachable through links of
     ``radius`` bits or fewer.  NULL, empty and blank texts have fingerprint
-    zero and link like any other; equal texts share one fingerprint; a NULL id
-    keeps its row and takes the smallest id of its component (NULL if alone);
-    repeated ids keep one row each; other columns are ignored.
+    zero and link like any other; equal texts share one fingerprint.  Rows are
+    what links, not ids: a row without an id links too and takes the smallest id
+    of its component (NULL if no row there has one), and rows that share an id
+    each have the component of their own text.  Other columns are ignored.
     """
     work = Work(docs.sparkSession, "simhash")
     fps = work.table(fingerprints(docs, shingle, id_col, text_col), "fps")
     distinct = work.table(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    pairs = links(distinct, work, radius, max_bucket)
-    # a document id can carry several fingerprints when ids repeat, so vertices are ids, which joins them too
-    ends = pairs.join(distinct.select(F.col("fp").alias("fp_a"), F.col("rep").alias("u")), "fp_a").join(
-        distinct.select(F.col("fp").alias("fp_b"), F.col("rep").alias("v")), "fp_b").select("u", "v")
+    # components of fingerprints, each then named by the smallest id that any of its rows has
+    ends = links(distinct, work, radius, max_bucket).select(F.col("fp_a").alias("u"), F.col("fp_b").alias("v"))
     comp = connected_components(work, ends)
     work.drop("buckets")
-    named = distinct.join(comp, distinct.rep == comp.vertex, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    placed = distinct.join(comp, distinct.fp == comp.vertex, "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
+    names = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = placed.join(names, "component").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -66,6 +66,17 @@ def test_simhash(spark, docs, corpus, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_simhash_rows_without_id_link_and_repeated_ids_do_not(spark, monkeypatch):
+    texts = {f"w{i}": fp for i, fp in enumerate([0, 0xF, 0x3, 0x7FFF << 40, (0x7FFF << 40) | 1])}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs.select(
+        "doc_id", F.create_map(*[F.lit(x) for kv in texts.items() for x in kv])[F.col("text")].cast("long").alias("fp")))
+    rows = [(7, "w0"), (3, "w1"), (None, "w2"), (5, "w0"), (5, "w3"), (None, "w4"), (9, "w3")]
+    got = sorted(((r.doc_id or 0, r.fingerprint[-2:], r.component_id) for r in simhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    # the row without an id joins 7 and 3; of id 5 each row has its own text's component
+    assert got == [(0, "01", 5), (0, "03", 3), (3, "0f", 3), (5, "00", 3), (5, "00", 5), (7, "00", 3), (9, "00", 5)]
+
+
 def test_simhash_hot_bucket_is_exact(spark):
     rng = random.Random(1)
     fps = {rng.getrandbits(64) & ((1 << 20) - 1) for _ in range(300)} | {sum(1 << rng.randrange(64) for _ in range(2)) for _ in range(300)}
