@@ -392,7 +392,8 @@ def certified_spend(flags: DataFrame, cert: DataFrame, strip_suffix: bool = True
 
 
 # ------------------------------------------------------------------ M11-M14
-def _primes_canon(primes: DataFrame) -> DataFrame:
+def primes_canon(primes: DataFrame) -> DataFrame:
+    """M9 rows with the canonical names that M11-M14 join by."""
     return primes.select(
         "source", "agency_number", "agency_name", "prime_vendor",
         F.col("tax_id").alias("prime_tax_id"), "prime_certification_type",
@@ -402,7 +403,8 @@ def _primes_canon(primes: DataFrame) -> DataFrame:
         canon_name_b("agency_name").alias("canon_agency_name"))
 
 
-def _contract_subs(totals: DataFrame) -> DataFrame:
+def subs_canon(totals: DataFrame) -> DataFrame:
+    """Subcontractor rows of M3 with the canonical names that M11-M14 join by."""
     t = totals.filter(is_sub_type("vendor_type")).withColumns(
         {"s_canon_prime": canon_name_b("prime_vendor"), "s_canon_agency": canon_name_b("agency_name")})
     return t.select(
@@ -462,16 +464,17 @@ def _join_key4(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(r, cond, how).drop(*[f"_k_{c}" for c in PRIME_OUT])
 
 
-def prime_with_subs(primes: DataFrame, totals: DataFrame, mode: str = "tax_then_name") -> DataFrame:
+def prime_with_subs(p: DataFrame, s: DataFrame, mode: str = "tax_then_name") -> DataFrame:
     """Prime rows and their subcontractor rows in one table.
 
+    ``p`` and ``s`` are :func:`primes_canon` and :func:`subs_canon`; each is
+    read several times, so it should be stored.
+
     modes: ``rows`` (V1: no certified spend), ``any_cert`` (V2: any
     certification counts), ``qualifying`` (V3: only MBE/WBE/MWBE/SEDBE/CBE),
     ``tax_then_name`` (V4: subs matched by prime tax id within the agency,
     else by canonical prime + agency; adds ``match_method``).
     """
-    p = _primes_canon(primes)
-    s = _contract_subs(totals)
     canon_eq = ((F.col("canon_prime_vendor") == F.col("s_canon_prime"))
                 & (F.col("canon_agency_name") == F.col("s_canon_agency")))
     sub_select = [*PRIME_OUT, F.col("sub_business_name").alias("business_name"),
@@ -570,7 +573,7 @@ def _contract_summary_canon(summary: DataFrame, totals: DataFrame) -> DataFrame:
 
 def prime_cert_summary(primes: DataFrame, summary: DataFrame, totals: DataFrame) -> DataFrame:
     """One row per prime (fan-out only for T13 twins) with contract sub totals."""
-    p = _primes_canon(primes)
+    p = primes_canon(primes)
     c = _contract_summary_canon(summary, totals).select(
         F.col("prime_tax_id").alias("c_prime_tax_id"), "c_canon_prime", "c_canon_agency",
         F.col("total_subs_amount").alias("c_total"), F.col("certified_subs_spend").alias("c_cert"),
@@ -613,7 +616,7 @@ def unmatched_contract_primes(summary: DataFrame, totals: DataFrame, primes: Dat
     default, O5).
     """
     c = _contract_summary_canon(summary, totals)
-    p = _primes_canon(primes)
+    p = primes_canon(primes)
     p_tax = p.filter(F.col("prime_matched_tax_id").isNotNull()).select(
         F.col("prime_matched_tax_id").cast("string").alias("_p_tax"),
         F.col("canon_agency_name").alias("_p_agency1")).distinct()

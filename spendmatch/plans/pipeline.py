@@ -157,7 +157,15 @@ class SpendMarts:
         return marts.certified_spend(self.flags, self.contract_weighted, strip_suffix=self.strip_suffix)
 
     def prime_with_subs(self, mode: str = "tax_then_name") -> DataFrame:   # M11-M14
-        return marts.prime_with_subs(self.prime_totals, self.contract_totals, mode=mode)
+        return marts.prime_with_subs(self.primes_canon, self.subs_canon, mode=mode)
+
+    @cached_property
+    def primes_canon(self) -> DataFrame:
+        return self._keep(marts.primes_canon(self.prime_totals))
+
+    @cached_property
+    def subs_canon(self) -> DataFrame:
+        return self._keep(marts.subs_canon(self.contract_totals))
 
     @cached_property
     def prime_cert_summary(self) -> DataFrame:                 # M15
@@ -227,6 +235,8 @@ class SpendMarts:
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for level in self.REFRESH_LEVELS:
                 todo = [t for t in level if not names or t in names]
+                if any(t.startswith("prime_with_subs_") for t in todo):
+                    _ = (self.primes_canon, self.subs_canon)
                 for table, path in pool.map(run, todo):
                     written[table] = path
         return written
