@@ -289,17 +289,24 @@ def repeats(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, recall
 
 
 def remove(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the paragraphs that ``found`` does not keep (with their line ends), and without the passages."""
+    """``docs`` without the paragraphs that ``found`` does not keep (with their line ends), and without the passages.
+
+    ``found`` names places by id, so an id that stands for different texts, or
+    none, cannot say which text a place is in: such rows stay as they are.
+    Repeated rows of one text are cut alike.  NULL and empty texts stay; no
+    rows give no rows; columns named ``__id``, ``__gone`` or ``__several`` must not occur.
+    """
+    lost = found.where(~F.col("kept") & F.col("doc_id").isNotNull())
     if "kind" in found.columns:
         end = F.col("start") + F.col("length") + (F.col("kind") == "paragraph").cast("int")
-        spans = found.where(~F.col("kept")).groupBy(F.col("doc_id").alias("__id")).agg(
-            F.array_sort(F.collect_set(F.struct("start", end.alias("end")))).alias("__gone"))
-        return docs.join(spans, docs[id_col] == spans["__id"], "left").withColumn(text_col, F.when(
-            F.col("__gone").isNull(), F.col(text_col)).otherwise(_spans.redact(F.col(text_col), F.col("__gone"), ""))).drop(
-            "__id", "__gone")
-    gone = found.where(~F.col("kept")).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_set("paragraph").alias("__gone"))
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("__gone", i))
-    return docs.join(gone, docs[id_col] == gone["__id"], "left").withColumn(
-        text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).drop("__id", "__gone")
+        gone = F.array_sort(F.collect_set(F.struct("start", end.alias("end"))))
+        cut = _spans.redact(F.col(text_col), F.col("__gone"), "")
+    else:
+        gone = F.collect_set("paragraph")
+        cut = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
+    spans = lost.groupBy(F.col("doc_id").alias("__id")).agg(gone.alias("__gone"))
+    h = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    several = docs.groupBy(F.col(id_col).alias("__several")).agg((F.min(h) != F.max(h)).alias("n")).where("n").select("__several")
+    spans = spans.join(several, F.col("__id") == F.col("__several"), "left_anti")
+    return docs.join(spans, F.col(id_col) == F.col("__id"), "left").withColumn(
+        text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(cut)).drop("__id", "__gone")

@@ -420,3 +420,15 @@ def test_toxicity_held_out(spark, docs, empty):
     assert toxicity.score(docs, odd).count() == docs.count()
     none = toxicity.score(docs, odd.limit(0)).select("score", "predicted").distinct().collect()
     assert len(none) == 1 and none[0].predicted == 0 and toxicity.score(empty, labels).count() == 0
+
+
+def test_removal_spares_ids_of_several_texts(spark):
+    p = " ".join(f"shared{i}" for i in range(30))
+    rows = [(1, p), (5, p + " end"), (5, " ".join(f"own{i}" for i in range(30))), (7, p), (7, p), (None, p), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for found in (paragraphs.repeats(df), paragraphs.duplicates(df)):
+        got = [(r.doc_id, r.text) for r in paragraphs.remove(df, found).collect()]
+        left = {i: sorted(str(t) for j, t in got if j == i) for i in {r[0] for r in rows}}
+        assert left[5] == sorted([rows[1][1], rows[2][1]])          # one id, two texts: both stay whole
+        assert left[7] in (["", ""], [p, p]) and left[9] == ["None"] and left[None] == [p] and len(got) == len(rows)
+        assert all(t == p for i in (1, 7) for t in left[i]) or all(t == "" for i in (1, 7) for t in left[i])   # the row without an id keeps one
