@@ -90,7 +90,8 @@ def query(final_sql: str, deps: list[str]) -> str:
         visit(d)
     if not order:
         return final_sql
-    body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
+    # each step once: nested marts would otherwise be inlined again and again
+    body = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final_sql}"
 
 
