@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import _spans
 from ._components import connected_components
-from ._work import Work
+from ._work import Work, session_conf
 
 SHINGLE = 5
 ANCHORS = 24  # of so many successive word places one is an anchor
-PASSAGE = "doc_id long, paragraph int, start int, length int, n_words int, key binary"
-FOUND = "doc_id long, paragraph int, start int, length int, n_words int, key binary, bands array<long>"
+MIX = np.uint64(0x9E3779B97F4A7C15)
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))  # of every byte
+SLAB = 20_000  # rows held before they are handed on
+FOUND = "doc_id long, paragraph int, start int, length int, n_words int, key binary, bands array<long>, inside boolean"
 
 
 def tune_bands(threshold: float = 0.8, recall: float = 0.999, most: int = 64) -> tuple[int, int]:
@@ -29,73 +31,80 @@ def tune_bands(threshold: float = 0.8, recall: float = 0.999, most: int = 64) ->
     raise ValueError("too few hashes for this recall")
 
 
-def split(text: str, min_words: int, wrapped: bool = False) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(number, start, length, lower-case words) of each line of ``min_words`` words or more.
+def split(text: str, min_words: int, wrapped: bool = False) -> tuple[list[bytes], list[tuple[int, int, int, int, int]]]:
+    """The lower-case words of a text, and (number, start, length, first word, end word) of its lines of ``min_words`` words or more.
 
     With ``wrapped`` also of the blocks of shorter lines, joined up to the next
     blank or long line; a block has the number of its first line.
     """
+    words: list[bytes] = []
+    out: list[tuple[int, int, int, int, int]] = []
     at = 0
-    block: tuple[int, int, int, list[bytes]] | None = None
-    for k, line in enumerate(text.split("\n")):
-        ws = line.encode().lower().split()
+    block: tuple[int, int, int, int, int] | None = None
+    for k, (line, low) in enumerate(zip(text.split("\n"), text.encode().lower().split(b"\n"))):
+        ws = low.split()
+        m = len(words)
+        words += ws
         if wrapped and 0 < len(ws) < min_words:
-            first, start, _, held = block or (k, at, 0, [])
-            block = first, start, at + len(line) - start, held + ws
+            number, start, _, first, _ = block or (k, at, 0, m, m)
+            block = number, start, at + len(line) - start, first, len(words)
         elif block:
-            if len(block[3]) >= min_words:
-                yield block
+            if m - block[3] >= min_words:
+                out.append(block)
             block = None
         if len(ws) >= min_words:
-            yield k, at, len(line), ws
+            out.append((k, at, len(line), m, len(words)))
         at += len(line) + 1
-    if block and len(block[3]) >= min_words:
-        yield block
+    if block and len(words) - block[3] >= min_words:
+        out.append(block)
+    return words, out
 
 
-def anchored(text: str, n: int, window: int = ANCHORS) -> Iterator[tuple[int, int, int, bytes]]:
-    """(number of the first word, start, length, lower-case words) of passages of ``n`` words, whatever the lines.
+def windows(h: np.ndarray, n: int) -> np.ndarray:
+    """One hash for every ``n`` successive words, from the hashes of the words (fewer words: none)."""
+    m = max(0, len(h) - n + 1)
+    rolled = np.zeros(m, np.uint64)
+    for j in range(n):
+        rolled = (rolled ^ h[j:j + m]) * MIX
+        rolled ^= rolled >> np.uint64(29)
+    return rolled
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def shingles(h: np.ndarray, n: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the n-word shingles of a paragraph with these word hashes (fewer words: the whole sequence)."""
+    return np.unique(windows(h, min(n, len(h))))
+
+
+def anchored(text: str, n: int, h: np.ndarray, rolled: np.ndarray, window: int = ANCHORS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the first word, starts, lengths) of passages of ``n`` words, whatever the lines.
+
+    ``h`` are the hashes of the text's words and ``rolled`` those of its shingles.
 
     A passage starts at the place with the smallest hash of ``SHINGLE`` words
     among some ``window`` successive places, so any ``n + window - 1`` words hold
     one, and it is the same one wherever these words stand.
     """
-    raw = text.encode()
-    low = raw.lower()
-    ws = low.split()
-    m = len(ws) - n + 1
+    m = len(h) - n + 1
     if m < 1:
-        return
-    digest = xxhash.xxh3_64_intdigest
-    h = np.array([digest(w) for w in ws], np.uint64)
-    rolled = np.zeros(m, np.uint64)
-    for j in range(min(SHINGLE, n)):
-        rolled = (rolled ^ h[j:j + m]) * np.uint64(0x9E3779B97F4A7C15)
-        rolled ^= rolled >> np.uint64(29)
-    view = np.lib.stride_tricks.sliding_window_view(rolled, min(window, m))
-    at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    blank = np.isin(np.frombuffer(low, np.uint8), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
+        return (np.empty(0, np.int64),) * 3
+    view = np.lib.stride_tricks.sliding_window_view(rolled[:m] if n >= SHINGLE else windows(h, n), min(window, m))
+    at = view.argmin(axis=1) + np.arange(len(view))
+    at = at[np.diff(at, prepend=-1) > 0]  # never falls from one window to the next
+    raw = np.frombuffer(text.encode(), np.uint8)
+    edge = np.flatnonzero(np.diff(BLANK[raw], prepend=True, append=True))
     first, last = edge[::2][at], edge[1::2][at + n - 1]
     if len(raw) > len(text):  # bytes before to characters before
-        chars = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
+        chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
         first, last = chars[first], chars[last]
-    for k, a, b in zip(at.tolist(), first.tolist(), last.tolist()):
-        yield k, a, b - a, b" ".join(ws[k:k + n])
-
-
-def shingles(ws: list[bytes], n: int = SHINGLE) -> np.ndarray:
-    """Distinct hashes of the n-word shingles (fewer words: the whole sequence)."""
-    line = b" ".join(ws)
-    ends = np.cumsum([len(w) + 1 for w in ws]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    m = max(1, len(ws) - n + 1)
-    digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.array([digest(line[a:b]) for a, b in zip(starts[:m].tolist(), ends[min(n, len(ws)) - 1:].tolist())], np.uint64))
+    return at, first, last - first
 
 
 class MinHash:
-    """Band keys: each hashes ``rows`` minima of multiply-add permutations of the shingle hashes."""
+    """Band keys: each mixes ``rows`` minima of multiply-add permutations of the shingle hashes."""
 
     def __init__(self, bands: int, rows: int, seed: int = 11):
         rng = np.random.default_rng(seed)
@@ -103,32 +112,92 @@ class MinHash:
         self.a = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
 
-    def keys(self, h: np.ndarray) -> list[int]:
-        low = np.full(len(self.a), np.uint64(0xFFFFFFFFFFFFFFFF))
-        for i in range(0, len(h), 4096):
-            with np.errstate(over="ignore"):
-                x = h[i:i + 4096, None] * self.a + self.b
-            low = np.minimum(low, (x ^ (x >> np.uint64(32))).min(axis=0))
-        return [xxhash.xxh3_64_intdigest(row.tobytes(), seed=k) - (1 << 63)
-                for k, row in enumerate(low.reshape(self.bands, self.rows))]
-
+    def minima(self, h: np.ndarray, rolled: np.ndarray, parts: list[tuple[int, int]], block: int = 4096) -> np.ndarray:
+        """The minima of the paragraphs ``parts`` (first word, end word; ascending) of a text with word hashes ``h``.
+
+        ``rolled`` are the hashes of the text's shingles, permuted ``block`` at a time.
+        """
+        lo, hi = np.array(parts).T
+        low = np.full((len(parts), len(self.a)), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for k in np.flatnonzero(hi - lo < SHINGLE):  # the whole sequence
+            low[k] = shingles(h[lo[k]:hi[k]])[0] * self.a + self.b
+        hi = hi - SHINGLE + 1
+        for i in range(0, len(rolled), block):
+            x = self.a[:, None] * rolled[i:i + block]
+            x += self.b[:, None]
+            start, end = np.clip(lo - i, 0, x.shape[1]), np.clip(hi - i, 0, x.shape[1])
+            some = np.flatnonzero(start < end)
+            if len(some):
+                cut = np.stack((start[some], end[some]), axis=1).ravel()  # every other part lies between paragraphs
+                cut = cut[:-1] if cut[-1] == x.shape[1] else cut
+                low[some] = np.minimum(low[some], np.minimum.reduceat(x, cut, axis=1)[:, ::2].T)
+        return low
+
+    def keys(self, minima: np.ndarray) -> np.ndarray:
+        """(paragraphs, bands) keys of (paragraphs, bands * rows) minima; the band's number is mixed in."""
+        low = minima.reshape(len(minima), self.bands, self.rows)
+        key = np.broadcast_to(np.arange(1, self.bands + 1, dtype=np.uint64) * MIX, low.shape[:2])
+        for r in range(self.rows):
+            key = (key ^ low[:, :, r]) * MIX
+            key = key ^ (key >> np.uint64(29))
+        return key.view(np.int64)
+
+
+def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool = False, whole: bool = True,
+           inside: bool = False) -> DataFrame:
+    """One row per paragraph (with ``whole``) and per passage (with ``inside``), from one reading of each text."""
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    digest = xxhash.xxh3_128_digest
+
+    def made(hasher: MinHash | None, docs: list[int], sizes: list[int], places: list, keys: list[bytes], minima: list) -> pa.RecordBatch:
+        n = len(keys)
+        k, at, length, count = np.concatenate(places, axis=1).astype(np.int32)
+        ids = pa.array(docs, pa.int64()).take(pa.array(np.repeat(np.arange(len(docs)), sizes)))
+        held = pa.nulls(n, pa.list_(pa.int64())) if hasher is None else pa.ListArray.from_arrays(
+            np.arange(n + 1, dtype=np.int32) * hasher.bands, hasher.keys(np.array(minima)).ravel())
+        return pa.RecordBatch.from_arrays(
+            [ids, *map(pa.array, (k, at, length, count)), pa.array(keys, pa.binary()), held, pa.array(np.full(n, hasher is None))], names=names)
 
-def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bands, rows)
+        lines, runs = ([], [], [], [], []), ([], [], [], [], [])
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for k, at, n, ws in split(text or "", min_words, wrapped):
-                    for col, v in zip(out, (doc, k, at, n, len(ws), xxhash.xxh3_128_digest(b" ".join(ws)), hasher.keys(shingles(ws)))):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:5]), pa.array(out[5], pa.binary()),
-                 pa.array(out[6], pa.list_(pa.int64()))],
-                names=["doc_id", "paragraph", "start", "length", "n_words", "key", "bands"])
+                words, parts = split(text or "", min_words, wrapped)
+                if not words or len(words) < min_words:
+                    continue
+                h = word_hashes(words)
+                rolled = windows(h, SHINGLE)
+                if whole and parts:
+                    lines[0].append(doc)
+                    lines[1].append(len(parts))
+                    lines[2].append(np.array([(k, at, n, to - a) for k, at, n, a, to in parts]).T)
+                    lines[3].extend(digest(b" ".join(words[a:to])) for *_, a, to in parts)
+                    lines[4].extend(hasher.minima(h, rolled, [(a, to) for *_, a, to in parts]))
+                if inside:
+                    k, at, n = anchored(text, min_words, h, rolled)
+                    runs[0].append(doc)
+                    runs[1].append(len(k))
+                    runs[2].append(np.stack((k, at, n, np.full(len(k), min_words))))
+                    runs[3].extend(digest(b" ".join(words[a:a + min_words])) for a in k.tolist())
+                for own, with_bands in ((lines, hasher), (runs, None)):
+                    if len(own[3]) >= SLAB:
+                        yield made(with_bands, *own)
+                        for part in own:
+                            part.clear()
+        for own, with_bands in ((lines, hasher), (runs, None)):
+            if own[3]:
+                yield made(with_bands, *own)
     return docs.mapInArrow(run, FOUND)
 
 
+def _survey(work: Work, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The paragraphs and the passages of ``_found``, written once; both kinds are open at a time, so no task sorts its rows."""
+    with session_conf(work.spark, spark__sql__maxConcurrentOutputFileWriters="2"):
+        held = work.table(found, "found", ["inside"])
+    return held.where("not inside").drop("inside"), held.where("inside").drop("inside", "bands")
+
+
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, wrapped: bool) -> DataFrame:
     """(id, set) of the wanted paragraphs (id, doc_id, key), read again from their documents.
 
@@ -141,19 +210,22 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, wrapped: b
             ids, sets = [], []
             for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 need = {w["key"]: w["id"] for w in want}
-                for _, _, _, ws in split(text or "", min_words, wrapped):
-                    i = need.pop(xxhash.xxh3_128_digest(b" ".join(ws)), None)
+                words, parts = split(text or "", min_words, wrapped)
+                for *_, a, to in parts:
+                    i = need.pop(xxhash.xxh3_128_digest(b" ".join(words[a:to])), None)
                     if i is not None:
                         ids.append(i)
-                        sets.append(shingles(ws).view(np.int64))
+                        sets.append(shingles(word_hashes(words[a:to])).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            by = {xxhash.xxh3_128_digest(b" ".join(ws)): ws for text in b.column(0).to_pylist()
-                  for _, _, _, ws in split(text or "", min_words, wrapped)}
+            by = {}
+            for text in b.column(0).to_pylist():
+                words, parts = split(text or "", min_words, wrapped)
+                by |= {xxhash.xxh3_128_digest(b" ".join(words[a:to])): words[a:to] for *_, a, to in parts}
             yield pa.RecordBatch.from_arrays([pa.array(by, pa.binary()), pa.array(
-                [shingles(ws).view(np.int64) for ws in by.values()], pa.list_(pa.int64()))], names=["key", "set"])
+                [shingles(word_hashes(ws)).view(np.int64) for ws in by.values()], pa.list_(pa.int64()))], names=["key", "set"])
     named = docs.join(lists, "doc_id").select("text", "want").mapInArrow(run, "id long, set array<long>")
     loose = docs.where("doc_id is null").select("text").mapInArrow(run_all, "key binary, set array<long>").join(
         wanted.where("doc_id is null").select("key", "id"), "key").select("id", "set")
@@ -210,10 +282,18 @@ def duplicates(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, rec
     sorts first; copies inside one document count; repeated ids are handled row
     by row; other columns are ignored.
     """
-    bands, rows = tune_bands(threshold, recall)
     work = Work(docs.sparkSession, "paragraphs")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = work.table(_found(docs, min_words, bands, rows, wrapped), "found")
+    docs = _texts(docs, id_col, text_col)
+    found, _ = _survey(work, _found(docs, min_words, *tune_bands(threshold, recall), wrapped))
+    return _clustered(work, docs, found, threshold, min_words, wrapped)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _clustered(work: Work, docs: DataFrame, found: DataFrame, threshold: float, min_words: int, wrapped: bool) -> DataFrame:
+    """The rows of ``duplicates`` from the paragraphs ``found`` in ``docs``."""
     first = F.struct("doc_id", "paragraph")
     distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.min("doc_id").alias("holder"), F.count("*").alias("copies"),
                                                    F.max("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "distinct")
@@ -256,35 +336,36 @@ def passages(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_
     length whose shingle sets reach 0.8 share all words but one at an end.
     """
     work = Work(docs.sparkSession, "passages")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    _, found = _survey(work, _found(_texts(docs, id_col, text_col), min_words, 1, 1, whole=False, inside=True))
+    again = _equal(work, found)
+    work.drop("found")
+    return again
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for k, at, n, ws in anchored(text or "", min_words):
-                    for col, v in zip(out, (doc, k, at, n, xxhash.xxh3_128_digest(ws))):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:4]),
-                 pa.array([min_words] * len(out[0]), pa.int32()), pa.array(out[4], pa.binary())],
-                names=["doc_id", "paragraph", "start", "length", "n_words", "key"])
-    found = work.table(docs.mapInArrow(run, PASSAGE), "all")
+
+def _equal(work: Work, found: DataFrame) -> DataFrame:
+    """The rows of ``passages`` from all the passages ``found``."""
     first = F.struct("doc_id", "paragraph")
     classes = work.table(found.groupBy("key").agg(F.min(first).alias("head"), F.count("*").alias("component_size")).where(
-        "component_size > 1"), "classes")
+        "component_size > 1"), "repeated")
     again = work.table(found.join(classes, "key").select(
         "doc_id", "paragraph", "start", "length", "n_words", F.col("head.doc_id").alias("component_id"),
         F.col("head.paragraph").alias("component_paragraph"), "component_size", (first.eqNullSafe(F.col("head"))).alias("kept")), "again")
-    work.drop("all", "classes")
+    work.drop("repeated")
     return again
 
 
 def repeats(docs: DataFrame, threshold: float = 0.8, min_words: int = 20, recall: float = 0.999,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``duplicates`` for lines and blocks of short lines (kind paragraph) and of ``passages`` (kind passage)."""
-    inside = passages(docs, min_words, id_col, text_col).withColumn("kind", F.lit("passage"))
-    whole = duplicates(docs, threshold, min_words, recall, id_col, text_col, wrapped=True).withColumn("kind", F.lit("paragraph"))
+    """The rows of ``duplicates`` for lines and blocks of short lines (kind paragraph) and of ``passages`` (kind passage).
+
+    Both come from one reading of the texts; NULL and empty texts, ids, repeated
+    rows and other columns are as there.
+    """
+    work = Work(docs.sparkSession, "repeats")
+    docs = _texts(docs, id_col, text_col)
+    whole, inside = _survey(work, _found(docs, min_words, *tune_bands(threshold, recall), wrapped=True, inside=True))
+    inside = _equal(work, inside).withColumn("kind", F.lit("passage"))
+    whole = _clustered(work, docs, whole, threshold, min_words, wrapped=True).withColumn("kind", F.lit("paragraph"))
     return whole.unionByName(inside)
 
 
