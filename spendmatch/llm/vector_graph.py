@@ -35,7 +35,9 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray
 def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int = 48) -> list[np.ndarray]:
     """Neighbour lists of a shard: nearest first, dropping what a chosen neighbour covers ``alpha`` times better.
 
-    Lists also take the reverse edges, the nearest first, up to ``width``.
+    Lists also take the reverse edges, the nearest first, up to ``width``, and
+    beyond it the edges of a minimum spanning tree, both ways: full lists would
+    else cut vectors of a dense group off from the others in range.
     """
     n = len(x)
     if n == 1:
@@ -59,9 +61,28 @@ def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int
     for k in np.argsort(d[fro, to], kind="stable"):  # reverse edges, nearest first
         if len(near[to[k]]) < width and fro[k] not in near[to[k]]:
             near[to[k]].append(fro[k])
+    for a, b in _spanning_tree(d):
+        for u, v in ((a, b), (b, a)):
+            if v not in near[u]:
+                near[u].append(v)
     return [np.array(a, np.int64) for a in near]
 
 
+def _spanning_tree(d: np.ndarray) -> list[tuple[int, int]]:
+    """The edges of a minimum spanning tree over a matrix of distances."""
+    n = len(d)
+    best, via, out = d[0].copy(), np.zeros(n, np.int64), []
+    inside = np.zeros(n, bool)
+    k = 0
+    for _ in range(n - 1):
+        inside[k], best[k] = True, np.inf
+        closer = (d[k] < best) & ~inside
+        best[closer], via[closer] = d[k][closer], k
+        k = int(np.argmin(best))
+        out.append((int(via[k]), k))
+    return out
+
+
 def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, start: int, radius: float,
                  effort: int, chunk: int = 50_000, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs found at ``radius`` similarity or more.
