@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from spendmatch.functions import text
 from spendmatch.operators import groups
 from spendmatch.plans import marts
 from spendmatch.session import materialize
@@ -107,3 +108,13 @@ def test_report_files_are_sorted_in_ranges(spark, source):
     got = {os.path.basename(p): open(p).read().split("\n")[:-1] for p in glob.glob(f"{source}/reports/*.txt")}
     assert got == want and len(got) == 4
     assert len(glob.glob(f"{source}/reports-parts/file_stem=file_1/part-*.txt")) > 1   # no task sorts a whole report
+
+
+def test_names_lose_the_same_characters(spark):
+    names = ["Acme, LLC", "a\x00b", "\u00e9 \u00df-x", "\u65e5\u672c Co., \U0001f600 ltd", "a\x7f\n\t~b_C#[]^`{}", "  two  spaces ", "", None,
+             *map(chr, range(1, 400)), *[f"A{chr(c)}1 {chr(c)}z" for c in range(400)]]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    whole = F.regexp_replace(text.norm_label("n"), text.CANON_A_KEEP, "")
+    assert rows.where(~text._kept(text.norm_label("n")).eqNullSafe(whole)).count() == 0
+    plain = F.regexp_replace(F.regexp_replace(whole, " {2,}", " "), text.CANON_A_SUFFIX, "")
+    assert rows.where(~text.canon_name_a("n").eqNullSafe(plain)).count() == 0
