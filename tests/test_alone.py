@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from spendmatch.functions import text
 from spendmatch.operators import groups
 from spendmatch.plans import marts
-from spendmatch.session import materialize
+from spendmatch.plans.pipeline import SpendMarts
+from spendmatch.session import materialize, materialize_bucketed
 from spendmatch.sources import fixtures as fx
 
 VENDORS = ("uniqueid string, b2gnow_vendor_number string, tax_id string, business_name string, certification_type string, "
@@ -53,6 +54,47 @@ def test_contract_cert_split_and_whole_agree(spark):
         assert a.schema.simpleString() == b.schema.simpleString() and _bag(a) == _bag(b)
 
 
+def _primes(spark):
+    rows = [("Agency", str(n), f"Agency {n % 3}", f"Prime {n % 20}" if n % 7 else None, str(n) if n % 4 else None,
+             "MBE" if n % 2 else None, "111", "name", float(n)) for n in range(60)]
+    return spark.createDataFrame(rows, "source string, agency_number string, agency_name string, prime_vendor string, tax_id string, "
+                                 "prime_certification_type string, matched_tax_id string, match_method string, prime_total_amount double")
+
+
+def test_primes_and_subs_meet_in_buckets(spark):
+    totals = spark.createDataFrame(
+        [(str(n), f"prime {n % 23}, LLC" if n % 11 else None, f"Agency {n % 4}", f"Sub {n}", "SUB", "111" if n % 5 else None, "MBE" if n % 3 else None,
+          None, None, "name", "2024-01-01", float(n)) for n in range(400)],
+        "b2g_id string, prime_vendor string, agency_name string, business_name string, vendor_type string, tax_id string, "
+        "certification_type string, matched_tax_id string, matched_b2g_id string, match_method_cert string, audit_period string, total_amount double")
+    totals = totals.withColumns({"audit_period": F.col("audit_period").cast("timestamp_ntz"), "total_amount": F.col("total_amount").cast("decimal(38,2)")})
+    p, s = marts.primes_canon(_primes(spark)), marts.subs_canon(totals)
+    bp = materialize_bucketed(p, ["canon_prime_vendor", "canon_agency_name"], 5)
+    bs = materialize_bucketed(s, ["s_canon_prime", "s_canon_agency"], 5)
+    assert _bag(bp) == _bag(p) and _bag(bs) == _bag(s)                # rows without a name too
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        for mode in ("rows", "any_cert", "qualifying", "tax_then_name"):
+            got = marts.prime_with_subs(bp, bs, mode)
+            assert _bag(got) == _bag(marts.prime_with_subs(p, s, mode))
+            if mode != "tax_then_name":                               # subs stay where they are
+                assert "s_canon_prime" not in "".join(re.findall(r"Exchange [^\n]*", got._jdf.queryExecution().executedPlan().toString()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_marts_store_no_second_copy_of_the_contracts(spark):
+    m = SpendMarts(_vendors(spark), _contracts(spark), spark.createDataFrame([], "agency_name string"))
+    m.contract_totals.count()
+    stored = [spark.read.parquet(t).columns for t in m._tables]
+    assert not [c for c in stored if "canon_name" in c and "contract_holder" in c]
+    m.release()
+
+
 def test_split_shared(spark):
     rows = materialize(spark.range(3000).select("id", F.when(F.col("id") < 2900, F.col("id")).when(F.col("id") < 2990, F.lit(7)).alias("k")))
     alone, several = groups.split_shared(rows, F.xxhash64("k") + F.when(F.col("k").isNotNull(), 0), materialize)
