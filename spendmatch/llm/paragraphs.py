@@ -17,7 +17,9 @@ from ._work import Work, session_conf
 SHINGLE = 5
 ANCHORS = 24  # of so many successive word places one is an anchor
 MIX = np.uint64(0x9E3779B97F4A7C15)
+MIX2 = np.uint64(0xD6E8FEB86659FD93)
 BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))  # of every byte
+PLACE = 24  # low bits of a hash that give way to its place in the text
 SLAB = 20_000  # rows held before they are handed on
 FOUND = "doc_id long, paragraph int, start int, length int, n_words int, key binary, bands array<long>, inside boolean"
 
@@ -91,8 +93,14 @@ def anchored(text: str, n: int, h: np.ndarray, rolled: np.ndarray, window: int =
     m = len(h) - n + 1
     if m < 1:
         return (np.empty(0, np.int64),) * 3
-    view = np.lib.stride_tricks.sliding_window_view(rolled[:m] if n >= SHINGLE else windows(h, n), min(window, m))
-    at = view.argmin(axis=1) + np.arange(len(view))
+    mask = np.uint64((1 << max(PLACE, m.bit_length())) - 1)
+    low = ((rolled[:m] if n >= SHINGLE else windows(h, n)) & ~mask) | np.arange(m, dtype=np.uint64)  # the leftmost of equal ones is smallest
+    span = 1
+    while span < min(window, m):  # the smallest of ``span`` successive places
+        step = min(span, min(window, m) - span)
+        low = np.minimum(low[:-step], low[step:])
+        span += step
+    at = (low & mask).astype(np.int64)
     at = at[np.diff(at, prepend=-1) > 0]  # never falls from one window to the next
     raw = np.frombuffer(text.encode(), np.uint8)
     edge = np.flatnonzero(np.diff(BLANK[raw], prepend=True, append=True))
@@ -103,6 +111,19 @@ def anchored(text: str, n: int, h: np.ndarray, rolled: np.ndarray, window: int =
     return at, first, last - first
 
 
+def passage_keys(h: np.ndarray, at: np.ndarray, n: int) -> pa.Array:
+    """A 128-bit key for the ``n`` words from each of the places ``at``, from the hashes ``h`` of the words."""
+    a, b = np.zeros(len(at), np.uint64), np.full(len(at), MIX)
+    for j in range(n):
+        w = h[at + j]
+        a = (a ^ w) * MIX
+        a ^= a >> np.uint64(29)
+        b = (b + w) * MIX2
+        b ^= b >> np.uint64(32)
+    both = np.ascontiguousarray(np.stack((a, b), axis=1))
+    return pa.Array.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(both)]).cast(pa.binary())
+
+
 class MinHash:
     """Band keys: each mixes ``rows`` minima of multiply-add permutations of the shingle hashes."""
 
@@ -149,8 +170,11 @@ def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool
     names = [c.split()[0] for c in FOUND.split(", ")]
     digest = xxhash.xxh3_128_digest
 
-    def made(hasher: MinHash | None, docs: list[int], sizes: list[int], places: list, keys: list[bytes], minima: list) -> pa.RecordBatch:
-        n = len(keys)
+    def made(hasher: MinHash | None, docs: list[int], sizes: list[int], places: list, keys: list, minima: list) -> pa.RecordBatch:
+        n = sum(sizes)
+        if hasher is None:  # keys holds the word hashes of each text: passages of all of them get theirs at once
+            before = np.cumsum([0, *map(len, keys[:-1])])
+            keys = passage_keys(np.concatenate(keys), np.concatenate([p[0] + b for p, b in zip(places, before)]), min_words)
         k, at, length, count = np.concatenate(places, axis=1).astype(np.int32)
         ids = pa.array(docs, pa.int64()).take(pa.array(np.repeat(np.arange(len(docs)), sizes)))
         held = pa.nulls(n, pa.list_(pa.int64())) if hasher is None else pa.ListArray.from_arrays(
@@ -160,7 +184,7 @@ def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bands, rows)
-        lines, runs = ([], [], [], [], []), ([], [], [], [], [])
+        lines, runs, held = ([], [], [], [], []), ([], [], [], [], []), 0  # held: passages in runs
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words, parts = split(text or "", min_words, wrapped)
@@ -179,12 +203,14 @@ def _found(docs: DataFrame, min_words: int, bands: int, rows: int, wrapped: bool
                     runs[0].append(doc)
                     runs[1].append(len(k))
                     runs[2].append(np.stack((k, at, n, np.full(len(k), min_words))))
-                    runs[3].extend(digest(b" ".join(words[a:a + min_words])) for a in k.tolist())
+                    runs[3].append(h)
+                    held += len(k)
                 for own, with_bands in ((lines, hasher), (runs, None)):
-                    if len(own[3]) >= SLAB:
+                    if (held if with_bands is None else len(own[3])) >= SLAB:
                         yield made(with_bands, *own)
                         for part in own:
                             part.clear()
+                        held = 0 if with_bands is None else held
         for own, with_bands in ((lines, hasher), (runs, None)):
             if own[3]:
                 yield made(with_bands, *own)
@@ -297,10 +323,11 @@ def _clustered(work: Work, docs: DataFrame, found: DataFrame, threshold: float,
     first = F.struct("doc_id", "paragraph")
     distinct = work.table(found.groupBy("key").agg(F.min(first).alias("first"), F.min("doc_id").alias("holder"), F.count("*").alias("copies"),
                                                    F.max("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "distinct")
-    likely = F.struct((-F.col("copies")).alias("few"), F.col("id"))  # the smallest has most copies
     keys = distinct.select("id", "copies", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(likely)["id"].alias("low")).where("n > 1")
-    buckets = work.table(keys.join(shared.select("band", "low"), "band"), "buckets")
+    # one with most copies, whichever (a minimum over a struct would sort all keys); few bands are shared, so these are written first
+    shared = work.table(keys.groupBy("band").agg(F.count("*").alias("n"), F.max_by("id", "copies").alias("low")).where("n > 1").select(
+        "band", "low"), "shared")
+    buckets = work.table(keys.join(shared, "band"), "buckets")
     wanted = buckets.select("id").distinct().join(distinct, "id").select(
         "id", F.col("holder").alias("doc_id"), "key")  # the smallest id that is not NULL
     sets = work.table(_shingle_sets(docs, wanted, min_words, wrapped), "sets")
@@ -320,7 +347,7 @@ def _clustered(work: Work, docs: DataFrame, found: DataFrame, threshold: float,
         "key", "first", "copies", F.coalesce("component", "id").alias("c"))
     of = named.groupBy("c").agg(F.min("first").alias("head"), F.sum("copies").alias("component_size")).where("component_size > 1")
     classes = work.table(named.join(of, "c").select("key", "head", "component_size"), "classes")
-    work.drop("buckets", "sets", "star", "apart", "prefixes", "across", "distinct")
+    work.drop("shared", "buckets", "sets", "star", "apart", "prefixes", "across", "distinct")
     return found.join(classes, "key").select(
         "doc_id", "paragraph", "start", "length", "n_words", F.col("head.doc_id").alias("component_id"),
         F.col("head.paragraph").alias("component_paragraph"), "component_size", (first.eqNullSafe(F.col("head"))).alias("kept"))

@@ -93,3 +93,16 @@ def test_repeats_against_plain_python(spark):
     want |= {("passage", *k, *min(at), len(at), k == min(at)) for at in passages.values() if len(at) > 1 for k in at}
     got = [(r.kind, r.doc_id, r.paragraph, r.component_id, r.component_paragraph, r.component_size, r.kept) for r in found]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_passage_keys_by_words_alone():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 1 << 63, 60, dtype=np.uint64) for _ in range(3)]
+    texts[2][10:40] = texts[0][20:50]
+    at = [np.arange(41) for _ in texts]
+    alone = [paragraphs.passage_keys(h, a, 20).to_pylist() for h, a in zip(texts, at)]
+    whole = paragraphs.passage_keys(np.concatenate(texts), np.concatenate([a + 60 * i for i, a in enumerate(at)]), 20).to_pylist()
+    assert whole == sum(alone, []) and all(len(k) == 16 for k in whole)
+    assert alone[2][10:21] == alone[0][20:31] and len(set(whole)) == 3 * 41 - 11
+    turned = paragraphs.passage_keys(texts[0][::-1].copy(), np.array([40]), 20).to_pylist()
+    assert turned[0] != alone[0][0]                                   # the order of the words counts
