@@ -152,6 +152,15 @@ def test_report_files_are_sorted_in_ranges(spark, source):
     assert len(glob.glob(f"{source}/reports-parts/file_stem=file_1/part-*.txt")) > 1   # no task sorts a whole report
 
 
+def test_inputs_that_no_mart_reads_are_not_built(spark, source, monkeypatch):
+    built = []
+    monkeypatch.setattr(fx, "stored", lambda spark, d, name: built.append(name) or materialize(fx.RECIPES[name](spark, d)))
+    m = SpendMarts.from_tables(spark, source)
+    assert m.agency_cert.count() > 0 and sorted(built) == ["agency_spend", "vendors"]
+    assert m.contract_cert.count() > 0 and sorted(built) == ["agency_spend", "contracts", "vendors"]   # each once, when it is read
+    m.release()
+
+
 def test_names_lose_the_same_characters(spark):
     names = ["Acme, LLC", "a\x00b", "\u00e9 \u00df-x", "\u65e5\u672c Co., \U0001f600 ltd", "a\x7f\n\t~b_C#[]^`{}", "  two  spaces ", "", None,
              *map(chr, range(1, 400)), *[f"A{chr(c)}1 {chr(c)}z" for c in range(400)]]
