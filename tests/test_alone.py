@@ -152,6 +152,15 @@ def test_report_files_are_sorted_in_ranges(spark, source):
     assert len(glob.glob(f"{source}/reports-parts/file_stem=file_1/part-*.txt")) > 1   # no task sorts a whole report
 
 
+def test_ranges_grow_with_the_lines_not_with_their_bytes(spark, source, monkeypatch):
+    monkeypatch.setattr(fx, "RANGE_LINES", 50, raising=False)
+    fx.report_files(spark, source, f"{source}/reports")   # merging small shuffle partitions is on
+    lines = Counter()
+    for p in glob.glob(f"{source}/reports-parts/file_stem=*/part-*.txt"):
+        lines[os.path.basename(p)[:10]] += len(open(p).read().split("\n")) - 1
+    assert sum(lines.values()) == 2000 and max(lines.values()) <= 4 * 50   # bounds come from a sample
+
+
 def test_inputs_that_no_mart_reads_are_not_built(spark, source, monkeypatch):
     built = []
     monkeypatch.setattr(fx, "stored", lambda spark, d, name: built.append(name) or materialize(fx.RECIPES[name](spark, d)))
