@@ -95,6 +95,49 @@ def test_marts_store_no_second_copy_of_the_contracts(spark):
     m.release()
 
 
+def _shared_key(spark, n):
+    """n vendors, n prime rows and n subcontractor rows of one natural key each; the first rows also share their totals' group."""
+    vendors = spark.createDataFrame([(f"U{k}", str(50 + k // 2), str(100 + k), f"Firm {k}", "MBE" if k % 2 else "WBE", "Active") for k in range(n)], VENDORS)
+    rows = [(str(50 + k // 2) if k % 3 else None, "Firm 1", "Agency", "Firm 1" if kind == "PRIME" else "Firm 2, LLC", f" {kind.lower()} ", kind, 2.0,
+             "2024-01-01", str(100 + k) if k % 2 else " ") for k in [*range(n), 0, 1] for kind in ("PRIME", "SUB")]
+    rows += [(None, "Firm 1", "Agency", "Firm 1", "prime", "PRIME", amount, f"2024-0{month}-01", None) for amount in (2.0, 3.5, None) for month in (1, 2)]
+    contracts = spark.createDataFrame(rows, CONTRACTS).withColumns(
+        {"amount_paid": F.col("amount_paid").cast("decimal(18,2)"), "audit_period": F.col("audit_period").cast("timestamp_ntz")})
+    spend = spark.createDataFrame([("Agency", "1", "Agency", f"Firm {k % 5}", str(100 + k), float(k)) for k in range(9)],
+                                  "source string, agency_number string, agency_name string, business_name string, tax_id string, total_amount double")
+    return vendors, contracts, spend.withColumn("total_amount", F.col("total_amount").cast("decimal(28,2)"))
+
+
+def _stored_rows(spark, m):
+    return max(spark.read.parquet(t).count() for t in m._tables)
+
+
+def test_totals_of_a_shared_key_store_no_pairs(spark):
+    n = 40
+    inputs = _shared_key(spark, n)
+    cert = materialize(marts.contract_cert_weighted(*inputs[:2]))
+    m = SpendMarts(*inputs)
+    for version, got in ((1, m.contract_totals_v1), (2, m.totals(2))):
+        got = _bag(got)
+        assert got == _bag(marts.contract_totals(cert, version)) and sum(got.values()) > n * n / 2
+    assert _stored_rows(spark, m) < 5 * n                            # rows and matches, not the pairs of them
+    m.release()
+
+
+def test_marts_of_subcontractors_build_no_prime_totals(spark):
+    n = 40
+    vendors, contracts, spend = _shared_key(spark, n)
+    contracts = materialize(contracts.where("payment_type = 'PRIME' or amount_paid is null or taxidnumber = '101'"))
+    apart, table = SpendMarts(vendors, contracts, spend), SpendMarts(vendors, contracts, spend)
+    assert table.contract_totals.count() > n * n / 2                 # a stored M3 is read where there is one
+    for mart in (lambda m: m.prime_with_subs("any_cert"), lambda m: m.prime_cert_summary, lambda m: m.unmatched_contract_primes):
+        got = _bag(mart(apart))
+        assert got == _bag(mart(table))
+    assert _stored_rows(spark, apart) < 10 * n
+    apart.release()
+    table.release()
+
+
 def test_split_shared(spark):
     rows = materialize(spark.range(3000).select("id", F.when(F.col("id") < 2900, F.col("id")).when(F.col("id") < 2990, F.lit(7)).alias("k")))
     alone, several = groups.split_shared(rows, F.xxhash64("k") + F.when(F.col("k").isNotNull(), 0), materialize)
