@@ -9,6 +9,8 @@ audited against brute force.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -18,13 +20,20 @@ from ._components import connected_components
 from ._work import Work
 
 ROUTE = "label long, cluster long, id long, v array<double>"
+HELD = 1 << 20  # numbers that one step of a Python task holds at once (8 MB), whatever the shard, its groups or the length of vectors
+
+
+def _blocks(rows: int, width: int) -> Iterator[slice]:
+    """Slices over ``rows`` rows of ``width`` numbers, about HELD numbers each."""
+    step = max(1, HELD // max(1, width))
+    return (slice(i, min(i + step, rows)) for i in range(0, rows, step))
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """Spherical k-means; empty clusters keep their centre."""
     c = x[np.random.default_rng(seed).choice(len(x), k, replace=False)]
     for _ in range(rounds):
-        own = np.argmax(x @ c.T, axis=1)
+        own = np.concatenate([np.argmax(x[s] @ c.T, axis=1) for s in _blocks(len(x), k)])
         sums = np.zeros_like(c)
         np.add.at(sums, own, x)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -32,6 +41,11 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray
     return c
 
 
+def _nearest(x: np.ndarray, c: np.ndarray, many: int) -> np.ndarray:
+    """The ``many`` nearest centres of every row, the nearest first."""
+    return np.concatenate([np.argsort(-(x[s] @ c.T), axis=1, kind="stable")[:, :many].copy() for s in _blocks(len(x), len(c))])
+
+
 def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int = 48) -> list[np.ndarray]:
     """Neighbour lists of a shard: nearest first, dropping what a chosen neighbour covers ``alpha`` times better.
 
@@ -42,7 +56,9 @@ def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int
     n = len(x)
     if n == 1:
         return [np.empty(0, np.int64)]
-    d = np.clip(1 - (x @ x.T).astype(np.float32), 0, None)
+    d = np.empty((n, n), np.float32)
+    for s in _blocks(n, n):
+        d[s] = np.clip(1 - (x[s] @ x.T).astype(np.float32), 0, None)
     alive = d.copy()
     np.fill_diagonal(alive, np.inf)
     out = np.full((n, min(degree, n - 1)), -1)
@@ -54,7 +70,8 @@ def robust_prune(x: np.ndarray, degree: int = 24, alpha: float = 1.2, width: int
             break
         out[some, r] = pick[some]
         alive[rows, pick] = np.inf
-        alive[alpha * d[pick] <= d] = np.inf
+        for s in _blocks(n, n):
+            alive[s][alpha * d[pick[s]] <= d[s]] = np.inf
     fro, rank = np.nonzero(out >= 0)
     to = out[fro, rank]
     near = [list(a[a >= 0]) for a in out]
@@ -84,32 +101,42 @@ def _spanning_tree(d: np.ndarray) -> list[tuple[int, int]]:
 
 
 def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, start: int, radius: float,
-                 effort: int, chunk: int = 50_000, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+                 effort: int, chunk: int = HELD // 4, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs found at ``radius`` similarity or more.
 
     The search starts at node ``start``, and at the query's ``own`` node where it has one (-1: none).
     Best first, ``effort`` nodes a query are expanded; from there the range
     grows breadth first, every node in range being expanded, so a large group is
-    walked to its end.
+    walked to its end.  About ``chunk`` edges are followed at once, and vectors
+    are compared in blocks, so memory grows with queries x nodes alone, not with
+    the pairs in range.
     """
     n, q = len(x), len(queries)
-    width = max(1, max(map(len, near)))
-    table = np.full((n, width), -1)
-    for i, a in enumerate(near):
-        table[i, :len(a)] = a
+    count = np.array([len(a) for a in near], np.int64)
+    first, flat = np.cumsum(count) - count, np.concatenate([*near, np.empty(0, np.int64)])
     score = np.full((q, n), -np.inf)  # of the nodes met
     open_ = np.full((q, n), -np.inf)  # of those not expanded yet
+    met, waiting = score.reshape(-1), open_.reshape(-1)
     score[:, start] = open_[:, start] = queries @ x[start]
     if own is not None:
         here = np.flatnonzero(own >= 0)
         score[here, own[here]] = open_[here, own[here]] = 1.0
 
+    def follow(who: np.ndarray, node: np.ndarray) -> None:
+        many = count[node]
+        edge = np.arange(many.sum()) + np.repeat(first[node] - np.cumsum(many) + many, many)
+        at = np.repeat(who * n, many) + flat[edge]
+        at = np.unique(at[np.isneginf(met[at])])
+        for s in _blocks(len(at), x.shape[1]):
+            a, b = np.divmod(at[s], n)
+            met[at[s]] = waiting[at[s]] = np.einsum("ij,ij->i", queries[a], x[b])
+
     def expand(who: np.ndarray, node: np.ndarray) -> None:
         open_[who, node] = -np.inf
-        to = table[node]
-        a, w = np.nonzero((to >= 0) & np.isneginf(score[who[:, None], to]))
-        at, met = np.divmod(np.unique(who[a] * n + to[a, w]), n)
-        score[at, met] = open_[at, met] = np.einsum("ij,ij->i", queries[at], x[met])
+        part = np.cumsum(count[node]) // chunk
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for i, j in zip([0, *cuts], [*cuts, len(node)]):
+            follow(who[i:j], node[i:j])
 
     live = np.arange(q)
     for _ in range(effort):
@@ -123,8 +150,7 @@ def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, sta
         who, node = np.nonzero(open_ >= radius)
         if not len(who):
             return np.nonzero(score >= radius)
-        for i in range(0, len(who), chunk):
-            expand(who[i:i + chunk], node[i:i + chunk])
+        expand(who, node)
 
 
 def _unit(v: pd.Series) -> np.ndarray:
@@ -165,23 +191,38 @@ def _route(held: DataFrame, per_shard: int, overlap: int, fit_rows: int, max_clu
                 if c is None:
                     yield rows.assign(cluster=-int(d))[["label", "cluster", "id", "v"]]
                     continue
-                near = np.argsort(-(_unit(rows.v) @ c.T), axis=1, kind="stable")[:, :overlap]
+                near = _nearest(_unit(rows.v), c, overlap)
                 for k in range(near.shape[1]):
                     yield rows.assign(cluster=near[:, k] + int(d) * max_clusters)[["label", "cluster", "id", "v"]]
     return held.select("label", "id", "v").mapInPandas(run, ROUTE)
 
 
-def _split(routes: DataFrame, work: Work, per_shard: int, max_shard: int, overlap: int, tag: str, levels: int = 3,
+def _core(x: np.ndarray, threshold: float) -> np.ndarray | None:
+    """The vector of a sample with most others in range, if these are half of the sample or more."""
+    near = np.concatenate([(x[s] @ x.T >= threshold).sum(axis=1) for s in _blocks(len(x), len(x))])
+    return x[np.argmax(near)] if 2 * near.max() >= len(x) else None
+
+
+def _sub(level: int, name: int, k: int) -> int:
+    return xxhash.xxh3_64_intdigest(f"{level} {name} {k}") - (1 << 63)
+
+
+def _split(routes: DataFrame, work: Work, threshold: float, per_shard: int, max_shard: int, overlap: int, tag: str, levels: int = 3,
            fit_rows: int = 2000, bucket_rows: int = 5000) -> DataFrame:
     """``routes`` with every cluster over ``max_shard`` vectors divided again, by k-means on about ``fit_rows`` of its own.
 
     Its vectors go to their ``overlap`` nearest centres in tasks of about
-    ``bucket_rows``.  What is still too large after ``levels`` rounds stays.
+    ``bucket_rows``.  Where half are near copies of one vector, the copies would
+    have the same few centres nearest and be stored ``overlap`` times at every
+    level: all within twice the range of that vector become one cluster, not
+    divided again, and all beyond the range another, so both vectors of a link
+    lie in one of the two.  What is still too large after ``levels`` rounds stays.
     """
-    key = ["label", "cluster"]
+    key, whole = ["label", "cluster"], None
+    twice = 2 * threshold ** 2 - 1 if threshold > 0 else -1.0  # the cosine at twice the range
     for level in range(levels):
-        sizes = routes.groupBy(*key).agg(F.count("*").alias("m"))
-        large = work.table(sizes.where(F.col("m") > max_shard), f"large{tag}_{level}")
+        sizes = routes.groupBy(*key).agg(F.count("*").alias("m")).where(F.col("m") > max_shard)
+        large = work.table(sizes.join(whole, key, "left_anti") if whole else sizes, f"large{tag}_{level}")
         if large.isEmpty():
             break
         rows = routes.join(large, key)
@@ -189,23 +230,35 @@ def _split(routes: DataFrame, work: Work, per_shard: int, max_shard: int, overla
 
         def fit(g: pd.DataFrame) -> pd.DataFrame:
             x = _unit(g.v)
+            core = _core(x, threshold)
             k = min(max(-(-int(g.m.iloc[0]) // per_shard), 2 * overlap), max(1, len(x) // 8))
-            return g.iloc[:1][key].assign(centres=[_kmeans(x, k).ravel().tolist()])
-        centres = sample.groupBy(*key).applyInPandas(fit, "label long, cluster long, centres array<double>")
+            return g.iloc[:1][key].assign(dense=core is not None, centres=[(_kmeans(x, k) if core is None else core).ravel().tolist()])
+        centres = work.table(sample.groupBy(*key).applyInPandas(
+            fit, "label long, cluster long, dense boolean, centres array<double>"), f"centres{tag}_{level}")
         buckets = F.ceil(F.col("m") / bucket_rows).cast("int")
-        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(3)), buckets).cast("int"))
-        sent = centres.join(large, key).withColumn("bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
+        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(3)), buckets).cast("int")).drop("m")
+        sent = centres.join(large, key).withColumn("bucket", F.explode(F.sequence(F.lit(0), buckets - 1))).drop("m")
 
         def route(g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            g = g[["label", "cluster", "id", "v"]].assign(whole=False)  # a sample may be empty
             if not len(g) or not len(c):
-                return g[["label", "cluster", "id", "v"]]
-            x = _unit(g.v)
-            near = np.argsort(-(x @ np.array(c.centres.iloc[0]).reshape(-1, x.shape[1]).T), axis=1, kind="stable")[:, :overlap]
-            name = int(g.cluster.iloc[0])
-            subs = np.array([xxhash.xxh3_64_intdigest(f"{level} {name} {k}") - (1 << 63) for k in range(int(near.max()) + 1)], np.int64)
-            return pd.concat([g.assign(cluster=subs[near[:, k]])[["label", "cluster", "id", "v"]] for k in range(near.shape[1])])
-        parted = dealt.groupBy(*key, "bucket").cogroup(sent.groupBy(*key, "bucket")).applyInPandas(route, ROUTE)
-        routes = work.table(routes.join(large, key, "left_anti").select(*routes.columns).union(parted), f"split{tag}_{level}")
+                return g
+            x, name = _unit(g.v), int(g.cluster.iloc[0])
+            centres = np.array(c.centres.iloc[0]).reshape(-1, x.shape[1])
+            if c.dense.iloc[0]:
+                at = x @ centres[0]
+                return pd.concat([g[at >= twice - 1e-9].assign(cluster=_sub(level, name, 0), whole=True),
+                                  g[at <= threshold + 1e-9].assign(cluster=_sub(level, name, 1))])
+            near = _nearest(x, centres, overlap)
+            subs = np.array([_sub(level, name, k) for k in range(int(near.max()) + 1)], np.int64)
+            return pd.concat([g.assign(cluster=subs[near[:, k]]) for k in range(near.shape[1])])
+        parted = work.table(dealt.groupBy(*key, "bucket").cogroup(sent.groupBy(*key, "bucket")).applyInPandas(
+            route, f"{ROUTE}, whole boolean"), f"parted{tag}_{level}")
+        cores = parted.where("whole").select(*key).distinct()
+        whole = work.table(whole.union(cores) if whole else cores, f"whole{tag}_{level}")
+        routes = work.table(routes.join(large, key, "left_anti").select(*routes.columns).union(
+            parted.select(*routes.columns)), f"split{tag}_{level}")
+        work.drop(f"parted{tag}_{level}")
         if level:
             work.drop(f"split{tag}_{level - 1}")
     return routes
@@ -234,7 +287,7 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
     the vectors of one part, so its memory stays bounded.
     """
     routes = work.table(_route(held, per_shard, overlap, fit_rows, max_clusters), f"routes{tag}")
-    routes = _split(routes, work, per_shard, max_shard, overlap, tag)
+    routes = _split(routes, work, threshold, per_shard, max_shard, overlap, tag)
     parts = routes.groupBy("label", "cluster").agg(F.ceil(F.count("*") / max_shard).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     rows = routes.join(parts, ["label", "cluster"])
@@ -248,29 +301,35 @@ def links(held: DataFrame, work: Work, threshold: float, per_shard: int = 500, m
     graph = rows.withColumn("part", own).groupBy(*key).applyInPandas(build, "id long, near array<long>")
     graph = work.table(graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), f"graph{tag}")
 
-    def search(g: pd.DataFrame) -> pd.DataFrame:
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g = pd.concat(batches)
         raw, ids = np.array(g.v.tolist(), float), g.id.to_numpy()
         length = np.linalg.norm(raw, axis=1)
         x, place = raw / length[:, None], np.flatnonzero(g.member.to_numpy())
-        pairs = [np.empty((0, 2), np.int64)]
-        if len(place):
-            base = x[place]
-            at = {i: k for k, i in enumerate(ids[place].tolist())}
-            near = [np.array([at[j] for j in a if j in at], np.int64) for a in g.near.iloc[place]]
-            medoid = int(np.argmax(base @ base.mean(axis=0)))
-            own = np.full(len(x), -1)
-            own[place] = np.arange(len(place))
-            asked = np.flatnonzero(g.asks.to_numpy())
-            for i in range(0, len(asked), 512):
-                some = asked[i:i + 512]
-                who, node = range_search(base, near, x[some], medoid, threshold - 1e-9, effort, own=own[some])
-                who, node = some[who], place[node]
-                for c in range(0, len(who), 100_000):
-                    a, b = who[c:c + 100_000], node[c:c + 100_000]
-                    real = (ids[a] != ids[b]) & (np.einsum("ij,ij->i", raw[a], raw[b]) / (length[a] * length[b]) >= threshold)
-                    pairs.append(np.sort(np.stack((ids[a[real]], ids[b[real]]), axis=1), axis=1))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        if not len(place):
+            return
+        base = x[place]
+        at = {i: k for k, i in enumerate(ids[place].tolist())}
+        near = [np.array([at[j] for j in a if j in at], np.int64) for a in g.near.iloc[place]]
+        medoid = int(np.argmax(base @ base.mean(axis=0)))
+        own = np.full(len(x), -1)
+        own[place] = np.arange(len(place))
+        asked = np.flatnonzero(g.asks.to_numpy())
+        found = np.zeros((len(asked), len(place)), bool)
+        for i in range(0, len(asked), 512):
+            some = asked[i:i + 512]
+            who, node = range_search(base, near, x[some], medoid, threshold - 1e-9, effort, own=own[some])
+            for s in _blocks(len(who), raw.shape[1]):
+                a, b = some[who[s]], place[node[s]]
+                real = (ids[a] != ids[b]) & (np.einsum("ij,ij->i", raw[a], raw[b]) / (length[a] * length[b]) >= threshold)
+                found[i + who[s][real], node[s][real]] = True
+        if np.array_equal(asked, place):  # each pair once, whichever of the two found it
+            found = np.triu(found | found.T)
+        for s in _blocks(*found.shape):
+            a, b = np.nonzero(found[s])
+            for c in _blocks(len(a), 8):
+                ab = np.sort(np.stack((ids[asked[s.start + a[c]]], ids[place[b[c]]]), axis=1), axis=1)
+                yield pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
 
     pairs = _groups(rows, graph, own).groupBy(*key, "asked").applyInPandas(search, "a long, b long").distinct()
     return _leaving(work.table(pairs, f"links{tag}"), routes, graph, held, work, threshold, tag)
@@ -281,12 +340,16 @@ def _leaving(pairs: DataFrame, routes: DataFrame, graph: DataFrame, held: DataFr
 
     A round follows, for each new pair (query, node), the node's edges to vectors
     that share no cluster with the query, and keeps those in range, until no new
-    pair appears.
+    pair appears.  The first round leaves out edges to vectors of all the node's
+    clusters: its queries share one of these with the node, and so with them.
     """
     homes = work.table(routes.groupBy("id").agg(F.collect_set("cluster").alias("at")), f"homes{tag}")
     far = homes.select(F.col("id").alias("c"), F.col("at").alias("c_at"))
-    out = work.table(graph.select(F.col("id").alias("node"), F.explode("near").alias("c")).join(far, "c").groupBy("node").agg(
-        F.collect_list(F.struct("c", "c_at")).alias("out")), f"out{tag}")
+    edges = graph.select(F.col("id").alias("node"), F.explode("near").alias("c")).join(far, "c")
+
+    def listed(some: DataFrame, name: str) -> DataFrame:
+        return work.table(some.groupBy("node").agg(F.collect_list(F.struct("c", "c_at")).alias("out")), f"{name}{tag}")
+    out = listed(edges.join(homes.withColumnRenamed("id", "node"), "node").where(F.size(F.array_except("at", "c_at")) > 0), "out")
     side = held.select("id", "label", "v")
     new, seen, k = pairs, pairs, 0
     while True:
@@ -304,6 +367,8 @@ def _leaving(pairs: DataFrame, routes: DataFrame, graph: DataFrame, held: DataFr
         new = work.table(near.select("a", "b").distinct(), f"beyond{tag}_{k}")
         if new.isEmpty():
             return seen
+        if not k:
+            out = listed(edges, "out_all")
         seen, k = seen.union(new), k + 1
 
 
@@ -329,9 +394,10 @@ def audit(held: DataFrame, found: DataFrame, threshold: float, work: Work, share
                     for key, rows in b.groupby([b.label, b.v.map(len)]):
                         if key in queries.value:
                             ids, x = queries.value[key]
-                            at, to = np.nonzero(x @ _unit(rows.v).T >= threshold)
-                            some = pd.DataFrame({"q": ids[at], "o": rows.id.to_numpy()[to]})
-                            yield some[some.q != some.o]
+                            for s in _blocks(len(rows), len(ids)):
+                                at, to = np.nonzero(x @ _unit(rows.v.iloc[s]).T >= threshold)
+                                some = pd.DataFrame({"q": ids[at], "o": rows.id.to_numpy()[s][to]})
+                                yield some[some.q != some.o]
             one = held.select("label", "id", "v").mapInPandas(run, "q long, o long")
             true = one if true is None else true.union(one)
         if true is None:
@@ -352,16 +418,16 @@ def exact(held: DataFrame, threshold: float, block: int = 2000) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "v")
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        out = [np.empty((0, 2), np.int64)]
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g = pd.concat(batches)
         for _, h in g.groupby(g.v.map(len)):
             x, ids = _unit(h.v), h.id.to_numpy()
             left, right = np.flatnonzero(h.own.to_numpy() == h.i.to_numpy()), np.flatnonzero(h.own.to_numpy() == h.j.to_numpy())
-            a, b = np.nonzero(x[left] @ x[right].T >= threshold)
-            ab = np.stack((ids[left[a]], ids[right[b]]), axis=1)
-            out.append(np.sort(ab[ab[:, 0] != ab[:, 1]], axis=1))
-        found = np.unique(np.concatenate(out), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+            for s in _blocks(len(left), len(right)):
+                a, b = np.nonzero(x[left[s]] @ x[right].T >= threshold)
+                ab = np.sort(np.stack((ids[left[s][a]], ids[right[b]]), axis=1), axis=1)
+                ab = ab[ab[:, 0] != ab[:, 1]]
+                yield pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
     return rows.groupBy("label", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
